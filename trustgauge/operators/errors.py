@@ -30,7 +30,8 @@ def wrong_predictions(predictions: DataFrame) -> DataFrame:
 
 def _top_errors(errors: DataFrame, n: int) -> DataFrame:
     """Top n per model; Spark trims each task to n rows per model before the shuffle."""
-    order = Window.partitionBy("model").orderBy(F.desc("confidence"), F.asc("id"))
+    tie = "id" if "id" in errors.columns else "text"  # saved errors carry no id
+    order = Window.partitionBy("model").orderBy(F.desc("confidence"), F.asc(tie))
     return errors.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n).drop(
         "_rank"
     )
@@ -98,8 +99,9 @@ def error_examples(errors: DataFrame, n: int = EXAMPLES_PER_MODEL) -> DataFrame:
     shown = F.when(
         F.length(line) > EXAMPLE_CHARS, F.concat(F.substring(line, 1, EXAMPLE_KEEP), F.lit("..."))
     ).otherwise(line)
+    key = ["id"] if "id" in errors.columns else []
     return _top_errors(errors, n).select(
-        "model", "id", "category", "true_label", "predicted_label", "confidence",
+        "model", *key, "category", "true_label", "predicted_label", "confidence",
         shown.alias("example"),
     )
 

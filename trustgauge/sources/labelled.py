@@ -21,7 +21,6 @@ SAVED_ERROR_TYPES = {
     "true_label": "int",
     "predicted_label": "int",
     "confidence": "double",
-    "prob_positive": "double",
 }
 
 # Copies of one row are numbered in runs of this length, so no task expands all of them.
@@ -108,11 +107,10 @@ def load_labelled_parquet(spark: SparkSession, path: str) -> DataFrame:
 def load_saved_errors(spark: SparkSession, path: str) -> DataFrame:
     """Errors written by an earlier run. An empty table is refused."""
     df = _read_csv(spark, path)
+    # The probability column may be named after the positive class of its time.
+    types = {c: "double" for c in df.columns if c.startswith("prob_")} | SAVED_ERROR_TYPES
     typed = df.select(
-        *[
-            F.col(f"`{c}`").cast(SAVED_ERROR_TYPES.get(c, "string")).alias(c)
-            for c in df.columns
-        ]
+        *[F.col(f"`{c}`").cast(types.get(c, "string")).alias(c) for c in df.columns]
     )
     if typed.isEmpty():
         raise ValueError(f"{path} is empty")
