@@ -5,8 +5,10 @@ A fitted model is a :class:`LinearModel`: a settled table (idx, weight) and an i
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,9 @@ ENSEMBLE = {"max_iter": 33, "reg_param": 1e-3}
 SVM = {"max_iter": 36, "reg_param": 1e-3}
 SMOOTHING = 0.10
 
+# Ensemble members fitted at the same time.
+PARALLEL_FITS = 5
+
 
 @dataclass(frozen=True)
 class LinearModel:
@@ -216,24 +221,25 @@ def fit_ensemble(
         times = F.get("multiplicities", F.lit(m))
         sums += [F.sum(F.col("c") * times).alias(f"tf{m}"), F.sum(times).alias(f"df{m}")]
     frequencies = settle(weighted.groupBy("term").agg(*sums))
-    n_docs = F.lit(train.count())
-    fitted = []
-    for m in range(members):
+    n_docs = train.count()
+    keep = ("id", "target", "times")
+
+    def fit_member(m: int) -> EnsembleMember:
         mine = frequencies.select(
             "term", F.col(f"tf{m}").alias("tf"), F.col(f"df{m}").alias("df")
         ).where("df > 0")
-        vocabulary = settle(select_vocabulary(mine, n_docs, min_df, max_features))
-        sample = docs.join(
-            drawn.select("id", F.get("multiplicities", F.lit(m)).alias("times")).where("times > 0"),
-            "id",
-        )
-        keep = ("id", "target", "times")
+        vocabulary = settle(select_vocabulary(mine, F.lit(n_docs), min_df, max_features))
+        times = F.get("multiplicities", F.lit(m)).alias("times")
+        sample = docs.join(drawn.select("id", times).where("times > 0"), "id")
         rows = tfidf(sample, vocabulary, ngram_range, max_features, keep)
-        size = vocabulary.count()
-        vectors = to_vectors(rows, size, keep)
-        model = fit_logistic(vectors, max_iter, reg_param, "target", "times")
-        fitted.append(EnsembleMember(vocabulary, model))
-    return fitted
+        vectors = to_vectors(rows, vocabulary.count(), keep)
+        return EnsembleMember(
+            vocabulary, fit_logistic(vectors, max_iter, reg_param, "target", "times")
+        )
+
+    # Members are independent fits of many short jobs, so some run side by side.
+    with ThreadPoolExecutor(max_workers=min(members, PARALLEL_FITS)) as pool:
+        return list(pool.map(inheritable_thread_target(train.sparkSession)(fit_member), range(members)))
 
 
 def ensemble_scores(

@@ -488,6 +488,20 @@ FROM preds JOIN temps USING (model) WHERE split = 'test'"""
     sql["platt_apply"] = f"""
 WITH {_EVENTS} SELECT model, id,
   round({_clip('(' + _sigmoid('(0.75::DOUBLE * score - 0.2::DOUBLE)') + ')')}, 9) AS prob FROM ev"""
+    sql["platt_fit"] = f"""
+WITH RECURSIVE {_EVENT_SPLITS},
+cal AS MATERIALIZED (SELECT model, score AS z, target AS y FROM preds WHERE split = 'calibration'),
+descent(model, step, a, b) AS (
+  SELECT DISTINCT model, 0, 1.0::DOUBLE, 0.0::DOUBLE FROM cal
+  UNION ALL
+  SELECT model, step + 1,
+         a - 0.03::DOUBLE / sqrt(1 + step / 100.0::DOUBLE) * (ga + 1e-4::DOUBLE * a),
+         b - 0.03::DOUBLE / sqrt(1 + step / 100.0::DOUBLE) * gb
+  FROM (SELECT d.model, d.step, d.a, d.b, avg((1 / (1 + exp(-(d.a * z + d.b))) - y) * z) AS ga,
+               avg(1 / (1 + exp(-(d.a * z + d.b))) - y) AS gb
+        FROM descent d JOIN cal USING (model) WHERE d.step < 1500
+        GROUP BY d.model, d.step, d.a, d.b))
+SELECT model, round(a, 5) AS slope, round(b, 5) AS intercept FROM descent WHERE step = 1500"""
     sql["isotonic_fit"] = f"""
 WITH {_EVENT_CALIBRATION} SELECT model, lo, hi, last, value FROM blocks"""
     sql["isotonic_apply"] = f"""

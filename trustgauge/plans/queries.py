@@ -273,7 +273,7 @@ def platt_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def platt_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _calibration(spark, sf_dir)
-    return _rounded(calibrate.fit_platt(rows), 6, "slope", "intercept")
+    return _rounded(calibrate.fit_platt(rows), 5, "slope", "intercept")
 
 
 def isotonic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -524,6 +524,7 @@ def registry() -> dict[str, Query]:
         "temperature_losses": temperature_losses,
         "temperature_fit": temperature_fit,
         "temperature_apply": temperature_apply,
+        "platt_fit": platt_fit,
         "platt_apply": platt_apply,
         "isotonic_fit": isotonic_fit,
         "isotonic_apply": isotonic_apply,
@@ -551,7 +552,6 @@ def registry() -> dict[str, Query]:
         "category_matrix": category_matrix,
         "external_experiment": external_experiment,
         # No SQL for these: iterative fits and the job that holds them.
-        "platt_fit": platt_fit,
         "logistic": _trained("logreg_tfidf"),
         "label_smoothing": _trained("label_smoothing"),
         "linear_svm": _trained("linear_svm_tfidf"),
