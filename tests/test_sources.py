@@ -58,7 +58,7 @@ def test_parquet_source(spark, tmp_path):
 def test_saved_errors_are_categorised_again(spark, tmp_path):
     path = write(
         tmp_path / "errors.csv",
-        "model,text,true_label,predicted_label,confidence,prob_disaster\n"
+        "model,text,true_label,predicted_label,confidence,prob_yes\n"
         "a/raw,a movie,0,1,0.97,0.97\na/raw,flood,1,0,0.91,0.09\n",
     )
     written = experiment.recategorize_saved(spark, path, str(tmp_path / "out"))

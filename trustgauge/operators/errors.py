@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trustgauge.functions.rules import error_category
 from trustgauge.functions.scalars import HIGH_CONFIDENCE, confidence, predicted_label
 from trustgauge.functions.text import extract_keyword
+from trustgauge.sources.workspace import settle
 
 # Report sizes and the cut of an example text.
 TOP_ERRORS = 12
@@ -44,11 +45,13 @@ def high_confidence_errors(
 
     The ranking runs on narrow rows; texts are looked up for the few rows that are left.
     """
-    top = _top_errors(
-        wrong_predictions(predictions).select(
-            "model", "id", "true_label", "predicted_label", "confidence", "prob_positive"
-        ),
-        top_n,
+    top = settle(
+        _top_errors(
+            wrong_predictions(predictions).select(
+                "model", "id", "true_label", "predicted_label", "confidence", "prob_positive"
+            ),
+            top_n,
+        )
     )
     return top.join(texts.select("id", "text"), "id").select(
         "model", "id", "text", "true_label", "predicted_label", "confidence", "prob_positive"
@@ -61,21 +64,36 @@ def error_analysis(
     threshold: float = HIGH_CONFIDENCE,
     phrases: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """One row per wrong prediction with category, confidence flag, keyword and text."""
-    errors = wrong_predictions(predictions).join(texts.select("id", "text"), "id")
+    """One row per wrong prediction with category, confidence flag, keyword and text.
+
+    The variants that fail on a document in the same way are listed on one row, so each text
+    is joined and searched once, not once per variant.
+    """
+    mistakes = wrong_predictions(predictions).groupBy(
+        "id", "true_label", "predicted_label"
+    ).agg(F.collect_list(F.struct("model", "confidence", "prob_positive")).alias("_models"))
     category = error_category(
         F.col("text"), F.col("true_label"), F.col("predicted_label"), phrases
     )
-    return errors.select(
-        "model",
+    judged = mistakes.join(texts.select("id", "text"), "id").select(
         "id",
         category.alias("category"),
         "true_label",
         "predicted_label",
+        extract_keyword(F.col("text")).alias("keyword"),
+        "text",
+        "_models",
+    )
+    return judged.select(*judged.columns[:-1], F.inline_outer("_models")).select(
+        "model",
+        "id",
+        "category",
+        "true_label",
+        "predicted_label",
         "confidence",
         "prob_positive",
         (F.col("confidence") >= F.lit(threshold)).alias("is_high_confidence"),
-        extract_keyword(F.col("text")).alias("keyword"),
+        "keyword",
         "text",
     )
 

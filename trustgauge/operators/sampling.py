@@ -61,7 +61,7 @@ def limit_rows(
 
 
 def bootstrap_draws(n_rows: int, members: int, seed: int, spark) -> DataFrame:
-    """n draws with replacement per member, counted: (member, rank, multiplicity)."""
+    """n draws with replacement per member: one (member, rank) row per draw."""
     # Fixed value: 15 hex digits of the hash, so a draw stays uniform far beyond 2^32 rows.
     digits = 15
     slot = F.col("id")
@@ -69,11 +69,8 @@ def bootstrap_draws(n_rows: int, members: int, seed: int, spark) -> DataFrame:
     draw = F.conv(
         F.substring(F.md5(F.concat(F.lit(f"{seed}:"), slot.cast("string"))), 1, digits), 16, 10
     ).cast("long")
-    return (
-        spark.range(n_rows * members)
-        .select(member.alias("member"), F.pmod(draw, F.lit(n_rows)).alias("rank"))
-        .groupBy("member", "rank")
-        .agg(F.count(F.lit(1)).alias("multiplicity"))
+    return spark.range(n_rows * members).select(
+        member.alias("member"), F.pmod(draw, F.lit(n_rows)).alias("rank")
     )
 
 
@@ -89,10 +86,7 @@ def bootstrap_multiplicities(
     n_rows = df.count()
     draws = bootstrap_draws(n_rows, members, seed, df.sparkSession)
     wide = draws.groupBy("rank").agg(
-        *[
-            F.sum(F.when(F.col("member") == m, F.col("multiplicity")).otherwise(0)).alias(f"_m{m}")
-            for m in range(members)
-        ]
+        *[F.count_if(F.col("member") == m).alias(f"_m{m}") for m in range(members)]
     )
     counts = F.array(*[F.coalesce(F.col(f"_m{m}"), F.lit(0)).cast("int") for m in range(members)])
     return ranked.join(wide, "rank", "left").select(id_col, counts.alias("multiplicities"))

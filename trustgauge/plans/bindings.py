@@ -19,30 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as (id, text), the source standing in for the keyword column."""
-    raw = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source")
-    return by_key(raw, "id").select(
-        "id", compose_text(F.col("text"), F.col("source")).alias("text")
+def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as (id, text), partitioned as it is read."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        compose_text(F.col("text"), F.col("source")).alias("text"),
     )
 
 
-def labelled(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
-    """Labelled documents as (id, keyword, text, target), text as it is in the table.
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as (id, text), the source standing in for the keyword column.
 
-    The documents are cut by id before the join, which serves the join and every later
-    grouping by id.
+    Cut by id, since the callers widen each text into many terms.
     """
-    docs = by_key(
-        table(spark, sf_dir, "documents").select(
-            F.col("doc_id").alias("id"), F.col("source").alias("keyword"), "text"
-        ),
-        "id",
-    )
-    labels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("id"), F.col(label).alias("target")
+    raw = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    return by_key(raw, "id").select(
+        "id", compose_text(F.col("text"), F.col("source")).alias("text")
     )
-    return docs.join(labels, "id").select("id", "keyword", "text", "target")
 
 
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,8 +167,8 @@ temps AS MATERIALIZED (
 
 
 def _blocks(source: str) -> str:
-    """Isotonic blocks: a point ends a block when no run behind it has a lower mean than the
-    highest mean of a run up to it."""
+    """Isotonic blocks: a point ends a block when every run behind it has a higher mean than
+    any run up to it."""
     return f"""
 points AS MATERIALIZED (
   SELECT model, prob AS x, count(*) AS w, sum(target) AS s,
@@ -188,7 +188,7 @@ down AS MATERIALIZED (
 ends AS MATERIALIZED (
   SELECT s.model, s.x, s.i, s.cw, s.cs
   FROM sums s JOIN up USING (model, i) LEFT JOIN down USING (model, i)
-  WHERE down.low IS NULL OR up.top <= down.low),
+  WHERE down.low IS NULL OR up.top < down.low),
 blocks AS MATERIALIZED (
   SELECT model, lag(x) OVER o AS lo, x AS hi, lead(x) OVER o IS NULL AS last,
          (cs - coalesce(lag(cs) OVER o, 0))::DOUBLE / (cw - coalesce(lag(cw) OVER o, 0))::DOUBLE

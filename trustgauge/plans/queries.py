@@ -20,7 +20,7 @@ from trustgauge.plans import bindings as b
 from trustgauge.plans import experiment
 from trustgauge.sources.labelled import load_labelled_csv
 from trustgauge.sources.sinks import write_table
-from trustgauge.sources.workspace import by_key, settle, workspace_dir
+from trustgauge.sources.workspace import by_key, scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,16 +38,15 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 def labelled_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents written as CSV, with line breaks and quotes, and read back."""
     docs = b.table(spark, sf_dir, "documents").join(b.table(spark, sf_dir, "labels"), "doc_id")
-    folder = f"{workspace_dir(spark)}/trustgauge/labelled-{spark.sparkContext.applicationId}"
     out = docs.select(
         F.col("doc_id").alias("id"), F.col("source").alias("keyword"), "lang", "text",
         F.col("quality").alias("target"),
     )
-    return load_labelled_csv(spark, write_table(out, folder, "labelled", "csv"))
+    return load_labelled_csv(spark, write_table(out, scratch_path(spark), "labelled", "csv"))
 
 
 def compose_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.documents(spark, sf_dir)
+    return b.document_texts(spark, sf_dir)
 
 
 def keyword_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +73,7 @@ def raw_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.documents(spark, sf_dir).select(
+    return b.document_texts(spark, sf_dir).select(
         "id", text.extract_keyword(F.col("text")).alias("keyword")
     )
 
@@ -372,7 +371,7 @@ def conformal_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def high_confidence_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors.high_confidence_errors(
-        b.document_predictions(spark, sf_dir), b.documents(spark, sf_dir)
+        b.document_predictions(spark, sf_dir), b.document_texts(spark, sf_dir)
     )
 
 
@@ -381,14 +380,14 @@ def error_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = b.table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("id"), F.col("quality").alias("target")
     )
-    rows = b.documents(spark, sf_dir).join(labels, "id")
+    rows = b.document_texts(spark, sf_dir).join(labels, "id")
     category = rules.error_category(F.col("text"), F.col("target"), 1 - F.col("target"))
     return rows.select("id", category.alias("category"))
 
 
 def _errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors.error_analysis(
-        b.document_predictions(spark, sf_dir), b.documents(spark, sf_dir)
+        b.document_predictions(spark, sf_dir), b.document_texts(spark, sf_dir)
     )
 
 

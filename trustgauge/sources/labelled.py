@@ -27,10 +27,10 @@ SAVED_ERROR_TYPES = {
 COPY_RUN = 10_000
 
 
-def _read_csv(spark: SparkSession, path: str) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header, quoted line breaks and doubled quotes; every column a string."""
     try:
-        raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+        raw = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no labelled table at {path}") from error
@@ -82,12 +82,15 @@ def with_row_ids(df: DataFrame) -> DataFrame:
     )
 
 
-def load_labelled_csv(spark: SparkSession, path: str) -> DataFrame:
+def load_labelled_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Labelled CSV: text and target checked and typed, other columns kept as strings.
 
+    Texts may hold line breaks, so a file is read by one task; a very large input should come
+    in many files, or with ``multi_line=False`` when no text has a line break.
+
     A numeric ``id`` column becomes a long; without an ``id`` one is derived from the row.
     """
-    df = checked_labels(_read_csv(spark, path), path)
+    df = checked_labels(_read_csv(spark, path, multi_line), path)
     if "id" not in df.columns:
         return with_row_ids(df)
     return df.withColumn("id", F.col("id").cast("long"))

@@ -26,6 +26,11 @@ def workspace_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{workspace_dir(spark)}/trustgauge/{uuid.uuid4().hex}"
+
+
 def settle(
     df: DataFrame,
     partition_by: Sequence[str] = (),
@@ -38,7 +43,7 @@ def settle(
     the files stay under spark.sql.autoBroadcastJoinThreshold, and a shuffle join beyond it.
     """
     spark = df.sparkSession
-    path = f"{workspace_dir(spark)}/trustgauge/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -1,0 +1 @@
+"""Fitted calibrators and error rules on streams."""
