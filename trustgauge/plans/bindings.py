@@ -10,7 +10,7 @@ from trustgauge.functions.text import compose_text
 from trustgauge.operators.features import fit_vocabulary, tfidf
 from trustgauge.operators.linear import fit_naive_bayes, linear_scores, with_probability
 from trustgauge.operators.sampling import stratified_split
-from trustgauge.sources.workspace import by_key, settle
+from trustgauge.sources.workspace import by_key, settle, spread
 
 SEED = 42
 
@@ -96,9 +96,7 @@ def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     v = F.col("value")
     model = F.concat(F.lit("m"), F.pmod("user_id", F.lit(4)).cast("string"), F.lit("/raw"))
-    # A small table comes as one file; its rows are spread before they are widened.
-    spread = by_key(events, "event_id").withColumn("model", model)
-    return spread.select(
+    return events.withColumn("model", model).select(
         "model",
         base_model(F.col("model")).alias("base_model"),
         method(F.col("model")).alias("method"),
@@ -112,7 +110,7 @@ def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event scores with a stratified split, written once, one folder per split."""
     return settle(
-        stratified_split(event_scores(spark, sf_dir), seed=SEED).select(
+        stratified_split(spread(event_scores(spark, sf_dir), "id"), seed=SEED).select(
             "model", "base_model", "method", "split", "id", "target", "score", "prob"
         ),
         partition_by=["split"],

@@ -20,7 +20,7 @@ from trustgauge.plans import bindings as b
 from trustgauge.plans import experiment
 from trustgauge.sources.labelled import load_labelled_csv
 from trustgauge.sources.sinks import write_table
-from trustgauge.sources.workspace import by_key, scratch_path, settle
+from trustgauge.sources.workspace import scratch_path, settle, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -457,7 +457,7 @@ def category_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def external_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logits of a model run elsewhere, calibrated and evaluated like our own."""
-    events = by_key(b.table(spark, sf_dir, "events"), "event_id")
+    events = spread(b.table(spark, sf_dir, "events"), "event_id")
     half = F.ln((F.col("value") + 1.0) / 51.0) / 2.0
     target = F.col("event_type").isin("error", "purchase").cast("int")
     truth = stratified_split(

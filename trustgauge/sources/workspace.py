@@ -55,6 +55,16 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table of few files over the tasks; a table of many files stays as it is.
+
+    For rows that are widened inside the task, such as scores against a grid.
+    """
+    if len(df.inputFiles()) >= shuffle_width(df.sparkSession):
+        return df
+    return by_key(df, *keys)
+
+
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by key once, so later groupings on the key need no shuffle.
 
