@@ -5,10 +5,8 @@ A fitted model is a :class:`LinearModel`: a settled table (idx, weight) and an i
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +21,7 @@ from trustgauge.operators.features import (
     tfidf,
     to_vectors,
 )
+from trustgauge.operators.parallel import side_by_side
 from trustgauge.operators.sampling import bootstrap_multiplicities
 from trustgauge.sources.workspace import by_key, settle
 
@@ -36,9 +35,6 @@ ENSEMBLE = {"max_iter": 33, "reg_param": 1e-3}
 SVM = {"max_iter": 36, "reg_param": 1e-3}
 SMOOTHING = 0.10
 
-# Ensemble members fitted at the same time.
-PARALLEL_FITS = 5
-
 
 @dataclass(frozen=True)
 class LinearModel:
@@ -198,6 +194,36 @@ class EnsembleMember:
     model: LinearModel
 
 
+def member_vocabularies(
+    docs: DataFrame,
+    drawn: DataFrame,
+    members: int,
+    min_df: int = MIN_DF,
+    max_features: int = MAX_FEATURES,
+    ngram_range: tuple[int, int] = NGRAMS,
+) -> list[DataFrame]:
+    """Vocabulary of every bootstrap sample; a document drawn twice counts as two.
+
+    Text is cut into terms once: one grouping by term sums the term and document counts of
+    all members side by side.
+    """
+    weighted = term_counts(docs, ngram_range).join(by_key(drawn, "id"), "id")
+    sums = []
+    for m in range(members):
+        times = F.get("multiplicities", F.lit(m))
+        sums += [F.sum(F.col("c") * times).alias(f"tf{m}"), F.sum(times).alias(f"df{m}")]
+    frequencies = settle(weighted.groupBy("term").agg(*sums))
+    n_docs = F.lit(drawn.count())
+
+    def select_member(m: int) -> DataFrame:
+        mine = frequencies.select(
+            "term", F.col(f"tf{m}").alias("tf"), F.col(f"df{m}").alias("df")
+        ).where("df > 0")
+        return settle(select_vocabulary(mine, n_docs, min_df, max_features))
+
+    return side_by_side(docs.sparkSession, select_member, range(members))
+
+
 def fit_ensemble(
     train: DataFrame,
     members: int = 5,
@@ -210,36 +236,23 @@ def fit_ensemble(
 ) -> list[EnsembleMember]:
     """Logistic regressions on bootstrap samples, each with its own vocabulary.
 
-    A sample is a column of multiplicities, so text is cut into terms once for all members:
-    one grouping by term sums the term and document counts of every member side by side.
+    A sample is a column of multiplicities, used as row weights.
     """
     drawn = settle(bootstrap_multiplicities(train, members, seed=seed))
     docs = by_key(train, "id")
-    weighted = term_counts(docs, ngram_range).join(by_key(drawn, "id"), "id")
-    sums = []
-    for m in range(members):
-        times = F.get("multiplicities", F.lit(m))
-        sums += [F.sum(F.col("c") * times).alias(f"tf{m}"), F.sum(times).alias(f"df{m}")]
-    frequencies = settle(weighted.groupBy("term").agg(*sums))
-    n_docs = train.count()
+    vocabularies = member_vocabularies(docs, drawn, members, min_df, max_features, ngram_range)
     keep = ("id", "target", "times")
 
     def fit_member(m: int) -> EnsembleMember:
-        mine = frequencies.select(
-            "term", F.col(f"tf{m}").alias("tf"), F.col(f"df{m}").alias("df")
-        ).where("df > 0")
-        vocabulary = settle(select_vocabulary(mine, F.lit(n_docs), min_df, max_features))
         times = F.get("multiplicities", F.lit(m)).alias("times")
         sample = docs.join(drawn.select("id", times).where("times > 0"), "id")
-        rows = tfidf(sample, vocabulary, ngram_range, max_features, keep)
-        vectors = to_vectors(rows, vocabulary.count(), keep)
+        rows = tfidf(sample, vocabularies[m], ngram_range, max_features, keep)
+        vectors = to_vectors(rows, vocabularies[m].count(), keep)
         return EnsembleMember(
-            vocabulary, fit_logistic(vectors, max_iter, reg_param, "target", "times")
+            vocabularies[m], fit_logistic(vectors, max_iter, reg_param, "target", "times")
         )
 
-    # Members are independent fits of many short jobs, so some run side by side.
-    with ThreadPoolExecutor(max_workers=min(members, PARALLEL_FITS)) as pool:
-        return list(pool.map(inheritable_thread_target(train.sparkSession)(fit_member), range(members)))
+    return side_by_side(train.sparkSession, fit_member, range(members))
 
 
 def ensemble_scores(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustgauge.functions.scalars import (
@@ -183,5 +183,15 @@ def best_variant(board: DataFrame) -> DataFrame:
     return board.orderBy("ece", "log_loss", "model").limit(1)
 
 
+def family_order(board: DataFrame) -> DataFrame:
+    """Base models by their best variant: (base_model, place), first place first."""
+    best = board.groupBy("base_model").agg(
+        F.min(F.struct("ece", "log_loss", "model")).alias("_best")
+    )
+    # One row per model family.
+    place = F.row_number().over(Window.orderBy("_best"))
+    return best.select("base_model", place.alias("place")).orderBy("place")
+
+
 def split_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -43,7 +43,7 @@ doc_terms AS MATERIALIZED (
   GROUP BY ALL)"""
 
 
-def _vocabulary(name: str, terms: str, docs: str, limit: int = 15000) -> str:
+def _vocabulary(name: str, terms: str, docs: str, limit: int | str = 15000) -> str:
     return f"""
 {name} AS MATERIALIZED (
   SELECT term, (row_number() OVER (ORDER BY tf DESC, term) - 1)::INTEGER AS idx, tf, df,
@@ -403,6 +403,37 @@ FROM docs d LEFT JOIN (
   SELECT id, string_agg(idx::VARCHAR, ' ' ORDER BY pos) AS token_ids
   FROM placed JOIN vocab USING (term) GROUP BY id) e USING (id)"""
 
+    sql["document_embeddings"] = f"""
+WITH {_DOCS},
+doc_tokens AS MATERIALIZED (SELECT id, {_tokens('text')} AS tok FROM docs),
+placed AS MATERIALIZED (SELECT id, unnest(tok) AS term FROM doc_tokens),
+token_counts AS MATERIALIZED (SELECT id, term, count(*) AS c FROM placed GROUP BY ALL),
+{_vocabulary('vocab', 'token_counts', 'docs', '(SELECT count(*) FROM embeddings)')},
+parts AS MATERIALIZED (
+  SELECT t.id, d.dim, sum(t.c) AS n, sum(t.c * e.embedding[d.dim + 1]::DOUBLE) AS total
+  FROM token_counts t JOIN vocab USING (term) JOIN embeddings e ON e.vec_id = vocab.idx,
+       range(64) d(dim)
+  GROUP BY t.id, d.dim)
+SELECT docs.id, d.dim::INTEGER AS dim, round(coalesce(p.total / p.n, 0.0::DOUBLE), 8) AS value
+FROM docs CROSS JOIN range(64) d(dim) LEFT JOIN parts p ON p.id = docs.id AND p.dim = d.dim"""
+    sql["ensemble_vocabularies"] = f"""
+WITH {_TRAIN_FEATURES},
+ranked AS MATERIALIZED (
+  SELECT id, row_number() OVER (ORDER BY md5('142:' || id), id) - 1 AS rank FROM train_docs),
+size AS (SELECT count(*) AS n FROM train_docs),
+times AS MATERIALIZED (
+  SELECT member, id, count(*) AS times
+  FROM (SELECT slot // n AS member, ('0x' || substr(md5('142:' || slot), 1, 15))::BIGINT % n AS rank
+        FROM size, range((SELECT 5 * n FROM size)) g(slot)) JOIN ranked USING (rank)
+  GROUP BY ALL)
+SELECT term, (row_number() OVER (PARTITION BY member ORDER BY tf DESC, term) - 1)::INTEGER AS idx,
+       tf, df, round(ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE, 8) AS idf,
+       member::INTEGER AS member
+FROM (SELECT member, term, sum(c * times)::BIGINT AS tf, sum(times)::BIGINT AS df
+      FROM train_terms JOIN times USING (id) GROUP BY ALL), size
+WHERE df >= 2
+QUALIFY idx < 15000"""
+
     # sampling
     sql["stratified_split"] = f"WITH {_LABELLED} SELECT id, target, split FROM split_docs"
     sql["stratified_split_events"] = f"WITH {_EVENT_SPLITS} SELECT id, target, split FROM preds"
@@ -528,6 +559,13 @@ WITH {_FAMILY},{_metrics('family')}
 SELECT model, round(ece, 8) AS ece, round(log_loss, 8) AS log_loss
 FROM metrics JOIN eces USING (model) ORDER BY eces.ece, metrics.log_loss, model LIMIT 1"""
 
+    sql["family_order"] = f"""
+WITH {_FAMILY},{_metrics('family')}
+SELECT base_model, row_number() OVER (ORDER BY best)::INTEGER AS place
+FROM (SELECT split_part(model, '/', 1) AS base_model,
+             min({{'a': eces.ece, 'b': metrics.log_loss, 'c': model}}) AS best
+      FROM metrics JOIN eces USING (model) GROUP BY ALL)"""
+
     # conformal
     sql["conformal_quantile"] = f"WITH {_CONFORMAL} SELECT model, alpha, n, qhat FROM quantiles"
     sql["conformal_sets"] = f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from trustgauge.functions.text import compose_text
 from trustgauge.operators import calibrate, chartdata, conformal, errors, features, linear, metrics
 from trustgauge.operators.mlp import MlpSettings, fit_mlp, mlp_scores
+from trustgauge.operators.parallel import side_by_side
 from trustgauge.operators.sampling import stratified_split
 from trustgauge.plans.bindings import as_predictions
 from trustgauge.sources.labelled import load_saved_errors
@@ -191,11 +193,10 @@ def run_experiment(docs: DataFrame, settings: Settings = Settings()) -> dict[str
         if (settings.extra_models or name not in EXTRA_FAMILIES)
         and (settings.ensemble_size > 0 or name != "bootstrap_ensemble")
     ]
-    raw = None
-    for name in names:
-        part = FAMILIES[name](prepared, settings)
-        raw = part if raw is None else raw.unionByName(part)
-    raw = settle(raw, partition_by=["split"])
+    parts = side_by_side(
+        docs.sparkSession, lambda name: FAMILIES[name](prepared, settings), names
+    )
+    raw = settle(reduce(DataFrame.unionByName, parts), partition_by=["split"])
     variants, notes = calibrate_variants(raw, settings.include_platt)
     tables = evaluation_tables(variants, docs)
     candidates = conformal.conformal_candidates(

@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgauge.functions import rules, scalars, text
-from trustgauge.operators import calibrate, chartdata, conformal, errors, features, metrics
+from trustgauge.operators import (
+    calibrate,
+    chartdata,
+    conformal,
+    errors,
+    features,
+    linear,
+    metrics,
+    mlp,
+)
 from trustgauge.operators.external import external_predictions
 from trustgauge.operators.linear import fit_naive_bayes, linear_scores
 from trustgauge.operators.sampling import (
@@ -18,7 +29,7 @@ from trustgauge.operators.sampling import (
 )
 from trustgauge.plans import bindings as b
 from trustgauge.plans import experiment
-from trustgauge.sources.labelled import load_labelled_csv
+from trustgauge.sources.labelled import load_labelled_csv, load_saved_errors
 from trustgauge.sources.sinks import write_table
 from trustgauge.sources.workspace import scratch_path, settle, spread
 
@@ -104,6 +115,21 @@ def mlp_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("id", F.array_join(ids, " ").alias("token_ids"))
 
 
+def document_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean vector of each document, the given vectors standing for the most frequent tokens."""
+    docs = b.documents(spark, sf_dir)
+    vectors = b.table(spark, sf_dir, "embeddings")
+    size = vectors.count()
+    if size > features.MAX_TOKENS:
+        raise ValueError("more vectors than a token vocabulary may hold")
+    table = np.array([r["embedding"] for r in vectors.orderBy("vec_id").collect()], dtype=float)
+    encoded = features.encode(docs, features.fit_token_vocabulary(docs, max_tokens=size))
+    means = mlp.document_embeddings(encoded, table)
+    return means.select("id", F.posexplode("embedding").alias("dim", "value")).select(
+        "id", "dim", F.round("value", 8).alias("value")
+    )
+
+
 # --- sampling --------------------------------------------------------------------------------
 
 
@@ -335,6 +361,10 @@ def best_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(best.select("model", "ece", "log_loss"), 8, "ece", "log_loss")
 
 
+def family_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.family_order(metrics.leaderboard(_family(spark, sf_dir)))
+
+
 # --- conformal -------------------------------------------------------------------------------
 
 
@@ -406,12 +436,11 @@ def error_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recategorize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Saved errors, read back from disk, categorised again and summarised."""
-    saved = settle(
-        _errors(spark, sf_dir).select(
-            "model", "text", "true_label", "predicted_label", "confidence", "prob_positive"
-        )
+    """Errors saved as CSV, read back, categorised again and summarised."""
+    path = write_table(
+        _errors(spark, sf_dir), scratch_path(spark), "high_confidence_errors", "csv"
     )
+    saved = load_saved_errors(spark, path)
     return _rounded(
         errors.error_category_summary(errors.recategorize(saved)), 8, "mean_confidence"
     )
@@ -474,6 +503,15 @@ def external_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ensemble_vocabularies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of each of five bootstrap samples of the train split."""
+    train = b.split_documents(spark, sf_dir).where("split = 'train'")
+    drawn = settle(bootstrap_multiplicities(train.select("id"), 5, seed=142))
+    known = linear.member_vocabularies(train, drawn, 5)
+    parts = [v.withColumn("member", F.lit(m)) for m, v in enumerate(known)]
+    return _rounded(reduce(DataFrame.unionByName, parts), 8, "idf")
+
+
 def _trained(part: str) -> Query:
     """Test-split metrics of one trained model family."""
 
@@ -508,6 +546,8 @@ def registry() -> dict[str, Query]:
         "vocabulary_unlimited": vocabulary_unlimited,
         "tfidf": tfidf,
         "mlp_encode": mlp_encode,
+        "document_embeddings": document_embeddings,
+        "ensemble_vocabularies": ensemble_vocabularies,
         "stratified_split": stratified_split_documents,
         "stratified_split_events": stratified_split_events,
         "limit_rows": limited_rows,
@@ -534,6 +574,7 @@ def registry() -> dict[str, Query]:
         "rejection_curve": rejection_curve,
         "leaderboard": leaderboard,
         "best_variant": best_variant,
+        "family_order": family_order,
         "conformal_quantile": conformal_quantile,
         "conformal_sets": conformal_sets,
         "conformal_eval": conformal_eval,
