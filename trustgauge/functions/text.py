@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -78,8 +77,9 @@ def extract_keyword(text: Column) -> Column:
     return F.lower(strip_spaces(F.regexp_extract(text, KEYWORD_PATTERN, 1)))
 
 
-def contains_any(text: Column, phrases: Sequence[str]) -> Column:
-    """Case-insensitive substring match, also inside words: one scan of the text per list."""
-    if not phrases:
-        return F.lit(False)
-    return F.rlike(F.lower(text), F.lit("|".join(re.escape(phrase) for phrase in phrases)))
+def contains_any(lowered: Column, phrases: Sequence[str]) -> Column:
+    """Substring match, also inside words, against text that is in lower case already."""
+    found = F.lit(False)
+    for phrase in phrases:
+        found = found | F.contains(lowered, F.lit(phrase))
+    return found

@@ -19,6 +19,20 @@ EXAMPLE_CHARS = 220
 EXAMPLE_KEEP = 217
 
 
+def with_category(
+    rows: DataFrame,
+    target: str,
+    predicted: str,
+    phrases: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Add ``category``; the text is lowered once, in a step of its own."""
+    category = error_category(
+        F.col("text"), F.col(target), F.col(predicted), phrases, F.col("_lowered")
+    )
+    lowered = rows.withColumn("_lowered", F.lower("text"))
+    return lowered.withColumn("category", category).drop("_lowered")
+
+
 def wrong_predictions(predictions: DataFrame) -> DataFrame:
     p = F.col("prob")
     return (
@@ -72,12 +86,10 @@ def error_analysis(
     mistakes = wrong_predictions(predictions).groupBy(
         "id", "true_label", "predicted_label"
     ).agg(F.collect_list(F.struct("model", "confidence", "prob_positive")).alias("_models"))
-    category = error_category(
-        F.col("text"), F.col("true_label"), F.col("predicted_label"), phrases
-    )
-    judged = mistakes.join(texts.select("id", "text"), "id").select(
+    found = mistakes.join(texts.select("id", "text"), "id")
+    judged = with_category(found, "true_label", "predicted_label", phrases).select(
         "id",
-        category.alias("category"),
+        "category",
         "true_label",
         "predicted_label",
         extract_keyword(F.col("text")).alias("keyword"),
@@ -128,8 +140,7 @@ def recategorize(
     saved: DataFrame, phrases: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
     """Category of already saved errors; all of them count as highly confident."""
-    category = error_category(
-        F.col("text"), F.col("true_label"), F.col("predicted_label"), phrases
+    out = with_category(saved, "true_label", "predicted_label", phrases).withColumn(
+        "is_high_confidence", F.lit(True)
     )
-    out = saved.withColumn("category", category).withColumn("is_high_confidence", F.lit(True))
     return out if "keyword" in saved.columns else out.withColumn("keyword", F.lit(""))

@@ -20,10 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as (id, text), partitioned as it is read."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"),
-        compose_text(F.col("text"), F.col("source")).alias("text"),
+    """Every document as (id, text), partitioned as it is read unless the files are few."""
+    raw = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    return spread(raw, "id").select(
+        "id", compose_text(F.col("text"), F.col("source")).alias("text")
     )
 
 

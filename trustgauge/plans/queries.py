@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustgauge.functions import rules, scalars, text
+from trustgauge.functions import scalars, text
 from trustgauge.operators import (
     calibrate,
     chartdata,
@@ -411,8 +411,8 @@ def error_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("id"), F.col("quality").alias("target")
     )
     rows = b.document_texts(spark, sf_dir).join(labels, "id")
-    category = rules.error_category(F.col("text"), F.col("target"), 1 - F.col("target"))
-    return rows.select("id", category.alias("category"))
+    flipped = rows.withColumn("predicted", 1 - F.col("target"))
+    return errors.with_category(flipped, "target", "predicted").select("id", "category")
 
 
 def _errors(spark: SparkSession, sf_dir: str) -> DataFrame:

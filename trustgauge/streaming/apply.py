@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trustgauge.functions.rules import error_category
 from trustgauge.functions.scalars import predicted_label
 from trustgauge.operators.calibrate import calibrated_family
+from trustgauge.operators.errors import with_category
 
 
 def calibrated_stream(
@@ -28,8 +28,8 @@ def calibrated_stream(
 def categorized_stream(labelled_predictions: DataFrame) -> DataFrame:
     """Add predicted label and error category to rows with text, target and prob."""
     label = predicted_label(F.col("prob"))
-    return labelled_predictions.withColumn("predicted_label", label).withColumn(
-        "category", error_category(F.col("text"), F.col("target"), F.col("predicted_label"))
+    return with_category(
+        labelled_predictions.withColumn("predicted_label", label), "target", "predicted_label"
     )
 
 
