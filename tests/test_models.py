@@ -56,7 +56,7 @@ def test_ensemble_mean_lies_within_its_members(spark, toy_corpus):
     copies = toy_corpus.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(4))))
     many = copies.select((F.col("id") + 10 * F.col("copy")).alias("id"), "text", "target")
     members = linear.fit_ensemble(many, members=2, min_df=1, max_features=100, seed=1)
-    scored = linear.ensemble_scores(toy_corpus, members, max_features=100).orderBy("id").collect()
+    scored = linear.ensemble_scores(toy_corpus, members).orderBy("id").collect()
     check([r["prob"] for r in scored])
     for r in scored:
         assert min(r["member_probs"]) - 1e-12 <= r["prob"] <= max(r["member_probs"]) + 1e-12
@@ -103,3 +103,17 @@ def test_mlp_chunks_cover_all_documents(monkeypatch):
     ranges = list(mlp._chunks(counts))
     assert ranges[0][0] == 0 and ranges[-1][1] == 7
     assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_one_pass_gives_the_rows_of_every_vocabulary(spark, toy_corpus):
+    docs = toy_corpus.unionByName(spark.createDataFrame([(9, "", 0), (8, "coffee coffee zzz", 1)], toy_corpus.schema))
+    known = [features.fit_vocabulary(docs, 1, n) for n in (3, 50)]
+    together = linear.ensemble_rows(docs, known).collect()
+    assert len(together) == 12
+    for m, vocabulary in enumerate(known):
+        alone = {r["id"]: r["features"] for r in features.tfidf(docs, vocabulary).collect()}
+        got = {r["id"]: r["features"] for r in together if r["member"] == m}
+        assert set(got) == set(alone)
+        for i, cells in alone.items():
+            assert [c["idx"] for c in got[i]] == [c["idx"] for c in cells]
+            assert np.allclose([c["w"] for c in got[i]], [c["w"] for c in cells])

@@ -24,7 +24,7 @@ NGRAMS = (1, 2)
 BROADCAST_TERMS = 500_000
 
 
-def _occurrences(docs: DataFrame, keep: list[str], ngram_range: tuple[int, int]) -> DataFrame:
+def occurrences(docs: DataFrame, keep: list[str], ngram_range: tuple[int, int]) -> DataFrame:
     """One row per term occurrence; a document without terms keeps one row with a null term.
 
     The outer explode also stops Catalyst from adding a size filter that would run the whole
@@ -40,7 +40,7 @@ def term_counts(
 ) -> DataFrame:
     """How often each document holds each term: (id, term, c)."""
     return (
-        _occurrences(docs, [id_col], ngram_range)
+        occurrences(docs, [id_col], ngram_range)
         .where(F.col("term").isNotNull())
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("c"))
@@ -126,7 +126,7 @@ def tfidf(
     """
     keys = list(keep)
     known = _lookup(
-        _occurrences(docs, keys, ngram_range),
+        occurrences(docs, keys, ngram_range),
         vocabulary.select("term", "idx", "idf"),
         max_features,
     )

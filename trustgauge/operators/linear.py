@@ -5,7 +5,9 @@ A fitted model is a :class:`LinearModel`: a settled table (idx, weight) and an i
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import DataFrame
@@ -16,9 +18,9 @@ from trustgauge.operators.features import (
     MAX_FEATURES,
     MIN_DF,
     NGRAMS,
+    occurrences,
     select_vocabulary,
     term_counts,
-    tfidf,
     to_vectors,
 )
 from trustgauge.operators.parallel import side_by_side
@@ -241,13 +243,16 @@ def fit_ensemble(
     drawn = settle(bootstrap_multiplicities(train, members, seed=seed))
     docs = by_key(train, "id")
     vocabularies = member_vocabularies(docs, drawn, members, min_df, max_features, ngram_range)
-    keep = ("id", "target", "times")
+    rows = settle(
+        ensemble_rows(docs, vocabularies, ngram_range, ("id", "target")), partition_by=["member"]
+    )
 
     def fit_member(m: int) -> EnsembleMember:
         times = F.get("multiplicities", F.lit(m)).alias("times")
-        sample = docs.join(drawn.select("id", times).where("times > 0"), "id")
-        rows = tfidf(sample, vocabularies[m], ngram_range, max_features, keep)
-        vectors = to_vectors(rows, vocabularies[m].count(), keep)
+        sample = rows.where(F.col("member") == m).join(
+            drawn.select("id", times).where("times > 0"), "id"
+        )
+        vectors = to_vectors(sample, vocabularies[m].count(), ("target", "times"))
         return EnsembleMember(
             vocabularies[m], fit_logistic(vectors, max_iter, reg_param, "target", "times")
         )
@@ -255,24 +260,88 @@ def fit_ensemble(
     return side_by_side(train.sparkSession, fit_member, range(members))
 
 
+def ensemble_rows(
+    docs: DataFrame,
+    vocabularies: Sequence[DataFrame],
+    ngram_range: tuple[int, int] = NGRAMS,
+    keep: tuple[str, ...] = ("id",),
+) -> DataFrame:
+    """TF-IDF rows of every document under every vocabulary: (..., member, features).
+
+    The text is cut and counted once, against the terms of all vocabularies; each counted term
+    then stands for its entries in the vocabularies that hold it.
+    """
+    keys = list(keep)
+    entries = reduce(
+        DataFrame.unionByName,
+        [
+            v.select("term", F.lit(m).alias("member"), "idx", "idf")
+            for m, v in enumerate(vocabularies)
+        ],
+    )
+    known = entries.groupBy("term").agg(
+        F.collect_list(F.struct("member", "idx", "idf")).alias("_entries")
+    )
+    # Settled: the term numbers are fixed then, and the lookup is a broadcast only below
+    # Spark's size threshold.
+    known = settle(known.withColumn("_term", F.monotonically_increasing_id()))
+    counted = (
+        occurrences(docs, keys, ngram_range)
+        .join(known.select("term", "_term"), "term", "left")
+        .groupBy(*keys, "_term")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    expanded = counted.join(known.select("_term", "_entries"), "_term", "left").select(
+        *keys, "_c", F.inline_outer("_entries")
+    )
+    weight = (F.lit(1.0) + F.ln(F.col("_c").cast("double"))) * F.col("idf")
+    weighted = expanded.select(*keys, "member", "idx", weight.alias("w"))
+    columns = []
+    for m in range(len(vocabularies)):
+        mine = F.col("member") == m
+        cells = F.collect_list(F.when(mine, F.struct("idx", "w")))
+        columns += [
+            F.sort_array(cells).alias(f"_cells{m}"),
+            F.sqrt(F.sum(F.when(mine, F.col("w") * F.col("w")))).alias(f"_norm{m}"),
+        ]
+    sides = F.array(
+        *[
+            F.struct(
+                F.lit(m).alias("member"),
+                F.col(f"_cells{m}").alias("cells"),
+                F.col(f"_norm{m}").alias("norm"),
+            )
+            for m in range(len(vocabularies))
+        ]
+    )
+    rows = weighted.groupBy(*keys).agg(*columns).select(*keys, F.inline(sides))
+    return rows.select(
+        *keys,
+        "member",
+        F.transform(
+            "cells", lambda cell: F.struct(cell.idx.alias("idx"), (cell.w / F.col("norm")).alias("w"))
+        ).alias("features"),
+    )
+
+
 def ensemble_scores(
     docs: DataFrame,
-    members: list[EnsembleMember],
+    members: Sequence[EnsembleMember],
     ngram_range: tuple[int, int] = NGRAMS,
-    max_features: int = MAX_FEATURES,
     keep: tuple[str, ...] = ("id",),
 ) -> DataFrame:
     """Mean member probability per document, with the member probabilities as an array."""
     keys = list(keep)
-    parts = None
-    for number, member in enumerate(members):
-        rows = tfidf(docs, member.vocabulary, ngram_range, max_features, keep)
-        part = with_probability(linear_scores(rows, member.model)).select(
-            *keys, F.lit(number).alias("_member"), F.col("prob").alias("_prob")
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    listed = F.sort_array(F.collect_list(F.struct("_member", "_prob")))
-    return parts.groupBy(*keys).agg(
-        F.avg("_prob").alias("prob"),
-        F.transform(listed, lambda cell: cell["_prob"]).alias("member_probs"),
+    rows = settle(
+        ensemble_rows(docs, [m.vocabulary for m in members], ngram_range, keep),
+        partition_by=["member"],
     )
+    parts = [
+        with_probability(linear_scores(rows.where(F.col("member") == number), member.model))
+        for number, member in enumerate(members)
+    ]
+    scored = reduce(DataFrame.unionByName, parts)
+    listed = F.sort_array(F.collect_list(F.struct("member", "prob")))
+    return scored.groupBy(*keys).agg(
+        F.avg("prob").alias("mean"), F.transform(listed, lambda cell: cell.prob).alias("member_probs")
+    ).withColumnRenamed("mean", "prob")

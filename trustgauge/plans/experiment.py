@@ -98,7 +98,7 @@ def bootstrap_ensemble(prepared: Prepared, settings: Settings) -> DataFrame:
         seed=settings.seed + 100,
     )
     scored = linear.ensemble_scores(
-        prepared.docs.where(HELD_OUT), members, settings.ngram_range, settings.max_features, KEEP
+        prepared.docs.where(HELD_OUT), members, settings.ngram_range, KEEP
     ).withColumn("score", F.lit(None).cast("double"))
     return as_predictions(scored, "logreg_tfidf", "bootstrap_ensemble")
 
