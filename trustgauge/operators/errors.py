@@ -125,15 +125,18 @@ def error_category_summary(errors: DataFrame) -> DataFrame:
 
 def error_examples(errors: DataFrame, n: int = EXAMPLES_PER_MODEL) -> DataFrame:
     """Top examples per model with the text on one line and cut to report length."""
-    line = F.regexp_replace("text", "\n", " ")
+    line = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
     shown = F.when(
         F.length(line) > EXAMPLE_CHARS, F.concat(F.substring(line, 1, EXAMPLE_KEEP), F.lit("..."))
     ).otherwise(line)
-    key = ["id"] if "id" in errors.columns else []
-    return _top_errors(errors, n).select(
-        "model", *key, "category", "true_label", "predicted_label", "confidence",
-        shown.alias("example"),
-    )
+    columns = [
+        *(["id"] if "id" in errors.columns else []),
+        "category", "true_label", "predicted_label", "confidence", "example",
+    ]
+    # With an id to break ties, only the short example goes through the ranking.
+    listed = errors.withColumn("example", shown)
+    ranked = listed.select("model", *columns) if "id" in columns else listed
+    return _top_errors(ranked, n).select("model", *columns)
 
 
 def recategorize(

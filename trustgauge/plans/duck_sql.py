@@ -370,14 +370,14 @@ FROM documents d JOIN labels l USING (doc_id)"""
         "SELECT doc_id AS id, trim(replace(coalesce(source, ''), '%20', ' ')) AS keyword FROM documents"
     )
     sql["tokenize"] = f"""
-WITH {_DOCS} SELECT id, len(tok) AS n_tokens, array_to_string(tok, ' ') AS tokens
+WITH {_DOCS} SELECT id, len(tok)::INTEGER AS n_tokens, array_to_string(tok, ' ') AS tokens
 FROM (SELECT id, {_tokens('text')} AS tok FROM docs)"""
     sql["ngrams"] = f"""
-WITH {_DOCS} SELECT id, len(terms) AS n_terms, array_to_string(terms, '|') AS terms
+WITH {_DOCS} SELECT id, len(terms)::INTEGER AS n_terms, array_to_string(terms, '|') AS terms
 FROM (SELECT id, list_concat(tok, {_BIGRAMS}) AS terms
       FROM (SELECT id, {_tokens('text')} AS tok FROM docs))"""
     sql["raw_token_count"] = f"""
-WITH {_DOCS} SELECT id, len(regexp_extract_all(lower(text), {_quoted(TOKEN_PATTERN)})) AS n_tokens
+WITH {_DOCS} SELECT id, len(regexp_extract_all(lower(text), {_quoted(TOKEN_PATTERN)}))::INTEGER AS n_tokens
 FROM docs"""
     sql["keyword_extract"] = f"WITH {_DOCS} SELECT id, {_KEYWORD} AS keyword FROM docs"
     sql["term_doc_frequency"] = f"""
