@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustgauge.functions.scalars import clip_probability, log_loss, sigmoid
+from trustgauge.sources.shipping import ship_package
 from trustgauge.sources.workspace import settle
 
 # The temperature grid 10^(-1.2) ... 10^(1.2) in 121 even steps of the exponent.
@@ -114,6 +115,7 @@ def fit_platt(predictions: DataFrame) -> DataFrame:
     rows there were; cells are narrowest where the sigmoid bends, which keeps the result
     within about 1e-7 of the same descent over single rows.
     """
+    ship_package(predictions.sparkSession)
     score = F.col("score")
     cell = F.floor(F.lit(PLATT_CELLS) * score / (F.lit(1.0) + F.abs(score)))
     points = predictions.groupBy("model", cell.alias("_cell")).agg(
@@ -203,6 +205,7 @@ def isotonic_blocks(predictions: DataFrame) -> DataFrame:
     plain aggregation, then every slice of the sorted points pools its own violators, and only
     the remaining blocks of a model meet in one task.
     """
+    ship_package(predictions.sparkSession)
     points = predictions.groupBy("model", F.col("prob").alias("hi")).agg(
         F.count(F.lit(1)).cast("double").alias("weight"),
         F.sum("target").cast("double").alias("positives"),
