@@ -76,6 +76,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(
+    string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, CAST(len(w) AS BIGINT) - 18)) AS i FROM d WHERE len(w) >= 20)
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM windows)
+  WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM later)
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS kept, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, CAST(len(w) AS BIGINT) + 1)) AS j FROM d) words
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = words.doc_id AND gone.j = words.j)
+  GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op1_chat_format": OP1, "op3_exact_dedup": OP3, "op9_quality_rules": OP9}
+    return {"op1_chat_format": OP1, "op3_exact_dedup": OP3, "op9_quality_rules": OP9,
+            "op10_substring_dedup": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustgauge.llm import chat, exactdup, quality
+from trustgauge.llm import chat, exactdup, quality, substrings
 from trustgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,9 +50,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_words", "n_removed",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
         "op3_exact_dedup": op3_exact_dedup,
         "op9_quality_rules": op9_quality_rules,
+        "op10_substring_dedup": op10_substring_dedup,
     }
