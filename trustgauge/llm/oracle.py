@@ -28,6 +28,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+OP2 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(CAST(len(w) AS BIGINT) - 1, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reach AS (
+  SELECT doc_id, doc_id AS root FROM d
+  UNION SELECT links.b, reach.root FROM reach JOIN links ON reach.doc_id = links.a
+), least AS (
+  SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id,
+  d.doc_id = component_id AS kept
+FROM d JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 OP3 = """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -103,5 +130,5 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 
 
 def statements() -> dict[str, str]:
-    return {"op1_chat_format": OP1, "op3_exact_dedup": OP3, "op9_quality_rules": OP9,
+    return {"op1_chat_format": OP1, "op2_minhash_near_dedup": OP2, "op3_exact_dedup": OP3, "op9_quality_rules": OP9,
             "op10_substring_dedup": OP10}

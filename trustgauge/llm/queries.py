@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustgauge.llm import chat, exactdup, quality, substrings
+from trustgauge.llm import chat, exactdup, neardup, quality, substrings
 from trustgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,16 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The query's own terms: shingles of three words, links from 0.85 on.
+NEAR = neardup.Settings(shingle=3, percent=85)
+
+
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "documents"), NEAR).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -61,6 +71,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_exact_dedup": op3_exact_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
