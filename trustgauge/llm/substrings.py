@@ -17,7 +17,7 @@ from trustgauge.sources.workspace import shuffle_width
 
 WINDOW = 20
 # Text hashed together: windows that repeat within it are told apart before any shuffle.
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 8 << 20
 BASES = (0xB5297A4D2F1C9E37, 0x68E31DA4C3A5B1D9)
 
 BLOCK_SCHEMA = (
