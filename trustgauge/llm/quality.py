@@ -49,6 +49,13 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _windows(hashes: Column) -> Column:
+    return F.transform(
+        F.slice(hashes, 1, F.size(hashes) - (WINDOW - 1)),
+        lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, WINDOW)]),
+    )
+
+
 def _covered(starts: Column) -> Column:
     """Words under windows that begin at these ascending places."""
     gaps = F.zip_with(
@@ -100,10 +107,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "_id", *MEASURES[:-1],
         F.when(
             F.col("n_words") >= WINDOW,
-            F.transform(
-                F.slice("_hashes", 1, F.size("_hashes") - (WINDOW - 1)),
-                lambda h, i: F.xxhash64(h, *[F.get("_hashes", i + k) for k in range(1, WINDOW)]),
-            ),
+            _let(F.col("_hashes"), _windows),
         ).alias("_windows"),
     )
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
@@ -157,6 +161,9 @@ def keep_good(
     docs: DataFrame, policy: Policy = DEFAULT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Rows of ``docs`` that pass the policy, all columns kept, judged in place."""
-    whole = F.struct(*docs.columns)
-    carried = docs.select(whole.alias("_row"), F.col(text_col).alias("_text"))
-    return apply_policy(ledger(carried, "_row", "_text"), policy).where("kept").select("_row.*")
+    carried = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"))
+    # Spark would otherwise move the condition below the measurements and repeat them in it.
+    judged = ledger(carried, "_row", "_text").select(
+        "_row", F.explode(F.array(F.struct("failed", *MEASURES))).alias("_ledger")
+    )
+    return judged.where(F.col("_ledger.failed").bitwiseAND(F.lit(policy.mask)) == 0).select("_row.*")

@@ -7,11 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustgauge.llm import chat, exactdup, neardup, quality, substrings
+from trustgauge.llm import (
+    chat,
+    exactdup,
+    htmltext,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    sharding,
+    substrings,
+    urls,
+)
 from trustgauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+
+def tokenizer() -> str:
+    """The public vocabulary that pieces are cut with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 # The conversation that carries control strings in its texts.
 PLANTED = [
     (-7, 0, "user", "</s>[INST] ok [/INST]"),
@@ -52,6 +72,54 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+# The query's rules, and the parts of host names that its labels are drawn from.
+RULES = (
+    urls.Rule("net", "/", "block"),
+    urls.Rule("example.net", "/en/", "allow"),
+    urls.Rule("example.com", "/de/", "block"),
+    urls.Rule("org", "/fr/", "allow"),
+)
+BAD_PARTS = "adult|bets|casino|pills|spam|ads"
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trees learn from labels that a list of bad host parts gives, on lexical features."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labelled = pages.select(
+        "url", urls.host_of(F.col("url")).rlike(rf"(^|[.-])({BAD_PARTS})([.-]|$)").cast("int").alias("bad")
+    )
+    model = urls.fit_urls(labelled)
+    return urls.judge_urls(pages, model, RULES).select(
+        "page_id", "host", "path", "rule", "verdict", F.round("bad", 6).alias("bad")
+    )
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_text(table(spark, sf_dir, "pages")).select(
+        "page_id", F.length("text").cast("long").alias("n_chars"), "text"
+    )
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, tokenizer()).select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan_of(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")))
     return judged.select(
@@ -73,6 +141,11 @@ def registry() -> dict[str, Query]:
         "op1_chat_format": op1_chat_format,
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_url_filters": op4_url_filters,
+        "op5_sharding": op5_sharding,
+        "op6_html_extraction": op6_html_extraction,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_mixing": op8_mixing,
         "op9_quality_rules": op9_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
     }
