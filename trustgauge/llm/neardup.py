@@ -127,21 +127,6 @@ def _full_sets(width: int):
     return run
 
 
-def _similar_sizes(m: Column, n: Column, percent: int) -> Column:
-    """A pair of sets so unlike in size cannot be as similar as asked."""
-    return F.least(m, n) * 100 >= F.greatest(m, n) * percent
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    met = pairs.select("a", "b").join(right, "b").join(left, "a")
-    both = F.size(F.array_intersect("sa", "sb")).cast("long")
-    union = F.size("sa") + F.size("sb") - both
-    return met.where(both * 100 >= union * percent).select("a", "b")
-
-
 def _pairs(left: Column, right: Column) -> list[Column]:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
@@ -150,7 +135,8 @@ class _Search:
     """Candidate pairs of classes, checked in rounds until every shared key is settled."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, settings: Settings):
-        self.docs, self.settings = docs, settings
+        self.settings = settings
+        self.sizes = classes.select("id", "n")
         g = settings.groups
         keys = F.flatten(
             F.transform(
@@ -160,74 +146,120 @@ class _Search:
                 ),
             )
         )
-        members = classes.select(F.col("id").alias("member"), "n", F.explode(keys).alias("key"))
-        members = store(members)
+        members = classes.select(F.col("id").alias("member"), F.explode(keys).alias("key"))
         # Keys of a single class end here; a hot key is combined per task.
         leaders = store(
-            members.groupBy("key").agg(
-                F.min(F.struct("member", "n")).alias("first"), F.count(F.lit(1)).alias("c")
-            ).where("c > 1").select("key", F.col("first.member").alias("leader"), F.col("first.n").alias("m"))
+            members.groupBy("key")
+            .agg(F.min("member").alias("leader"), F.count(F.lit(1)).alias("c"))
+            .where("c > 1")
         )
-        self.members = store(
-            members.join(leaders, "key").select("key", "member", "n", "leader", "m")
+        self.members = store(members.join(leaders, "key").select("key", "member", "leader", "c"))
+        wanted = self.members.select(F.col("member").alias("id")).distinct()
+        self.sets = store(
+            docs.join(store(wanted), "id", "left_semi").mapInArrow(
+                _full_sets(settings.shingle), "id long, shingles array<long>"
+            )
         )
 
     def first_pairs(self) -> DataFrame:
         """Every member with the least member of its key."""
-        fit = _similar_sizes(F.col("m"), F.col("n"), self.settings.percent)
-        return self.members.where((F.col("member") != F.col("leader")) & fit).select(
-            *_pairs(F.col("leader"), F.col("member"))
-        ).distinct()
+        pairs = (
+            self.members.where("member <> leader")
+            .select(F.col("leader").alias("a"), F.col("member").alias("b"))
+            .distinct()
+        )
+        sized = pairs.join(self.sizes.toDF("a", "m"), "a").join(self.sizes.toDF("b", "n"), "b")
+        return sized.where(
+            F.least("m", "n") * 100 >= F.greatest("m", "n") * self.settings.percent
+        ).select("a", "b")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose full sets are similar enough."""
+        left = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+        right = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+        met = pairs.select("a", "b").join(right, "b").join(left, "a")
+        common = F.size(F.array_intersect("sa", "sb")).cast("long")
+        union = F.size("sa") + F.size("sb") - common
+        return met.where(common * 100 >= union * self.settings.percent).select("a", "b")
+
+    def open_members(self, labels: DataFrame) -> DataFrame:
+        """Members of keys that still hold two components: (key, member, n, s, label, still).
+
+        Pairs with the key's leader are done, so the leader is left out. ``s`` counts the shingles
+        of a member that some other open member has too; no pair can share more, which rules
+        out, exactly, all members that differ too much from everything else.
+        """
+        percent = self.settings.percent
+        rest = self.members.where("c > 2 and member <> leader").select("key", "member")
+        labelled = rest.join(labels.toDF("member", "label"), "member", "left").select(
+            "key", "member", F.coalesce("label", "member").alias("label")
+        )
+        spread = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"))
+        mixed = store(spread.where("l < h").select("key"))
+        opened = store(labelled.join(mixed, "key"))
+        ids = store(opened.select(F.col("member").alias("id")).distinct())
+        shingles = self.sets.join(ids, "id").select("id", F.explode("shingles").alias("g"))
+        single = (
+            shingles.groupBy("g")
+            .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c"))
+            .where("c = 1")
+            .groupBy("id")
+            .agg(F.count(F.lit(1)).alias("u"))
+        )
+        able = store(
+            ids.join(self.sizes, "id").join(single, "id", "left")
+            .select("id", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
+            .where(F.col("s") * 100 >= F.col("n") * percent)
+        )
+        left = opened.join(able.withColumnRenamed("id", "member"), "member")
+        shares = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+        still = store(
+            shares.groupBy("key")
+            .agg(F.max(F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("k"))
+            .where("k > 1")
+            .select("key", F.col("most.label").alias("still"))
+        )
+        return store(left.join(still, "key"))
 
-    def later_pairs(self, labels: DataFrame, width: int) -> tuple[DataFrame, bool]:
-        """Members of a key in different components, and whether all of them are in.
+    def later_pairs(self, opened: DataFrame, width: int) -> tuple[DataFrame, bool]:
+        """Pairs of open members in different components, and whether these are all.
 
         The component with most members in a key keeps still; up to ``width`` others are held
         against all members of other components.
         """
-        labelled = self.members.join(
-            labels.withColumnRenamed("id", "member"), "member", "left"
-        ).select("key", "member", "n", F.coalesce("label", "member").alias("label"))
-        shares = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-        mixed = shares.groupBy("key").agg(
-            F.max(F.struct("c", "label")).alias("most"), F.sum("c").alias("all")
-        ).select("key", F.col("most.label").alias("still"), (F.col("all") - F.col("most.c")).alias("rest")).where("rest > 0")
-        mixed = store(mixed)
-        opened = store(labelled.join(mixed, "key").select("key", "member", "n", "label", "still"))
-        rest = opened.where("label <> still")
-        turn = Window.partitionBy("key").orderBy("member")
-        tried = rest.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width).select(
-            "key", F.col("member").alias("other"), F.col("n").alias("m"), F.col("label").alias("other_label")
+        turn = F.row_number().over(Window.partitionBy("key").orderBy("member"))
+        rest = opened.where("label <> still").withColumn("turn", turn)
+        tried = rest.where(F.col("turn") <= width).select(
+            "key", F.col("member").alias("other"), F.col("n").alias("m"), F.col("s").alias("r"),
+            F.col("label").alias("other_label"),
         )
-        fit = _similar_sizes(F.col("m"), F.col("n"), self.settings.percent)
-        found = opened.join(tried, "key").where((F.col("label") != F.col("other_label")) & fit)
-        most = mixed.agg(F.max("rest")).first()[0] or 0
-        return found.select(*_pairs(F.col("other"), F.col("member"))).distinct(), most <= width
-
-    def links(self) -> DataFrame:
-        """Verified links that connect each component, as (a, b)."""
-        percent, tried = self.settings.percent, 4
+        most = F.least("s", "r")
+        may = most * 100 >= (F.col("n") + F.col("m") - most) * self.settings.percent
+        found = opened.join(tried, "key").where((F.col("label") != F.col("other_label")) & may)
+        others = opened.where("label <> still").groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+        last = (others.agg(F.max("c")).first()[0] or 0) <= width
+        return found.select(*_pairs(F.col("other"), F.col("member"))).distinct(), last
+
+    def labels(self) -> DataFrame:
+        """Component of every class that has a link: (id, label)."""
+        width = 16
         seen = store(self.first_pairs())
-        sets = self._sets(seen)
-        links = store(_verified(seen, sets, percent))
+        links = store(self.verified(seen))
         while True:
             labels = store(components(links))
-            pairs, last = self.later_pairs(labels, tried)
+            opened = self.open_members(labels)
+            if opened.isEmpty():
+                return labels
+            pairs, last = self.later_pairs(opened, width)
             fresh = store(pairs.join(seen, ["a", "b"], "left_anti"))
-            if not fresh.isEmpty():
-                # A class of these pairs was in a round before or is added now.
-                links = store(links.unionByName(_verified(fresh, self._sets(fresh), percent)))
-                seen = store(seen.unionByName(fresh))
+            more = store(self.verified(fresh))
+            if last and more.isEmpty():
+                return labels
+            links = store(links.unionByName(more))
             if last:
-                return links
-            tried *= 4
-
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        wanted = store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        rows = self.docs.join(wanted, "id", "left_semi")
-        return store(
-            rows.mapInArrow(_full_sets(self.settings.shingle), "id long, shingles array<long>")
-        )
+                return store(components(links))
+            seen = store(seen.unionByName(fresh))
+            width *= 4
 
 
 def near_groups(
@@ -265,8 +297,7 @@ def near_groups(
             *print_, "r.id", "r.a", "r.b"
         )
     )
-    links = _Search(rows, classes.select("id", "n", "a", "b"), settings).links()
-    labels = store(components(links))
+    labels = _Search(rows, classes.select("id", "n", "a", "b"), settings).labels()
     named = store(
         classes.select(*print_, F.col("id").alias("class_id")).join(
             labels.withColumnRenamed("id", "class_id"), "class_id", "left"
