@@ -79,6 +79,8 @@ def _later(high, low, *place) -> tuple[np.ndarray, np.ndarray]:
 
     Only windows whose first hash is shared are put in full order.
     """
+    if not len(high):
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     order = np.argsort(high)
     h = high[order]
     same = h[1:] == h[:-1]
