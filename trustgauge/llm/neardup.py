@@ -211,7 +211,12 @@ class _Search:
             .select("id", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
             .where(F.col("s") * 100 >= F.col("n") * percent)
         )
-        left = opened.join(able.withColumnRenamed("id", "member"), "member")
+        left = store(opened.join(able.withColumnRenamed("id", "member"), "member"))
+        # The smallest set of the key is the easiest partner.
+        lows = left.groupBy("key").agg(F.min("n").alias("low"))
+        left = left.join(lows, "key").where(
+            F.col("s") * (100 + percent) >= (F.col("n") + F.col("low")) * percent
+        ).drop("low")
         shares = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
         still = store(
             shares.groupBy("key")
@@ -224,42 +229,45 @@ class _Search:
     def later_pairs(self, opened: DataFrame, width: int) -> tuple[DataFrame, bool]:
         """Pairs of open members in different components, and whether these are all.
 
-        The component with most members in a key keeps still; up to ``width`` others are held
-        against all members of other components.
+        With a width of 1, the member that shares most with others is held against the rest of
+        its key: edited copies meet the one that is nearest to all of them. Else the component with most
+        members in a key keeps still, and up to ``width`` others are held against all members
+        of other components.
         """
-        turn = F.row_number().over(Window.partitionBy("key").orderBy("member"))
-        rest = opened.where("label <> still").withColumn("turn", turn)
-        tried = rest.where(F.col("turn") <= width).select(
+        turn = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("s"), "member"))
+        rest = opened if width == 1 else opened.where("label <> still")
+        tried = rest.withColumn("turn", turn).where(F.col("turn") <= width).select(
             "key", F.col("member").alias("other"), F.col("n").alias("m"), F.col("s").alias("r"),
             F.col("label").alias("other_label"),
         )
         most = F.least("s", "r")
         may = most * 100 >= (F.col("n") + F.col("m") - most) * self.settings.percent
         found = opened.join(tried, "key").where((F.col("label") != F.col("other_label")) & may)
-        others = opened.where("label <> still").groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-        last = (others.agg(F.max("c")).first()[0] or 0) <= width
-        return found.select(*_pairs(F.col("other"), F.col("member"))).distinct(), last
+        pairs = found.select(*_pairs(F.col("other"), F.col("member"))).distinct()
+        if width == 1:
+            return pairs, False
+        others = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+        return pairs, (others.agg(F.max("c")).first()[0] or 0) <= width
 
     def labels(self) -> DataFrame:
         """Component of every class that has a link: (id, label)."""
-        width = 16
+        width = 1
         seen = store(self.first_pairs())
-        links = store(self.verified(seen))
+        labels = store(components(store(self.verified(seen))))
         while True:
-            labels = store(components(links))
             opened = self.open_members(labels)
             if opened.isEmpty():
                 return labels
             pairs, last = self.later_pairs(opened, width)
             fresh = store(pairs.join(seen, ["a", "b"], "left_anti"))
             more = store(self.verified(fresh))
-            if last and more.isEmpty():
-                return labels
-            links = store(links.unionByName(more))
+            if not more.isEmpty():
+                # An id and its label are linked; new links join such stars.
+                labels = store(components(labels.toDF("a", "b").unionByName(more)))
             if last:
-                return store(components(links))
+                return labels
             seen = store(seen.unionByName(fresh))
-            width *= 4
+            width = max(64, width * 8)
 
 
 def near_groups(
