@@ -18,6 +18,8 @@ from trustgauge.sources.workspace import shuffle_width
 WINDOW = 20
 # Text hashed together: windows that repeat within it are told apart before any shuffle.
 SLICE_BYTES = 8 << 20
+# Words in the runs that say which bucket a window belongs to.
+ANCHOR = 3
 BASES = (0xB5297A4D2F1C9E37, 0x68E31DA4C3A5B1D9)
 
 BLOCK_SCHEMA = (
@@ -39,6 +41,21 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = to
 
 
+def _homes(words: np.ndarray, width: int, buckets: int) -> np.ndarray:
+    """Bucket of the window that begins at each word: by the least hash of its short runs.
+
+    Neighbouring windows mostly share that run and so a bucket, which keeps the pieces of a
+    document together; equal windows always do.
+    """
+    least = wh.windows(words, min(ANCHOR, width), BASES[1])
+    count, have = width - min(ANCHOR, width) + 1, 1
+    while have < count:
+        step = min(have, count - have)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        have += step
+    return (wh.mix(least, 5) % np.uint64(buckets)).astype(np.int32)
+
+
 def _deal(bucket, settled, doc, start, ids, tags, high=None, low=None) -> Iterator[dict]:
     """One row per bucket; the windows come ordered by document and start."""
     order = np.argsort(bucket, kind="stable")
@@ -119,12 +136,12 @@ def _map_windows(width: int, buckets: int):
                 start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 at = first[doc] + start
                 high = wh.windows(words, width, BASES[0])[at]
+                bucket = _homes(words, width, buckets)[at]
                 low = (wh.windows(wh.mix(words, 1), width, BASES[1])[at] >> np.uint64(40)).astype(np.uint32)
                 del words, at
                 again, _ = _later(high, low, np.arange(len(high)))
                 sent = np.ones(len(high), dtype=bool)
                 sent[again] = False
-                bucket = ((high >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
                 found = list(
                     _deal(bucket[sent], False, doc[sent], start[sent], ids, tags, high[sent], low[sent])
                 )
@@ -170,13 +187,13 @@ def repeated_windows(docs: DataFrame, width: int = WINDOW, buckets: int | None =
     """Starts of all windows that also start earlier: (id, tag, starts).
 
     ``docs`` has (id, tag, text) without nulls. Every window's hash (64 and 24 bits) goes to
-    one of ``buckets`` groups, by default twice spark.sql.shuffle.partitions, packed with the
+    one of ``buckets`` groups, by default four times spark.sql.shuffle.partitions, packed with the
     places of other windows; of windows that repeat within a slice of a task only the first
     is sent, so a passage that a third of all documents share meets as few rows as there are
     slices. Memory of a group is about 40 bytes per window of its share.
     """
     ship_package(docs.sparkSession)
-    buckets = buckets or 2 * shuffle_width(docs.sparkSession)
+    buckets = buckets or 4 * shuffle_width(docs.sparkSession)
     blocks = docs.select("id", "tag", "text").mapInArrow(_map_windows(width, buckets), BLOCK_SCHEMA)
     return blocks.groupBy("bucket").applyInArrow(_judge_bucket, MARK_SCHEMA)
 
