@@ -53,18 +53,51 @@ def test_platt_takes_one_step_on_few_rows(predictions):
     assert row["intercept"] == pytest.approx(-0.03 * e.mean())
 
 
-def test_platt_cells_follow_the_descent_over_single_rows(predictions):
+def test_platt_is_stationary_for_every_model(spark, predictions):
     rng = np.random.default_rng(1)
-    z = np.r_[rng.normal(0, 2, 3000), rng.normal(0, 60, 200)]
-    y = (rng.random(len(z)) < 1 / (1 + np.exp(-(0.6 * z - 0.4)))).astype(int)
-    a, b = 1.0, 0.0
-    for step in range(1500):
-        e = 1 / (1 + np.exp(-np.clip(a * z + b, -700, 700))) - y
-        lr = 0.03 / np.sqrt(1 + step / 100)
-        a, b = a - lr * ((e * z).mean() + 1e-4 * a), b - lr * e.mean()
-    row = calibrate.fit_platt(predictions([(t, 0.5) for t in y], score=z.tolist())).first()
-    assert row["slope"] == pytest.approx(a, abs=1e-6)
-    assert row["intercept"] == pytest.approx(b, abs=1e-6)
+    data, frames = {}, []
+    for name, (slope, shift, wide) in {"a/raw": (0.6, -0.4, 60), "b/raw": (3.0, 1.0, 9)}.items():
+        z = np.r_[rng.normal(0, 2, 3000), rng.normal(0, wide, 200)]
+        y = (rng.random(len(z)) < 1 / (1 + np.exp(-(slope * z + shift)))).astype(int)
+        data[name] = z, y
+        frames.append(predictions([(t, 0.5) for t in y], model=name, score=z.tolist()))
+    for row in calibrate.fit_platt(frames[0].unionByName(frames[1])).collect():
+        z, y = data[row["model"]]
+        e = 1 / (1 + np.exp(-np.clip(row["slope"] * z + row["intercept"], -700, 700))) - y
+        assert (e * z).mean() + 1e-4 * row["slope"] == pytest.approx(0, abs=1e-9)
+        assert e.mean() == pytest.approx(0, abs=1e-9)
+
+
+def test_platt_ends_on_separable_and_one_sided_targets(predictions):
+    z = np.r_[np.linspace(-9, -1, 40), np.linspace(1, 9, 40)]
+    for y in ((z > 0).astype(int), np.ones(len(z), dtype=int)):
+        row = calibrate.fit_platt(predictions([(t, 0.5) for t in y], score=z.tolist())).first()
+        assert np.isfinite(row["slope"]) and np.isfinite(row["intercept"])
+
+
+def test_rows_without_a_fit_stay(predictions):
+    fitted = predictions([(0, 0.2), (1, 0.8)] * 10, score=[-1.0, 1.0] * 10)
+    other = predictions([(1, 0.7), (0, 0.4)], model="other/raw", score=[0.5, -0.5])
+    family = calibrate.calibrated_family(
+        fitted.unionByName(other), calibrate.fit_temperature(fitted),
+        calibrate.isotonic_blocks(fitted), calibrate.fit_platt(fitted),
+    )
+    rows = family.where("base_model = 'other'").collect()
+    assert sorted(r["prob"] for r in rows if r["method"] == "raw") == [0.4, 0.7]
+    assert [r["prob"] for r in rows if r["method"] != "raw"] == [None] * 6
+
+
+def test_isotonic_lookup_with_crowded_probabilities(predictions):
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random(4000) < 0.9, 1 - rng.random(4000) * 1e-4, rng.random(4000))
+    y = (rng.random(4000) < x).astype(int)
+    rows = predictions(list(zip(y, x)))
+    blocks = calibrate.isotonic_blocks(rows)
+    ends = blocks.orderBy("hi").collect()
+    got = {r["id"]: r["prob"] for r in calibrate.apply_isotonic(rows, blocks).collect()}
+    for i, p in enumerate(x):
+        want = next((e["value"] for e in ends if p <= e["hi"]), ends[-1]["value"])
+        assert got[i] == min(max(want, 1e-12), 1 - 1e-12)
 
 
 def test_isotonic_golden(predictions):

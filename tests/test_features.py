@@ -62,7 +62,7 @@ def test_idf(spark):
 def test_tfidf_matches_brute_force(docs, partitions):
     spread = docs.repartition(partitions, "id")
     vocabulary = features.fit_vocabulary(spread, 1, 6)
-    got = {r["id"]: {c["idx"]: c["w"] for c in r["features"]} for r in features.tfidf(spread, vocabulary, max_features=6).collect()}
+    got = {r["id"]: {c["idx"]: c["w"] for c in r["features"]} for r in features.tfidf(spread, vocabulary).collect()}
     known = brute_vocabulary(1, 6)
     assert set(got) == {i for i, _ in DOCS}
     for i, line in DOCS:
@@ -84,12 +84,12 @@ def test_encode_keeps_order_and_repeats(docs):
 def test_zero_tokens_means_no_vocabulary(docs):
     vocabulary = features.fit_token_vocabulary(docs, 1, 0)
     assert vocabulary.count() == 0
-    assert all(r["token_ids"] == [] for r in features.encode(docs, vocabulary, max_tokens=0).collect())
+    assert all(r["token_ids"] == [] for r in features.encode(docs, vocabulary).collect())
 
 
 def test_vectors_match_rows(docs):
     vocabulary = features.fit_vocabulary(docs, 1, 6)
-    rows = features.tfidf(docs, vocabulary, max_features=6)
+    rows = features.tfidf(docs, vocabulary)
     vectors = {r["id"]: r["features"] for r in features.to_vectors(rows, 6).collect()}
     for r in rows.collect():
         dense = np.zeros(6)
@@ -100,16 +100,20 @@ def test_vectors_match_rows(docs):
 
 def test_document_embeddings(docs):
     vocabulary = features.fit_token_vocabulary(docs, 1, 3)
-    table = np.arange(6, dtype=float).reshape(3, 2)
+    # More vectors than tokens may be named: the table's size is nobody's limit.
+    spark = docs.sparkSession
+    vectors = spark.range(12_000).select(
+        F.col("id").cast("int").alias("idx"), F.array(F.col("id") * 2.0, F.col("id") * 2.0 + 1).alias("vector")
+    )
     encoded = features.encode(docs, vocabulary)
-    got = {r["id"]: r["embedding"] for r in mlp.document_embeddings(encoded, table).collect()}
+    got = {r["id"]: r["embedding"] for r in mlp.document_embeddings(encoded, vectors, 2).collect()}
     assert got[0] == pytest.approx([(2 + 2 + 4) / 3, (3 + 3 + 5) / 3])
     assert got[2] == [0.0, 0.0]
 
 
 def test_scoring_by_join_equals_scoring_by_array(docs, monkeypatch):
     vocabulary = features.fit_vocabulary(docs, 1, 6)
-    rows = features.tfidf(docs, vocabulary, max_features=6)
+    rows = features.tfidf(docs, vocabulary)
     weights = vocabulary.select("idx", (F.col("idx") * 0.5 - 1.0).alias("weight"))
     model = linear.LinearModel(weights, 0.25, 6)
     dense = {r["id"]: r["score"] for r in linear.linear_scores(rows, model).collect()}

@@ -44,10 +44,10 @@ def test_main_experiment(spark):
 def test_small_experiment_from_csv(spark, labelled_csv, tmp_path):
     written = jobs.run(
         spark,
-        ["experiment", "--labelled", labelled_csv, "--output-dir", str(tmp_path), "--skip-extra-models",
+        ["experiment", "--labelled", labelled_csv, "--output-dir", str(tmp_path), "--no-extra-models",
          "--ensemble-size", "0", "--max-features", "200"],
     )
-    assert len(written) == 16
+    assert len(written) == 17
     board = spark.read.csv(f"{tmp_path}/metrics_summary", header=True)
     assert board.columns == sinks.RESULT_COLUMNS["metrics_summary"]
     assert {r["method"] for r in board.collect()} == {

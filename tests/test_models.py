@@ -10,7 +10,7 @@ from trustgauge.operators import features, linear, mlp
 @pytest.fixture
 def prepared(toy_corpus):
     vocabulary = features.fit_vocabulary(toy_corpus, 1, 100)
-    rows = features.tfidf(toy_corpus, vocabulary, max_features=100, keep=("id", "target"))
+    rows = features.tfidf(toy_corpus, vocabulary, keep=("id", "target"))
     vectors = features.to_vectors(rows, vocabulary.count(), ("id", "target"))
     return vocabulary, rows, vectors
 
@@ -89,7 +89,7 @@ def test_mlp_gradient_matches_finite_differences():
 
 def test_mlp_trains_and_does_not_depend_on_partitions(toy_corpus):
     vocabulary = features.fit_token_vocabulary(toy_corpus, 1, 100)
-    encoded = features.encode(toy_corpus, vocabulary, ("id", "target"), 100)
+    encoded = features.encode(toy_corpus, vocabulary, ("id", "target"))
     settings = mlp.MlpSettings(embedding_dim=8, hidden_dim=8, epochs=6, learning_rate=0.05, seed=11)
     one = mlp.fit_mlp(encoded.repartition(1), vocabulary.count(), settings)
     four = mlp.fit_mlp(encoded.repartition(4, "id"), vocabulary.count(), settings)

@@ -21,7 +21,8 @@ def sigmoid(x: Column) -> Column:
 
 
 def clip_probability(p: Column) -> Column:
-    return F.least(F.greatest(p, F.lit(PROB_EPS)), F.lit(1.0 - PROB_EPS))
+    held = F.least(F.greatest(p, F.lit(PROB_EPS)), F.lit(1.0 - PROB_EPS))
+    return F.when(p.isNotNull(), held)
 
 
 def predicted_label(p: Column, threshold: float = LABEL_THRESHOLD) -> Column:

@@ -20,16 +20,15 @@ from trustgauge.sources.workspace import settle
 # The temperature grid 10^(-1.2) ... 10^(1.2) in 121 even steps of the exponent.
 TEMPERATURES = [float(10.0**e) for e in np.linspace(-1.2, 1.2, 121)]
 
-# Platt's steps, penalty, first rate and its decay, and the number of rows below
-# which one step is all.
-PLATT_STEPS = 1_500
+# The penalty on Platt's slope, the number of rows below which a single short step
+# replaces the fit, and the length of that step.
 PLATT_L2 = 1e-4
-PLATT_RATE = 0.03
-PLATT_DECAY = 100.0
 PLATT_MIN_ROWS = 10
+PLATT_SHORT_STEP = 0.03
 
-# Score cells on each side of zero.
-PLATT_CELLS = 32_768
+# Newton stops when no parameter would move further than this, at the latest after so many sums.
+PLATT_TOLERANCE = 1e-11
+PLATT_ROUNDS = 100
 
 # Method names of the calibrated variants.
 RAW, TEMPERATURE, ISOTONIC, PLATT = (
@@ -39,9 +38,6 @@ RAW, TEMPERATURE, ISOTONIC, PLATT = (
     "platt_scaling_extra",
 )
 
-# Probability cells that turn the step lookup into an equality join.
-LOOKUP_CELLS = 1024
-
 BLOCK_COLUMNS = "model string, hi double, weight double, positives double"
 
 
@@ -75,8 +71,9 @@ def temperature_probability(score: Column, temperature: Column) -> Column:
 
 
 def apply_temperature(predictions: DataFrame, temperatures: DataFrame) -> DataFrame:
+    """Scaled probabilities; null for a model without a temperature."""
     return (
-        predictions.join(temperatures, "model")
+        predictions.join(temperatures, "model", "left")
         .withColumn("prob", temperature_probability(F.col("score"), F.col("temperature")))
         .drop("temperature")
     )
@@ -85,49 +82,90 @@ def apply_temperature(predictions: DataFrame, temperatures: DataFrame) -> DataFr
 # --- Platt -----------------------------------------------------------------------------------
 
 
-def _descend(points: pd.DataFrame) -> pd.DataFrame:
-    """Full-batch descent on the two parameters of one model, over weighted score cells."""
-    z, n, positives = (points[c].to_numpy(dtype=float) for c in ("score", "n", "positives"))
-    total = n.sum()
-    slope, intercept = 1.0, 0.0
-    for step in range(1 if total < PLATT_MIN_ROWS else PLATT_STEPS):
-        x = slope * z + intercept
-        tail = np.exp(-np.abs(x))
-        residual = n * np.where(x >= 0, 1.0, tail) / (1.0 + tail) - positives
-        rate = PLATT_RATE / np.sqrt(1.0 + step / PLATT_DECAY)
-        slope, intercept = (
-            slope - rate * ((residual * z).sum() / total + PLATT_L2 * slope),
-            intercept - rate * residual.sum() / total,
-        )
-        if not np.isfinite(slope + intercept):
-            slope, intercept = 1.0, 0.0
-            break
-    return pd.DataFrame(
-        {"model": [points["model"].iloc[0]], "slope": [slope], "intercept": [intercept]}
+def _platt_sums(rows: DataFrame, at: DataFrame) -> DataFrame:
+    """Loss, gradient and curvature per model at its (slope, intercept), in one aggregate."""
+    x = F.col("slope") * F.col("score") + F.col("intercept")
+    p = sigmoid(x)
+    error, bend = p - F.col("target"), p * (1.0 - p)
+    z = F.col("score")
+    loss = F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x))) - F.col("target") * x
+    return rows.join(at.select("model", "slope", "intercept"), "model").groupBy("model").agg(
+        F.avg(loss).alias("_loss"),
+        F.avg(error * z).alias("_g1"),
+        F.avg(error).alias("_g0"),
+        F.avg(bend * z * z).alias("_h11"),
+        F.avg(bend * z).alias("_h10"),
+        F.avg(bend).alias("_h00"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+
+
+def _newton(state: DataFrame, sums: DataFrame) -> DataFrame:
+    """Next point to try per model.
+
+    A try that lowers the penalised loss becomes the best point and gets a fresh direction;
+    otherwise half the way from the best point is tried.
+    """
+    met = state.join(sums, "model").withColumn(
+        "_loss", F.col("_loss") + PLATT_L2 / 2 * F.col("slope") * F.col("slope")
+    )
+    better = F.col("best_loss").isNull() | (F.col("_loss") <= F.col("best_loss"))
+    g1 = F.col("_g1") + PLATT_L2 * F.col("slope")
+    h11, h00 = F.col("_h11") + PLATT_L2, F.col("_h00") + 1e-12
+    det = h11 * h00 - F.col("_h10") * F.col("_h10")
+    few = F.col("_n") < PLATT_MIN_ROWS
+    turn1 = F.when(few, -PLATT_SHORT_STEP * g1).otherwise(
+        (F.col("_h10") * F.col("_g0") - h00 * g1) / det
+    )
+    turn0 = F.when(few, -PLATT_SHORT_STEP * F.col("_g0")).otherwise(
+        (F.col("_h10") * g1 - h11 * F.col("_g0")) / det
+    )
+    chosen = met.select(
+        "model",
+        few.alias("few"),
+        F.when(better, F.col("slope")).otherwise(F.col("best_slope")).alias("best_slope"),
+        F.when(better, F.col("intercept")).otherwise(F.col("best_intercept")).alias("best_intercept"),
+        F.when(better, F.col("_loss")).otherwise(F.col("best_loss")).alias("best_loss"),
+        F.when(better, turn1).otherwise(F.col("move1") / 2).alias("move1"),
+        F.when(better, turn0).otherwise(F.col("move0") / 2).alias("move0"),
+    )
+    return chosen.withColumns(
+        {
+            "slope": F.col("best_slope") + F.col("move1"),
+            "intercept": F.col("best_intercept") + F.col("move0"),
+        }
     )
 
 
 def fit_platt(predictions: DataFrame) -> DataFrame:
     """Slope and intercept per model: (model, slope, intercept).
 
-    One pass sums the rows into narrow score cells, each kept as its mean score, count and
-    positives. The descent then runs on at most 2 * PLATT_CELLS points per model, however many
-    rows there were; cells are narrowest where the sigmoid bends, which keeps the result
-    within about 1e-7 of the same descent over single rows.
+    The minimum of the mean log loss plus ``PLATT_L2 / 2`` times the squared slope, found by
+    Newton's method for all models at once: each round is one grouped sum over the rows, and
+    only one row per model is kept between rounds. This is the point that a gradient descent
+    on the same loss approaches, and stops short of when it is ended early. A model with fewer
+    than ``PLATT_MIN_ROWS`` rows is not fitted: it takes one gradient step of length
+    ``PLATT_SHORT_STEP`` from slope 1 and intercept 0. Rows without score or target are left out.
     """
-    ship_package(predictions.sparkSession)
-    score = F.col("score")
-    cell = F.floor(F.lit(PLATT_CELLS) * score / (F.lit(1.0) + F.abs(score)))
-    points = predictions.groupBy("model", cell.alias("_cell")).agg(
-        F.avg("score").alias("score"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum("target").alias("positives"),
+    rows = settle(
+        predictions.select("model", "score", F.col("target").cast("double").alias("target")).where(
+            F.col("score").isNotNull() & F.col("target").isNotNull()
+        )
     )
-    return settle(
-        points.drop("_cell")
-        .groupBy("model")
-        .applyInPandas(_descend, "model string, slope double, intercept double")
+    empty = F.lit(None).cast("double")
+    state = settle(
+        rows.select("model").distinct().select(
+            "model", F.lit(False).alias("few"), empty.alias("best_slope"),
+            empty.alias("best_intercept"), empty.alias("best_loss"), empty.alias("move1"),
+            empty.alias("move0"), F.lit(1.0).alias("slope"), F.lit(0.0).alias("intercept"),
+        )
     )
+    reach = F.greatest(F.abs("move1"), F.abs("move0"))
+    for _ in range(PLATT_ROUNDS):
+        state = settle(_newton(state, _platt_sums(rows, state)))
+        if state.where(~F.col("few") & (reach > PLATT_TOLERANCE)).isEmpty():
+            break
+    return state.select("model", "slope", "intercept")
 
 
 def platt_probability(score: Column, slope: Column, intercept: Column) -> Column:
@@ -135,8 +173,9 @@ def platt_probability(score: Column, slope: Column, intercept: Column) -> Column
 
 
 def apply_platt(predictions: DataFrame, platt: DataFrame) -> DataFrame:
+    """Platt probabilities; null for a model without parameters."""
     return (
-        predictions.join(platt, "model")
+        predictions.join(platt, "model", "left")
         .withColumn(
             "prob", platt_probability(F.col("score"), F.col("slope"), F.col("intercept"))
         )
@@ -230,35 +269,45 @@ def isotonic_blocks(predictions: DataFrame) -> DataFrame:
     )
 
 
-def _lookup_cell(prob: Column) -> Column:
-    """Monotone cell number; values outside [0, 1] share the end cells."""
-    inner = F.floor(prob * LOOKUP_CELLS).cast("int")
-    return F.greatest(F.lit(0), F.least(inner, F.lit(LOOKUP_CELLS)))
-
-
 def isotonic_lookup(predictions: DataFrame, blocks: DataFrame) -> DataFrame:
     """Add ``isotonic_prob``: the value of the first block that ends at or above prob.
 
-    Above the last block its value holds. Blocks are listed under each probability cell they
-    touch, so a row meets only the blocks of its own cell.
+    Above the last block its value holds; it is null for a model without blocks and for a null
+    probability. Each distinct probability is looked up once: probabilities and block ends are
+    put in one order per model, and the first end at or after a probability is its block. Rows
+    then meet their probability's value in an equality join, so neither crowded probabilities
+    nor crowded block ends multiply rows.
     """
-    first = F.when(F.col("lo").isNull(), 0).otherwise(_lookup_cell(F.col("lo")))
-    final = F.when(F.col("last"), LOOKUP_CELLS).otherwise(_lookup_cell(F.col("hi")))
-    listed = settle(
-        blocks.select(
-            "model", "lo", "hi", "last", "value", F.explode(F.sequence(first, final)).alias("_cell")
-        )
+    asked = predictions.where(F.col("prob").isNotNull()).select("model", "prob").distinct()
+    ends = blocks.select(
+        "model", F.when(F.col("last"), F.lit(float("inf"))).otherwise(F.col("hi")).alias("prob"),
+        "value", F.lit(True).alias("_end"),
     )
-    hit = (F.col("lo").isNull() | (F.col("prob") > F.col("lo"))) & (
-        F.col("last") | (F.col("prob") <= F.col("hi"))
+    merged = asked.select(
+        "model", "prob", F.lit(None).cast("double").alias("value"), F.lit(False).alias("_end")
+    ).unionByName(ends)
+    placed = settle(
+        merged.repartitionByRange("model", "prob").withColumn("_part", F.spark_partition_id())
     )
-    return (
-        predictions.withColumn("_cell", _lookup_cell(F.col("prob")))
-        .join(listed, ["model", "_cell"])
-        .where(hit)
-        .withColumn("isotonic_prob", clip_probability(F.col("value")))
-        .drop("_cell", "lo", "hi", "last", "value")
+    # A block that ends in a later part: the first end of the parts that follow.
+    heads = placed.where("_end").groupBy("model", "_part").agg(
+        F.min(F.struct("prob", "value")).alias("_head")
+    )
+    parts = placed.select("model", "_part").distinct().join(heads, ["model", "_part"], "left")
+    after = Window.partitionBy("model").orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
+    nexts = parts.select("model", "_part", F.first("_head.value", True).over(after).alias("_next"))
+    # Ends come after equal probabilities, so they are seen from them.
+    inside = Window.partitionBy("model", "_part").orderBy("prob", "_end")
+    seen = F.first("value", True).over(inside.rowsBetween(0, Window.unboundedFollowing))
+    values = (
+        placed.withColumn("_seen", seen)
+        .where(~F.col("_end"))
+        .join(nexts, ["model", "_part"])
+        .select(
+            "model", "prob", clip_probability(F.coalesce("_seen", "_next")).alias("isotonic_prob")
+        )
     )
+    return predictions.join(settle(values), ["model", "prob"], "left")
 
 
 def apply_isotonic(predictions: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -279,9 +328,10 @@ def calibrated_family(
     """All variants of each raw model in long form, from one pass over the raw predictions.
 
     Temperature and Platt read the score, isotonic reads the probability. The raw variant
-    keeps its own method name; the others are named ``base_model/method``.
+    keeps its own method name; the others are named ``base_model/method``. No row is lost: a
+    model without a fit keeps its raw variant, and its calibrated probabilities are null.
     """
-    joined = isotonic_lookup(predictions.join(temperatures, "model"), blocks)
+    joined = isotonic_lookup(predictions.join(temperatures, "model", "left"), blocks)
     variants = [
         F.struct(F.col("method").alias("method"), F.col("prob").alias("prob")),
         F.struct(
@@ -291,7 +341,7 @@ def calibrated_family(
         F.struct(F.lit(ISOTONIC).alias("method"), F.col("isotonic_prob").alias("prob")),
     ]
     if platt is not None:
-        joined = joined.join(platt, "model")
+        joined = joined.join(platt, "model", "left")
         variants.append(
             F.struct(
                 F.lit(PLATT).alias("method"),

@@ -46,7 +46,14 @@ def conformal_quantiles(
 
 
 def prediction_sets(test: DataFrame, quantiles: DataFrame) -> DataFrame:
-    """Sets per row and level: which classes are in, their number, and what that means."""
+    """Sets per row and level: which classes are in, their number, and what that means.
+
+    A model without quantiles has no sets; that is an error, not a model less.
+    """
+    known = quantiles.select("model").distinct()
+    unknown = [r["model"] for r in test.select("model").distinct().join(known, "model", "left_anti").collect()]
+    if unknown:
+        raise ValueError(f"no calibration rows for {sorted(unknown)}")
     p = F.col("prob")
     sets = (
         test.join(quantiles.select("model", "alpha", "qhat"), "model")

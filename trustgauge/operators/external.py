@@ -9,9 +9,15 @@ from trustgauge.functions.scalars import logits_probability, logits_score, model
 
 
 def external_predictions(truth: DataFrame, logits: DataFrame, model_name: str) -> DataFrame:
-    """Join (id, target, split) with (id, logits) and turn logits into score and probability."""
+    """Join (id, target, split) with (id, logits) and turn logits into score and probability.
+
+    Every row needs its logits: rows without make an error that names their number.
+    """
     family = model_slug(model_name)
     keys = ["id", "split"] if "split" in logits.columns else ["id"]
+    missing = truth.join(logits.where(F.col("logits").isNotNull()), keys, "left_anti").count()
+    if missing:
+        raise ValueError(f"{missing} rows have no logits of {model_name}")
     return truth.join(logits, keys).select(
         F.lit(f"{family}/raw").alias("model"),
         F.lit(family).alias("base_model"),

@@ -20,8 +20,8 @@ MAX_TOKENS = 10_000
 MIN_DF = 2
 NGRAMS = (1, 2)
 
-# A vocabulary is broadcast only when its size limit keeps it to a few ten megabytes.
-BROADCAST_TERMS = 500_000
+# Up to this many terms the most frequent ones are ranked in one task.
+RANKED_AT_ONCE = 500_000
 
 
 def occurrences(docs: DataFrame, keep: list[str], ngram_range: tuple[int, int]) -> DataFrame:
@@ -69,12 +69,14 @@ def select_vocabulary(
     """Most frequent terms, ties in term order: (term, idx, tf, df, idf). 0 keeps all terms."""
     known = frequencies.where(F.col("df") >= min_df)
     order = [F.desc("tf"), F.asc("term")]
-    if max_features > 0:
+    if 0 < max_features <= RANKED_AT_ONCE:
         # A bounded top-k; ranking at most max_features rows in one task.
         top = known.orderBy(*order).limit(max_features)
         ranked = top.withColumn("idx", F.row_number().over(Window.orderBy(*order)) - 1)
     else:
         ranked = ordered_rank(known, order)
+        if max_features > 0:
+            ranked = ranked.where(F.col("idx") < max_features)
     return ranked.select(
         "term", "idx", "tf", "df", smoothed_idf(F.col("df"), n_docs).alias("idf")
     )
@@ -104,31 +106,22 @@ def fit_token_vocabulary(
     return settle(select_vocabulary(frequencies, n_docs, min_df, max(1, max_tokens)))
 
 
-def _lookup(occurrences: DataFrame, vocabulary: DataFrame, max_features: int) -> DataFrame:
-    """Left join with the vocabulary: broadcast within its size limit, else Spark's choice."""
-    if 0 < max_features <= BROADCAST_TERMS:
-        vocabulary = F.broadcast(vocabulary)
-    return occurrences.join(vocabulary, "term", "left")
-
-
 def tfidf(
     docs: DataFrame,
     vocabulary: DataFrame,
     ngram_range: tuple[int, int] = NGRAMS,
-    max_features: int = MAX_FEATURES,
     keep: tuple[str, ...] = ("id",),
 ) -> DataFrame:
     """One row per document with ``features``: array of (idx, w), sorted by idx.
 
     w = (1 + ln count) * idf, scaled to unit length. Unknown terms are dropped and a document
     without known terms has an empty array. ``keep`` names the id and the columns that travel
-    with it. ``max_features`` is the limit the vocabulary was fitted with.
+    with it.
     """
     keys = list(keep)
-    known = _lookup(
-        occurrences(docs, keys, ngram_range),
-        vocabulary.select("term", "idx", "idf"),
-        max_features,
+    # The vocabulary is a written table: Spark broadcasts it while its true size allows.
+    known = occurrences(docs, keys, ngram_range).join(
+        vocabulary.select("term", "idx", "idf"), "term", "left"
     )
     counted = known.groupBy(*keys, "idx", "idf").agg(F.count(F.lit(1)).alias("_c"))
     weight = (F.lit(1.0) + F.ln(F.col("_c").cast("double"))) * F.col("idf")
@@ -156,14 +149,13 @@ def encode(
     docs: DataFrame,
     vocabulary: DataFrame,
     keep: tuple[str, ...] = ("id",),
-    max_tokens: int = MAX_TOKENS,
 ) -> DataFrame:
     """Known tokens of each document as indices, in text order with repeats."""
     keys = list(keep)
     placed = docs.select(*keys, tokens(F.col("text")).alias("_tokens")).select(
         *keys, F.posexplode_outer("_tokens").alias("_pos", "term")
     )
-    known = _lookup(placed, vocabulary.select("term", "idx"), max_tokens or 1)
+    known = placed.join(vocabulary.select("term", "idx"), "term", "left")
     cells = F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("_pos", "idx")))
     return known.groupBy(*keys).agg(F.sort_array(cells).alias("_cells")).select(
         *keys, F.transform("_cells", lambda cell: cell.idx).alias("token_ids")

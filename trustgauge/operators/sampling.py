@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from trustgauge.operators.ranking import hash_cuts, hash_order, hash_rank
 
 TRAIN, CALIBRATION, TEST = "train", "calibration", "test"
+TRAIN_SHARE, CALIBRATION_SHARE = 0.60, 0.20
 
 
 def stratified_split(
     df: DataFrame,
     target_col: str = "target",
     id_col: str = "id",
-    train_fraction: float = 0.60,
-    calibration_fraction: float = 0.20,
+    train_fraction: float = TRAIN_SHARE,
+    calibration_fraction: float = CALIBRATION_SHARE,
     seed: int = 42,
 ) -> DataFrame:
     """Add a ``split`` column that keeps the class ratios to the row.

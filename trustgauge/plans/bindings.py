@@ -57,9 +57,10 @@ def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source"),
         "id",
     )
-    return docs.join(splits, "id").select(
+    joined = docs.join(splits, "id").select(
         "id", "target", "split", compose_text(F.col("text"), F.col("source")).alias("text")
     )
+    return settle(joined, partition_by=["split"])
 
 
 def as_predictions(scored: DataFrame, family: str, method_name: str = "raw") -> DataFrame:

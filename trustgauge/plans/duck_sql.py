@@ -7,9 +7,13 @@ materialized. Floats are rounded as in the queries, because sums may run in anot
 from __future__ import annotations
 
 from trustgauge.functions import rules
-from trustgauge.functions.text import TOKEN_PATTERN, URL_PATTERN, USER_PATTERN
-from trustgauge.operators.conformal import ALPHAS
-from trustgauge.operators.metrics import THRESHOLDS
+
+# Written out here once more, so that a wrong value on either side shows.
+URL_PATTERN = r"https?://[^\s\x0B\x1c-\x1f\x85\p{Z}]+|www\.[^\s\x0B\x1c-\x1f\x85\p{Z}]+"
+USER_PATTERN = r"@[\p{L}\p{N}_]+"
+TOKEN_PATTERN = r"[a-z0-9_#@']+"
+ALPHAS = (0.05, 0.10, 0.15, 0.20, 0.25)
+THRESHOLDS = (0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90, 0.95)
 
 
 def _quoted(text: str) -> str:
@@ -363,7 +367,8 @@ def statements() -> dict[str, str]:
 
     # text
     sql["labelled_csv"] = """
-SELECT d.doc_id AS id, d.source AS keyword, d.lang, coalesce(d.text, '') AS text, l.quality AS target
+SELECT d.doc_id AS id, d.source AS keyword, d.lang,
+  chr(10) || '  ' || d.text || ' ' || chr(10) AS text, l.quality AS target
 FROM documents d JOIN labels l USING (doc_id)"""
     sql["compose_text"] = f"WITH {_DOCS} SELECT id, text FROM docs"
     sql["keyword_clean"] = (
@@ -506,6 +511,13 @@ both_variants AS MATERIALIZED (
   FROM preds JOIN temps USING (model) WHERE split = 'test'),{_metrics('both_variants')}
 {_BOARD}"""
 
+    sql["saved_errors_roundtrip"] = """
+SELECT source AS model, '  ' || text || ' "q", ' || chr(10) || ' ' AS text, 0::INTEGER AS true_label,
+  1::INTEGER AS predicted_label, 0.5::DOUBLE AS confidence, 0.5::DOUBLE AS prob_positive,
+  doc_id::VARCHAR AS keyword
+FROM documents"""
+    sql["metric_sink"] = f"WITH {_EVENTS},{_metrics('ev')} {_BOARD}"
+
     # calibrators
     sql["temperature_losses"] = f"""
 WITH {_EVENT_SPLITS},{_TEMPERATURES}
@@ -519,20 +531,26 @@ FROM preds JOIN temps USING (model) WHERE split = 'test'"""
     sql["platt_apply"] = f"""
 WITH {_EVENTS} SELECT model, id,
   round({_clip('(' + _sigmoid('(0.75::DOUBLE * score - 0.2::DOUBLE)') + ')')}, 9) AS prob FROM ev"""
-    sql["platt_fit"] = f"""
+    newton = f"""
 WITH RECURSIVE {_EVENT_SPLITS},
 cal AS MATERIALIZED (SELECT model, score AS z, target AS y FROM preds WHERE split = 'calibration'),
-descent(model, step, a, b) AS (
+newton(model, step, a, b) AS (
   SELECT DISTINCT model, 0, 1.0::DOUBLE, 0.0::DOUBLE FROM cal
   UNION ALL
   SELECT model, step + 1,
-         a - 0.03::DOUBLE / sqrt(1 + step / 100.0::DOUBLE) * (ga + 1e-4::DOUBLE * a),
-         b - 0.03::DOUBLE / sqrt(1 + step / 100.0::DOUBLE) * gb
-  FROM (SELECT d.model, d.step, d.a, d.b, avg((1 / (1 + exp(-(d.a * z + d.b))) - y) * z) AS ga,
-               avg(1 / (1 + exp(-(d.a * z + d.b))) - y) AS gb
-        FROM descent d JOIN cal USING (model) WHERE d.step < 1500
-        GROUP BY d.model, d.step, d.a, d.b))
-SELECT model, round(a, 5) AS slope, round(b, 5) AS intercept FROM descent WHERE step = 1500"""
+         a - (h00 * (g1 + 1e-4::DOUBLE * a) - h10 * g0) / ((h11 + 1e-4::DOUBLE) * h00 - h10 * h10),
+         b - ((h11 + 1e-4::DOUBLE) * g0 - h10 * (g1 + 1e-4::DOUBLE * a)) / ((h11 + 1e-4::DOUBLE) * h00 - h10 * h10)
+  FROM (SELECT model, step, a, b, avg((p - y) * z) AS g1, avg(p - y) AS g0,
+               avg(p * (1 - p) * z * z) AS h11, avg(p * (1 - p) * z) AS h10, avg(p * (1 - p)) AS h00
+        FROM (SELECT n.model, n.step, n.a, n.b, z, y, 1 / (1 + exp(-(n.a * z + n.b))) AS p
+              FROM newton n JOIN cal USING (model) WHERE n.step < 20)
+        GROUP BY model, step, a, b))"""
+    sql["platt_fit"] = f"""{newton}
+SELECT model, round(a, 8) AS slope, round(b, 8) AS intercept FROM newton WHERE step = 20"""
+    sql["calibrated_family_platt"] = f"""{newton}
+SELECT base_model || '/platt_scaling_extra' AS model, base_model, 'platt_scaling_extra' AS method,
+  split, id, target, round({_clip('(' + _sigmoid('(a * score + b)') + ')')}, 8) AS prob
+FROM preds JOIN newton USING (model) WHERE split = 'test' AND step = 20"""
     sql["isotonic_fit"] = f"""
 WITH {_EVENT_CALIBRATION} SELECT model, lo, hi, last, value FROM blocks"""
     sql["isotonic_apply"] = f"""

@@ -13,7 +13,7 @@ from trustgauge.functions.text import compose_text
 from trustgauge.operators import calibrate, chartdata, conformal, errors, features, linear, metrics
 from trustgauge.operators.mlp import MlpSettings, fit_mlp, mlp_scores
 from trustgauge.operators.parallel import side_by_side
-from trustgauge.operators.sampling import stratified_split
+from trustgauge.operators.sampling import CALIBRATION_SHARE, TRAIN_SHARE, stratified_split
 from trustgauge.plans.bindings import as_predictions
 from trustgauge.sources.labelled import load_saved_errors
 from trustgauge.sources.sinks import write_results
@@ -33,6 +33,10 @@ class Settings:
     include_platt: bool = False
     extra_models: bool = True
     seed: int = 42
+    max_iter: int = linear.LOGISTIC["max_iter"]
+    reg_param: float = linear.LOGISTIC["reg_param"]
+    train_share: float = TRAIN_SHARE
+    calibration_share: float = CALIBRATION_SHARE
     mlp: MlpSettings = field(default_factory=lambda: MlpSettings(seed=73))
 
 
@@ -46,13 +50,24 @@ class Prepared:
     train_vectors: DataFrame
 
 
-def split_labelled(df: DataFrame, seed: int = 42) -> DataFrame:
-    """(id, target, split, text) from a labelled table: compose the text, then split."""
+def split_labelled(
+    df: DataFrame,
+    seed: int = 42,
+    train_share: float = TRAIN_SHARE,
+    calibration_share: float = CALIBRATION_SHARE,
+) -> DataFrame:
+    """(id, target, split, text) from a labelled table: compose the text, then split.
+
+    Written once by split, so that no later step parses or composes the texts again.
+    """
     keyword = F.col("keyword") if "keyword" in df.columns else None
     composed = by_key(
         df.select("id", "target", compose_text(F.col("text"), keyword).alias("text")), "id"
     )
-    return stratified_split(composed, seed=seed)
+    split = stratified_split(
+        composed, train_fraction=train_share, calibration_fraction=calibration_share, seed=seed
+    )
+    return settle(split, partition_by=["split"])
 
 
 def prepare(docs: DataFrame, settings: Settings = Settings()) -> Prepared:
@@ -61,7 +76,7 @@ def prepare(docs: DataFrame, settings: Settings = Settings()) -> Prepared:
         train, settings.min_df, settings.max_features, settings.ngram_range
     )
     rows = settle(
-        features.tfidf(docs, vocabulary, settings.ngram_range, settings.max_features, KEEP),
+        features.tfidf(docs, vocabulary, settings.ngram_range, KEEP),
         partition_by=["split"],
     )
     vectors = features.to_vectors(
@@ -78,7 +93,7 @@ def _linear_predictions(
 
 
 def logistic(prepared: Prepared, settings: Settings) -> DataFrame:
-    model = linear.fit_logistic(prepared.train_vectors)
+    model = linear.fit_logistic(prepared.train_vectors, settings.max_iter, settings.reg_param)
     return _linear_predictions(prepared, model, "logreg_tfidf", "raw")
 
 
@@ -119,7 +134,7 @@ def embedding_mlp(prepared: Prepared, settings: Settings) -> DataFrame:
     train = prepared.docs.where("split = 'train'")
     vocabulary = features.fit_token_vocabulary(train, settings.min_df, limit)
     encoded = settle(
-        features.encode(prepared.docs, vocabulary, KEEP, limit), partition_by=["split"]
+        features.encode(prepared.docs, vocabulary, KEEP), partition_by=["split"]
     )
     model = fit_mlp(encoded.where("split = 'train'"), vocabulary.count(), settings.mlp)
     scored = mlp_scores(encoded.where(HELD_OUT), model)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +49,8 @@ def labelled_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents written as CSV, with line breaks and quotes, and read back."""
     docs = b.table(spark, sf_dir, "documents").join(b.table(spark, sf_dir, "labels"), "doc_id")
     out = docs.select(
-        F.col("doc_id").alias("id"), F.col("source").alias("keyword"), "lang", "text",
+        F.col("doc_id").alias("id"), F.col("source").alias("keyword"), "lang",
+        F.concat(F.lit("\n  "), "text", F.lit(" \n")).alias("text"),
         F.col("quality").alias("target"),
     )
     return load_labelled_csv(spark, write_table(out, scratch_path(spark), "labelled", "csv"))
@@ -118,13 +118,12 @@ def mlp_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean vector of each document, the given vectors standing for the most frequent tokens."""
     docs = b.documents(spark, sf_dir)
-    vectors = b.table(spark, sf_dir, "embeddings")
-    size = vectors.count()
-    if size > features.MAX_TOKENS:
-        raise ValueError("more vectors than a token vocabulary may hold")
-    table = np.array([r["embedding"] for r in vectors.orderBy("vec_id").collect()], dtype=float)
-    encoded = features.encode(docs, features.fit_token_vocabulary(docs, max_tokens=size))
-    means = mlp.document_embeddings(encoded, table)
+    vectors = b.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("idx"), F.col("embedding").alias("vector")
+    )
+    sizes = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
+    tokens = features.fit_token_vocabulary(docs, max_tokens=sizes["n"])
+    means = mlp.document_embeddings(features.encode(docs, tokens), vectors, sizes["width"])
     return means.select("id", F.posexplode("embedding").alias("dim", "value")).select(
         "id", "dim", F.round("value", 8).alias("value")
     )
@@ -298,7 +297,7 @@ def platt_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def platt_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _calibration(spark, sf_dir)
-    return _rounded(calibrate.fit_platt(rows), 5, "slope", "intercept")
+    return _rounded(calibrate.fit_platt(rows), 8, "slope", "intercept")
 
 
 def isotonic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,12 +319,51 @@ def _family(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def calibrated_family_platt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, test = _calibration(spark, sf_dir)
+    family = calibrate.calibrated_family(
+        test, calibrate.fit_temperature(rows), calibrate.isotonic_blocks(rows),
+        calibrate.fit_platt(rows),
+    )
+    return family.where(F.col("method") == calibrate.PLATT).select(
+        "model", "base_model", "method", "split", "id", "target", F.round("prob", 8).alias("prob")
+    )
+
+
 def calibrated_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _family(spark, sf_dir).select(
         "model", "base_model", "method", "split", "id", "target", F.round("prob", 9).alias("prob")
     )
 
 
+def saved_errors_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with blanks and line breaks at both ends, written as saved errors and read back."""
+    docs = b.table(spark, sf_dir, "documents")
+    text = F.concat(F.lit("  "), "text", F.lit(' "q", \n '))
+    out = docs.select(
+        F.col("source").alias("model"), text.alias("text"), F.lit(0).alias("true_label"),
+        F.lit(1).alias("predicted_label"), F.lit(0.5).alias("confidence"),
+        F.lit(0.5).alias("prob_positive"), F.col("doc_id").cast("string").alias("keyword"),
+    )
+    return load_saved_errors(spark, write_table(out, scratch_path(spark), "saved", "csv"))
+
+
+def metric_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics written as CSV in their fixed column order and read back."""
+    board = metrics.leaderboard(b.event_scores(spark, sf_dir))
+    path = write_table(board, scratch_path(spark), "metrics_summary", "csv")
+    read = spark.read.csv(path, header=True)
+    numbers = [c for c in read.columns if c not in ("model", "base_model", "method")]
+    counts = {"tn", "fp", "fn", "tp"}
+    return read.select(
+        "model", "base_model", "method",
+        *[
+            F.col(c).cast("long").alias(c) if c in counts else F.round(F.col(c).cast("double"), 8).alias(c)
+            for c in numbers
+        ],
+    )
+
+
 # --- evaluation ------------------------------------------------------------------------------
 
 
@@ -560,6 +598,8 @@ def registry() -> dict[str, Query]:
         "nb_score": nb_score,
         "nb_score_all_documents": nb_score_all_documents,
         "nb_leaderboard": nb_leaderboard,
+        "saved_errors_roundtrip": saved_errors_roundtrip,
+        "metric_sink": metric_sink,
         "temperature_losses": temperature_losses,
         "temperature_fit": temperature_fit,
         "temperature_apply": temperature_apply,
@@ -568,6 +608,7 @@ def registry() -> dict[str, Query]:
         "isotonic_fit": isotonic_fit,
         "isotonic_apply": isotonic_apply,
         "calibrated_family": calibrated_family,
+        "calibrated_family_platt": calibrated_family_platt,
         "classification_metrics": classification_metrics,
         "reliability_bins": reliability_bins,
         "ece": ece,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from trustgauge.sources.workspace import settle
 
 # The columns a labelled table must have, and the cell texts that mean "missing"
 # in a CSV file.
@@ -30,7 +31,10 @@ COPY_RUN = 10_000
 def _read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header, quoted line breaks and doubled quotes; every column a string."""
     try:
-        raw = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
+        raw = spark.read.csv(
+            path, header=True, multiLine=multi_line, quote='"', escape='"',
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no labelled table at {path}") from error
@@ -82,18 +86,32 @@ def with_row_ids(df: DataFrame) -> DataFrame:
     )
 
 
+def _with_checked_ids(df: DataFrame) -> DataFrame:
+    """Keep usable ids, else derive them; derived ids are written once, not again for each reader."""
+    if "id" not in df.columns:
+        return settle(with_row_ids(df))
+    text = F.col("id").cast("string")
+    whole = text.rlike("^-?[0-9]{1,18}$")
+    seen = df.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.every(whole).alias("whole"))
+    state = seen.agg(
+        F.max("n").alias("most"), F.every(F.col("id").isNotNull()).alias("given"),
+        F.every("whole").alias("whole"),
+    ).first()
+    if state["most"] is not None and (state["most"] > 1 or not state["given"]):
+        return settle(with_row_ids(df.withColumnRenamed("id", "given_id")))
+    return df.withColumn("id", F.col("id").cast("long")) if state["whole"] else df
+
+
 def load_labelled_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Labelled CSV: text and target checked and typed, other columns kept as strings.
 
     Texts may hold line breaks, so a file is read by one task; a very large input should come
     in many files, or with ``multi_line=False`` when no text has a line break.
 
-    A numeric ``id`` column becomes a long; without an ``id`` one is derived from the row.
+    An ``id`` column becomes a long when every id is a whole number, else it stays text; without an
+    ``id``, or when ids are missing or repeated, one is derived from the row.
     """
-    df = checked_labels(_read_csv(spark, path, multi_line), path)
-    if "id" not in df.columns:
-        return with_row_ids(df)
-    return df.withColumn("id", F.col("id").cast("long"))
+    return _with_checked_ids(checked_labels(_read_csv(spark, path, multi_line), path))
 
 
 def load_labelled_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -103,8 +121,7 @@ def load_labelled_parquet(spark: SparkSession, path: str) -> DataFrame:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no labelled table at {path}") from error
         raise
-    df = checked_labels(df, path)
-    return df if "id" in df.columns else with_row_ids(df)
+    return _with_checked_ids(checked_labels(df, path))
 
 
 def load_saved_errors(spark: SparkSession, path: str) -> DataFrame:
@@ -117,14 +134,5 @@ def load_saved_errors(spark: SparkSession, path: str) -> DataFrame:
     )
     if typed.isEmpty():
         raise ValueError(f"{path} is empty")
-    return typed
-
-
-LABELLED_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("keyword", T.StringType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("target", T.IntegerType()),
-    ]
-)
+    # A missing text reads as the word that stands for it, one token long.
+    return typed.withColumn("text", F.coalesce("text", F.lit("nan")))

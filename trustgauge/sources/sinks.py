@@ -42,7 +42,10 @@ def write_table(df: DataFrame, folder: str, name: str, fmt: str = "parquet") ->
     ordered = df.select(*RESULT_COLUMNS[name]) if name in RESULT_COLUMNS else df
     writer = ordered.write.mode("overwrite")
     if fmt == "csv":
-        writer.csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue="")
+        writer.csv(
+            path, header=True, quote='"', escape='"', emptyValue="", nullValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
     else:
         writer.format(fmt).save(path)
     return path
