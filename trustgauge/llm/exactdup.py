@@ -85,9 +85,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         "text_sha256",
     )
-    maybe = marked.where("maybe").drop("maybe")
-    groups = maybe.groupBy("text_sha256").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    maybe = store(marked.where("maybe").drop("maybe"))
+    # Written apart, so that the join has two exchanges and a hot digest can be split.
+    groups = store(
+        maybe.groupBy("text_sha256").agg(
+            F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+        )
     )
     repeated = maybe.join(groups, "text_sha256").select(
         "doc_id", "keep_id", "group_size", "text_sha256"
