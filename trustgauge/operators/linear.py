@@ -108,6 +108,35 @@ def linear_scores(rows: DataFrame, model: LinearModel, id_col: str = "id") -> Da
     ).drop("_sum")
 
 
+def text_scores(
+    docs: DataFrame,
+    vocabulary: DataFrame,
+    model: LinearModel,
+    ngram_range: tuple[int, int] = NGRAMS,
+    keep: tuple[str, ...] = ("id",),
+) -> DataFrame:
+    """Score documents straight from their text: (keep..., score).
+
+    The weights travel with the vocabulary, so a term finds both in one lookup and a document
+    is two sums: that of weight times tf-idf over the length of its tf-idf vector. No array of
+    weights or features is built, whatever the size of the vocabulary.
+    """
+    keys = list(keep)
+    known = settle(vocabulary.select("term", "idx", "idf").join(model.weights, "idx"))
+    met = occurrences(docs, keys, ngram_range).join(known, "term", "left")
+    counted = met.groupBy(*keys, "idx", "idf", "weight").agg(F.count(F.lit(1)).alias("_c"))
+    w = F.when(
+        F.col("idx").isNotNull(),
+        (F.lit(1.0) + F.ln(F.col("_c").cast("double"))) * F.col("idf"),
+    )
+    sums = counted.withColumn("_w", w).groupBy(*keys).agg(
+        F.sum(F.col("_w") * F.col("weight")).alias("_dot"),
+        F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"),
+    )
+    score = F.coalesce(F.try_divide(F.col("_dot"), F.col("_norm")), F.lit(0.0))
+    return sums.select(*keys, (F.lit(model.intercept) + score).alias("score"))
+
+
 def _weight_table(spark, coefficients) -> DataFrame:
     """Fitted coefficients as (idx, weight); they are as bounded as the vocabulary."""
     values = coefficients.toArray()

@@ -516,6 +516,17 @@ SELECT source AS model, '  ' || text || ' "q", ' || chr(10) || ' ' AS text, 0::I
   1::INTEGER AS predicted_label, 0.5::DOUBLE AS confidence, 0.5::DOUBLE AS prob_positive,
   doc_id::VARCHAR AS keyword
 FROM documents"""
+    sql["linear_score_fixed"] = f"""
+WITH {_DOC_TERMS}, {_vocabulary('vocab', 'doc_terms', 'docs')}, {_tfidf('feats', 'doc_terms', 'vocab')},
+scored AS (
+  SELECT docs.id, 0.25::DOUBLE + coalesce(sum(w * ((idx * 37) % 101 - 50) / 100.0::DOUBLE), 0.0::DOUBLE) AS score
+  FROM docs LEFT JOIN feats ON feats.id = docs.id GROUP BY docs.id)
+SELECT id, round(score, 7) AS score, round({_clip('(' + _sigmoid('score') + ')')}, 8) AS prob FROM scored"""
+    sql["vectors"] = f"""
+WITH {_DOC_TERMS}, {_vocabulary('vocab', 'doc_terms', 'docs')}, {_tfidf('feats', 'doc_terms', 'vocab')}
+SELECT docs.id, (SELECT count(*) FROM vocab) AS size, count(w) AS n_values,
+  round(coalesce(sum(w), 0.0::DOUBLE), 8) AS total
+FROM docs LEFT JOIN feats ON feats.id = docs.id GROUP BY docs.id"""
     sql["metric_sink"] = f"WITH {_EVENTS},{_metrics('ev')} {_BOARD}"
 
     # calibrators

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from trustgauge.operators import (
     mlp,
 )
 from trustgauge.operators.external import external_predictions
-from trustgauge.operators.linear import fit_naive_bayes, linear_scores
+from trustgauge.operators.linear import LinearModel, fit_naive_bayes, text_scores
 from trustgauge.operators.sampling import (
     bootstrap_multiplicities,
     limit_rows,
@@ -242,8 +243,34 @@ def nb_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nb_score_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inference: the model trained on labels scores every document."""
     known, model = _trained_naive_bayes(spark, sf_dir)
-    rows = features.tfidf(b.documents(spark, sf_dir), known)
-    return linear_scores(rows, model).select("id", F.round("score", 7).alias("score"))
+    scored = text_scores(b.documents(spark, sf_dir), known, model)
+    return scored.select("id", F.round("score", 7).alias("score"))
+
+
+def linear_score_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and probabilities under weights that follow from the index alone."""
+    docs = b.documents(spark, sf_dir)
+    known = features.fit_vocabulary(docs)
+    weight = (F.pmod(F.col("idx") * 37, F.lit(101)) - 50) / 100.0
+    model = LinearModel(known.select("idx", weight.alias("weight")), 0.25, 0)
+    scored = text_scores(docs, known, model)
+    return scored.select(
+        "id", F.round("score", 7).alias("score"),
+        F.round(scalars.clip_probability(scalars.sigmoid(F.col("score"))), 8).alias("prob"),
+    )
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TF-IDF rows as MLlib vectors, read back: size, number and sum of the values."""
+    docs = b.documents(spark, sf_dir)
+    known = features.fit_vocabulary(docs)
+    dense = vector_to_array(F.col("features"))
+    rows = features.to_vectors(features.tfidf(docs, known), known.count()).select("id", dense.alias("v"))
+    return rows.select(
+        "id", F.size("v").cast("long").alias("size"),
+        F.size(F.filter("v", lambda x: x != 0)).cast("long").alias("n_values"),
+        F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 8).alias("total"),
+    )
 
 
 def _board(predictions: DataFrame) -> DataFrame:
@@ -420,10 +447,15 @@ def conformal_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _conformal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw scores next to a recalibrated copy, which must not take part."""
+    def mixed(rows: DataFrame) -> DataFrame:
+        copy = rows.withColumns(
+            {"method": F.lit(calibrate.ISOTONIC), "model": F.concat("base_model", F.lit("/again"))}
+        )
+        return conformal.conformal_candidates(rows.unionByName(copy))
+
     rows, test = _calibration(spark, sf_dir)
-    return conformal.evaluate_conformal(
-        conformal.conformal_candidates(rows), conformal.conformal_candidates(test)
-    )
+    return conformal.evaluate_conformal(mixed(rows), mixed(test))
 
 
 def conformal_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -597,6 +629,8 @@ def registry() -> dict[str, Query]:
         "nb_fit": nb_fit,
         "nb_score": nb_score,
         "nb_score_all_documents": nb_score_all_documents,
+        "linear_score_fixed": linear_score_fixed,
+        "vectors": vectors,
         "nb_leaderboard": nb_leaderboard,
         "saved_errors_roundtrip": saved_errors_roundtrip,
         "metric_sink": metric_sink,
