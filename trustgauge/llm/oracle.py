@@ -92,7 +92,7 @@ WITH d AS (
   SELECT *,
     CAST((CASE WHEN n_words < 50 THEN 1 ELSE 0 END)
     + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END)
-    + (CASE WHEN 100 * n_symbols > 70 * n_words THEN 4 ELSE 0 END)
+    + (CASE WHEN 100 * n_symbols > 20 * n_words THEN 4 ELSE 0 END)
     + (CASE WHEN n_lines >= 10 AND 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END)
     + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END)
     + (CASE WHEN word_chars > 30 * n_words THEN 32 ELSE 0 END) AS BIGINT) AS failed

@@ -20,7 +20,7 @@ MEASURES = (
 RULES: Mapping[str, str] = {
     "few_words": "n_words < 50",
     "repeated_windows": "100 * n_repeat_words > 50 * n_words",
-    "symbols": "100 * n_symbols > 70 * n_words",
+    "symbols": "100 * n_symbols > 20 * n_words",
     "repeated_lines": "n_lines >= 10 and 100 * n_dup_lines > 50 * n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 30 * n_words",
