@@ -88,3 +88,28 @@ def test_settled_tables_live_in_the_shared_folder(spark):
     table = workspace.settle(spark.range(5), partition_by=())
     assert table.count() == 5
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in table.inputFiles())
+
+
+def test_intermediate_tables_can_be_swept(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from trustgauge.sources import workspace
+
+    before = list(workspace._handed_out)
+    workspace._handed_out.clear()
+    workspace.settle(spark.range(3))
+    path = Path(urlparse(workspace._handed_out[0]).path)
+    assert path.exists()
+    assert workspace.sweep(spark) == 1 and not path.exists()
+    workspace._handed_out.extend(before)
+
+
+def test_text_ids_stay_and_repeated_ids_are_replaced(spark, tmp_path):
+    rows = [("a1", " x ", 1), ("b2", "y\n", 0)]
+    spark.createDataFrame(rows, "id string, text string, target int").write.parquet(f"{tmp_path}/t")
+    assert {r["id"] for r in labelled.load_labelled_parquet(spark, f"{tmp_path}/t").collect()} == {"a1", "b2"}
+    again = [(1, "x", 1), (1, "y", 0), (None, "y", 0)]
+    spark.createDataFrame(again, "id long, text string, target int").write.parquet(f"{tmp_path}/u")
+    got = labelled.load_labelled_parquet(spark, f"{tmp_path}/u").collect()
+    assert len({r["id"] for r in got}) == 3 and None not in {r["id"] for r in got}

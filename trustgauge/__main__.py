@@ -14,7 +14,7 @@ from trustgauge.operators.sampling import limit_rows
 from trustgauge.plans import experiment
 from trustgauge.sources.labelled import load_labelled_csv, load_labelled_parquet
 from trustgauge.sources.sinks import write_by_family, write_results
-from trustgauge.sources.workspace import settle
+from trustgauge.sources.workspace import settle, sweep
 
 
 def _add_settings(parser: argparse.ArgumentParser, defaults: object, prefix: str = "") -> None:
@@ -107,4 +107,5 @@ if __name__ == "__main__":
     session = SparkSession.builder.appName("trustgauge").getOrCreate()
     for path in run(session):
         print(path)
+    sweep(session)
     session.stop()

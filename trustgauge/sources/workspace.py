@@ -26,9 +26,25 @@ def workspace_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+# Paths handed out in this process and not yet swept.
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path in the shared folder."""
-    return f"{workspace_dir(spark)}/trustgauge/{uuid.uuid4().hex}"
+    path = f"{workspace_dir(spark)}/trustgauge/{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def sweep(spark: SparkSession) -> int:
+    """Remove all intermediate tables of this process, once no result reads them any more."""
+    context = spark.sparkContext
+    removed = 0
+    while _handed_out:
+        path = context._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        removed += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
 
 
 def settle(
