@@ -516,6 +516,11 @@ SELECT source AS model, '  ' || text || ' "q", ' || chr(10) || ' ' AS text, 0::I
   1::INTEGER AS predicted_label, 0.5::DOUBLE AS confidence, 0.5::DOUBLE AS prob_positive,
   doc_id::VARCHAR AS keyword
 FROM documents"""
+    # A fit that ended where it should; its own numbers have no SQL.
+    sql["logistic_stationarity"] = "SELECT 'logreg_tfidf' AS model, TRUE AS stationary"
+    sql["smoothing_stationarity"] = "SELECT 'label_smoothing' AS model, TRUE AS stationary"
+    sql["training_beats_constant"] = """
+SELECT unnest(['linear_svm_tfidf', 'bootstrap_ensemble', 'embedding_mlp']) AS model, TRUE AS better"""
     sql["linear_score_fixed"] = f"""
 WITH {_DOC_TERMS}, {_vocabulary('vocab', 'doc_terms', 'docs')}, {_tfidf('feats', 'doc_terms', 'vocab')},
 scored AS (

@@ -593,6 +593,72 @@ def _trained(part: str) -> Query:
     return query
 
 
+# Enough steps for the optimiser to stop by itself, and how flat the loss must then be.
+LONG_FIT, FLAT = 500, 1e-3
+
+
+def _stationarity(name: str, smoothing: float) -> Query:
+    """Is the fitted logistic regression a minimum: does its gradient vanish?"""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepared = experiment.prepare(b.split_documents(spark, sf_dir))
+        penalty = linear.LOGISTIC["reg_param"]
+        if smoothing:
+            model = linear.fit_smoothed_logistic(prepared.train_vectors, smoothing, LONG_FIT, penalty)
+        else:
+            model = linear.fit_logistic(prepared.train_vectors, LONG_FIT, penalty)
+        scored = linear.linear_scores(prepared.rows.where("split = 'train'"), model)
+        wanted = scalars.smooth_label(F.col("target").cast("double"), smoothing)
+        errors_ = settle(
+            scored.select("features", (scalars.sigmoid(F.col("score")) - wanted).alias("error"))
+        )
+        n = F.lit(errors_.count())
+        slopes = (
+            errors_.select("error", F.inline("features"))
+            .groupBy("idx")
+            .agg(F.sum(F.col("error") * F.col("w")).alias("sum"))
+        )
+        steep = model.weights.join(slopes, "idx", "left").select(
+            F.abs(F.coalesce("sum", F.lit(0.0)) / n + penalty * F.col("weight")).alias("slope")
+        )
+        level = errors_.select(F.avg("error").alias("slope")).select(F.abs("slope").alias("slope"))
+        return steep.unionByName(level).agg(
+            F.lit(name).alias("model"), (F.max("slope") < FLAT).alias("stationary")
+        ).select("model", "stationary")
+
+    return query
+
+
+def training_beats_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For fits without a smooth optimum: is the training loss below that of a constant?"""
+    prepared = experiment.prepare(b.split_documents(spark, sf_dir))
+    settings = experiment.Settings()
+    train = "split = 'train'"
+    one = F.avg(F.col("target").cast("double"))
+    entropy = -(one * F.log(one) + (1.0 - one) * F.log(1.0 - one))
+    chance = F.coalesce(F.when((one > 0) & (one < 1), entropy), F.lit(0.0))
+    log_loss = F.avg(scalars.log_loss(F.col("target"), F.col("prob")))
+
+    svm = linear.linear_scores(prepared.rows.where(train), linear.fit_svm(prepared.train_vectors))
+    hinge = F.avg(F.greatest(F.lit(0.0), 1.0 - scalars.signed_label(F.col("target")) * F.col("score")))
+    found = [svm.agg((hinge < 2.0 * F.least(one, 1.0 - one)).alias("better"), F.lit("linear_svm_tfidf").alias("model"))]
+
+    docs = prepared.docs.where(train)
+    members = linear.fit_ensemble(
+        docs.select("id", "target", "text"), settings.ensemble_size, settings.min_df, settings.max_features,
+        ngram_range=settings.ngram_range, seed=settings.seed,
+    )
+    mean = linear.ensemble_scores(docs, members, settings.ngram_range, experiment.KEEP)
+    found.append(mean.agg((log_loss < chance).alias("better"), F.lit("bootstrap_ensemble").alias("model")))
+
+    tokens = features.fit_token_vocabulary(docs, settings.min_df)
+    encoded = settle(features.encode(docs, tokens, experiment.KEEP))
+    network = mlp.fit_mlp(encoded, tokens.count(), settings.mlp)
+    scored = linear.with_probability(mlp.mlp_scores(encoded, network))
+    found.append(scored.agg((log_loss < chance).alias("better"), F.lit("embedding_mlp").alias("model")))
+    return reduce(DataFrame.unionByName, found).select("model", "better")
+
+
 def main_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole main job; its best-first table of all variants."""
     tables = experiment.run_experiment(b.split_documents(spark, sf_dir))
@@ -666,6 +732,9 @@ def registry() -> dict[str, Query]:
         "conformal_panels": conformal_panels,
         "category_matrix": category_matrix,
         "external_experiment": external_experiment,
+        "logistic_stationarity": _stationarity("logreg_tfidf", 0.0),
+        "smoothing_stationarity": _stationarity("label_smoothing", linear.SMOOTHING),
+        "training_beats_constant": training_beats_constant,
         # No SQL for these: iterative fits and the job that holds them.
         "logistic": _trained("logreg_tfidf"),
         "label_smoothing": _trained("label_smoothing"),
