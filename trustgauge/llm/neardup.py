@@ -148,30 +148,66 @@ class _Search:
         )
         members = classes.select(F.col("id").alias("member"), F.explode(keys).alias("key"))
         # Keys of a single class end here; a hot key is combined per task.
-        leaders = store(
-            members.groupBy("key")
-            .agg(F.min("member").alias("leader"), F.count(F.lit(1)).alias("c"))
-            .where("c > 1")
-        )
-        self.members = store(members.join(leaders, "key").select("key", "member", "leader", "c"))
-        wanted = self.members.select(F.col("member").alias("id")).distinct()
+        shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        found = store(members.join(store(shared.select("key")), "key"))
+        wanted = store(found.select(F.col("member").alias("id")).distinct())
         self.sets = store(
-            docs.join(store(wanted), "id", "left_semi").mapInArrow(
+            docs.join(wanted, "id", "left_semi").mapInArrow(
                 _full_sets(settings.shingle), "id long, shingles array<long>"
             )
         )
+        self.members = self._able(found)
+
+    def _able(self, found: DataFrame) -> DataFrame:
+        """Members that may have a link in their key: (key, member, n, s, leader, c).
+
+        ``s`` counts the shingles of a member that some other class with a shared key has too.
+        A pair can share no more than the lesser ``s`` of the two, and its sets together are no
+        smaller than the sizes less that. Members too far from the smallest set of their key
+        under this bound go, which loses no link. The leader is the member with the
+        largest share of ``s``: of edited copies, the one nearest to all others.
+        """
+        percent = self.settings.percent
+        single = (
+            self.sets.select("id", F.explode("shingles").alias("g"))
+            .groupBy("g")
+            .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c"))
+            .where("c = 1")
+            .groupBy("id")
+            .agg(F.count(F.lit(1)).alias("u"))
+        )
+        able = store(
+            self.sizes.join(single, "id", "left")
+            .select(
+                F.col("id").alias("member"), "n",
+                (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"),
+            )
+            .where(F.col("s") * 100 >= F.col("n") * percent)
+        )
+        rows = store(found.join(able, "member"))
+        lows = store(rows.groupBy("key").agg(F.min("n").alias("low"), F.count(F.lit(1)).alias("c")).where("c > 1"))
+        near = store(
+            rows.join(lows.select("key", "low"), "key")
+            .where(F.col("s") * (100 + percent) >= (F.col("n") + F.col("low")) * percent)
+            .drop("low")
+        )
+        rank = F.struct((F.col("s") / F.col("n")).alias("share"), (-F.col("member")).alias("id"))
+        leaders = near.groupBy("key").agg(F.max(rank).alias("best"), F.count(F.lit(1)).alias("c"))
+        leaders = store(leaders.where("c > 1").select("key", (-F.col("best.id")).alias("leader"), "c"))
+        return store(near.join(leaders, "key"))
 
     def first_pairs(self) -> DataFrame:
-        """Every member with the least member of its key."""
-        pairs = (
-            self.members.where("member <> leader")
-            .select(F.col("leader").alias("a"), F.col("member").alias("b"))
-            .distinct()
+        """Every member with the leader of its key."""
+        lead = self.members.where("member = leader").select(
+            "key", F.col("n").alias("m"), F.col("s").alias("r")
         )
-        sized = pairs.join(self.sizes.toDF("a", "m"), "a").join(self.sizes.toDF("b", "n"), "b")
-        return sized.where(
-            F.least("m", "n") * 100 >= F.greatest("m", "n") * self.settings.percent
-        ).select("a", "b")
+        met = self.members.where("member <> leader").join(lead, "key").where(self._may())
+        return met.select(*_pairs(F.col("leader"), F.col("member"))).distinct()
+
+    def _may(self) -> Column:
+        """Can sets of sizes n and m with s and r shared shingles be similar enough?"""
+        most = F.least("s", "r")
+        return most * 100 >= (F.col("n") + F.col("m") - most) * self.settings.percent
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose full sets are similar enough."""
@@ -185,73 +221,43 @@ class _Search:
     def open_members(self, labels: DataFrame) -> DataFrame:
         """Members of keys that still hold two components: (key, member, n, s, label, still).
 
-        Pairs with the key's leader are done, so the leader is left out. ``s`` counts the shingles
-        of a member that some other open member has too; no pair can share more, which rules
-        out, exactly, all members that differ too much from everything else.
+        Pairs with the key's leader are done, so the leader is left out.
         """
-        percent = self.settings.percent
-        rest = self.members.where("c > 2 and member <> leader").select("key", "member")
-        labelled = rest.join(labels.toDF("member", "label"), "member", "left").select(
-            "key", "member", F.coalesce("label", "member").alias("label")
-        )
-        spread = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"))
-        mixed = store(spread.where("l < h").select("key"))
-        opened = store(labelled.join(mixed, "key"))
-        ids = store(opened.select(F.col("member").alias("id")).distinct())
-        shingles = self.sets.join(ids, "id").select("id", F.explode("shingles").alias("g"))
-        single = (
-            shingles.groupBy("g")
-            .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c"))
-            .where("c = 1")
-            .groupBy("id")
-            .agg(F.count(F.lit(1)).alias("u"))
-        )
-        able = store(
-            ids.join(self.sizes, "id").join(single, "id", "left")
-            .select("id", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
-            .where(F.col("s") * 100 >= F.col("n") * percent)
+        rest = self.members.where("c > 2 and member <> leader").select("key", "member", "n", "s")
+        labelled = store(
+            rest.join(labels.toDF("member", "label"), "member", "left").select(
+                "key", "member", "n", "s", F.coalesce("label", "member").alias("label")
+            )
         )
-        left = store(opened.join(able.withColumnRenamed("id", "member"), "member"))
-        # The smallest set of the key is the easiest partner.
-        lows = left.groupBy("key").agg(F.min("n").alias("low"))
-        left = left.join(lows, "key").where(
-            F.col("s") * (100 + percent) >= (F.col("n") + F.col("low")) * percent
-        ).drop("low")
-        shares = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+        shares = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
         still = store(
             shares.groupBy("key")
             .agg(F.max(F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("k"))
             .where("k > 1")
             .select("key", F.col("most.label").alias("still"))
         )
-        return store(left.join(still, "key"))
+        return store(labelled.join(still, "key"))
 
     def later_pairs(self, opened: DataFrame, width: int) -> tuple[DataFrame, bool]:
         """Pairs of open members in different components, and whether these are all.
 
-        With a width of 1, the member that shares most with others is held against the rest of
-        its key: edited copies meet the one that is nearest to all of them. Else the component with most
-        members in a key keeps still, and up to ``width`` others are held against all members
-        of other components.
+        The component with most members in a key keeps still; up to ``width`` others, those that
+        share most first, are held against all members of other components.
         """
         turn = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("s"), "member"))
-        rest = opened if width == 1 else opened.where("label <> still")
+        rest = opened.where("label <> still")
         tried = rest.withColumn("turn", turn).where(F.col("turn") <= width).select(
             "key", F.col("member").alias("other"), F.col("n").alias("m"), F.col("s").alias("r"),
             F.col("label").alias("other_label"),
         )
-        most = F.least("s", "r")
-        may = most * 100 >= (F.col("n") + F.col("m") - most) * self.settings.percent
-        found = opened.join(tried, "key").where((F.col("label") != F.col("other_label")) & may)
+        found = opened.join(tried, "key").where((F.col("label") != F.col("other_label")) & self._may())
         pairs = found.select(*_pairs(F.col("other"), F.col("member"))).distinct()
-        if width == 1:
-            return pairs, False
         others = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
         return pairs, (others.agg(F.max("c")).first()[0] or 0) <= width
 
     def labels(self) -> DataFrame:
         """Component of every class that has a link: (id, label)."""
-        width = 1
+        width = 16
         seen = store(self.first_pairs())
         labels = store(components(store(self.verified(seen))))
         while True:
@@ -267,7 +273,7 @@ class _Search:
             if last:
                 return labels
             seen = store(seen.unionByName(fresh))
-            width = max(64, width * 8)
+            width *= 8
 
 
 def near_groups(
@@ -280,9 +286,10 @@ def near_groups(
 
     Words are runs of characters other than white space, with A-Z lower-cased. Rows with equal
     shingle sets form a class, named by its least id, so a large group of copies enters the
-    search once. Classes that share a key of some table meet the key's least class; whatever
-    is then not connected although it shares a key is held against each other in further
-    rounds, so no candidate is left out. Every link is confirmed on the two full sets.
+    search once. Classes that share a key of some table meet the key's most central class;
+    whatever is then not connected although it shares a key is held against each other in
+    further rounds. Only pairs that an exact bound on shared shingles rules out are left
+    out. Every link is confirmed on the two full sets.
     ``component_id`` is the least id reachable over links; ``kept`` marks it.
 
     A null or blank text has an empty set and no links, neither has a row without id (its
