@@ -46,10 +46,14 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def unit_hash(*columns: Column | str, seed: int) -> Column:
-    """A double strictly between 0 and 1 that depends on the columns and the seed alone."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 12)
-    return (bits.cast("double") + 0.5) / float(1 << 52)
+def unit_hash(column: Column | str, seed: int) -> Column:
+    """A double strictly between 0 and 1 that depends on the column and the seed alone.
+
+    Made from the first 52 bits of an MD5 sum, so that any engine can reproduce it.
+    """
+    text = F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit(""))
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text)), 1, 13)
+    return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
 def running(

@@ -66,6 +66,46 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g USING (norm)
 """
 
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, source,
+    CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
+    length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>{}]', '', 'g')) AS symbols
+  FROM documents
+), keyed AS (
+  SELECT *, -ln((CAST('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+      / 4503599627370496::DOUBLE)
+    / (1::DOUBLE / (1::DOUBLE + 4::DOUBLE * symbols / greatest(size, 1))) AS k
+  FROM d
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2::DOUBLE * sum(size) AS most FROM d GROUP BY source
+), weighed AS (
+  SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS w FROM sources
+), steps AS (
+  -- With the sources that fill up first taken as full, what one unit of weight gets in the rest.
+  SELECT *, most / w AS full_at,
+    (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER before, 0))
+      / sum(w) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+  WINDOW before AS (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), scale AS (
+  SELECT coalesce(arg_min(level, full_at) FILTER (WHERE level <= full_at), max(full_at)) AS unit FROM steps
+), targets AS (
+  SELECT source, source_size, least(most, w * unit) AS target,
+    CASE WHEN source_size > 0 THEN floor(least(most, w * unit) / source_size) ELSE 0 END AS epochs
+  FROM weighed, scale
+), placed AS (
+  SELECT keyed.*, source_size, target, epochs,
+    coalesce(sum(size) OVER (PARTITION BY keyed.source ORDER BY k, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM keyed JOIN targets ON keyed.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+  CAST(size * (epochs + CASE WHEN size > 0 AND before + size / 2::DOUBLE <= target - epochs * source_size
+    THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""
+
 OP9 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
@@ -130,5 +170,11 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 
 
 def statements() -> dict[str, str]:
-    return {"op1_chat_format": OP1, "op2_minhash_near_dedup": OP2, "op3_exact_dedup": OP3, "op9_quality_rules": OP9,
-            "op10_substring_dedup": OP10}
+    return {
+        "op1_chat_format": OP1,
+        "op2_minhash_near_dedup": OP2,
+        "op3_exact_dedup": OP3,
+        "op8_mixing": OP8,
+        "op9_quality_rules": OP9,
+        "op10_substring_dedup": OP10,
+    }

@@ -116,7 +116,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan_of(table(spark, sf_dir, "documents")).select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
+        F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken"
     )
 
 
