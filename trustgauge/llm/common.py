@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
     """Let Spark remove the shuffle files of each action as soon as it has ended."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
+    before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
         yield
