@@ -40,9 +40,7 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # Only the larger ends move, and those are the rows of ``pairs`` with u and v swapped.
         larger = pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        large = store(
-            larger.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = larger.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = store(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())

@@ -132,7 +132,7 @@ def _pairs(left: Column, right: Column) -> list[Column]:
 
 
 class _Search:
-    """Candidate pairs of classes, checked in rounds until every shared key is settled."""
+    """Candidate pairs of classes, checked in rounds until every group is settled."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, settings: Settings):
         self.settings = settings
@@ -149,23 +149,25 @@ class _Search:
         members = classes.select(F.col("id").alias("member"), F.explode(keys).alias("key"))
         # Keys of a single class end here; a hot key is combined per task.
         shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-        found = store(members.join(store(shared.select("key")), "key"))
-        wanted = store(found.select(F.col("member").alias("id")).distinct())
+        found = store(members.join(shared.select("key"), "key"))
+        wanted = found.select(F.col("member").alias("id")).distinct()
         self.sets = store(
             docs.join(wanted, "id", "left_semi").mapInArrow(
                 _full_sets(settings.shingle), "id long, shingles array<long>"
             )
         )
-        self.members = self._able(found)
+        self.groups = self._able(found)
 
     def _able(self, found: DataFrame) -> DataFrame:
-        """Members that may have a link in their key: (key, member, n, s, leader, c).
+        """Members that may have a link, by the leader of a key of theirs: (leader, m, r, member, n, s).
 
         ``s`` counts the shingles of a member that some other class with a shared key has too.
         A pair can share no more than the lesser ``s`` of the two, and its sets together are no
         smaller than the sizes less that. Members too far from the smallest set of their key
-        under this bound go, which loses no link. The leader is the member with the
-        largest share of ``s``: of edited copies, the one nearest to all others.
+        under this bound go, which loses no link. The leader of a key is the member with the
+        largest share of ``s``: of edited copies, the one nearest to all others, and so mostly
+        the same in all their keys. Keys with one leader then count as one group, in which
+        all pairs that share a key are found. ``m`` and ``r`` are the leader's size and ``s``.
         """
         percent = self.settings.percent
         single = (
@@ -184,25 +186,30 @@ class _Search:
             )
             .where(F.col("s") * 100 >= F.col("n") * percent)
         )
-        rows = store(found.join(able, "member"))
-        lows = store(rows.groupBy("key").agg(F.min("n").alias("low"), F.count(F.lit(1)).alias("c")).where("c > 1"))
+        rows = found.join(able, "member")
+        lows = rows.groupBy("key").agg(F.min("n").alias("low"), F.count(F.lit(1)).alias("c")).where("c > 1")
         near = store(
             rows.join(lows.select("key", "low"), "key")
             .where(F.col("s") * (100 + percent) >= (F.col("n") + F.col("low")) * percent)
             .drop("low")
         )
-        rank = F.struct((F.col("s") / F.col("n")).alias("share"), (-F.col("member")).alias("id"))
+        rank = F.struct(
+            (F.col("s") / F.col("n")).alias("share"), (-F.col("member")).alias("id"), "n", "s"
+        )
         leaders = near.groupBy("key").agg(F.max(rank).alias("best"), F.count(F.lit(1)).alias("c"))
-        leaders = store(leaders.where("c > 1").select("key", (-F.col("best.id")).alias("leader"), "c"))
-        return store(near.join(leaders, "key"))
+        leaders = leaders.where("c > 1").select(
+            "key", (-F.col("best.id")).alias("leader"), F.col("best.n").alias("m"), F.col("best.s").alias("r")
+        )
+        return store(
+            near.join(leaders, "key")
+            .where("member <> leader")
+            .select("leader", "m", "r", "member", "n", "s")
+            .distinct()
+        )
 
     def first_pairs(self) -> DataFrame:
-        """Every member with the leader of its key."""
-        lead = self.members.where("member = leader").select(
-            "key", F.col("n").alias("m"), F.col("s").alias("r")
-        )
-        met = self.members.where("member <> leader").join(lead, "key").where(self._may())
-        return met.select(*_pairs(F.col("leader"), F.col("member"))).distinct()
+        """Every member with its leaders."""
+        return self.groups.where(self._may()).select(*_pairs(F.col("leader"), F.col("member"))).distinct()
 
     def _may(self) -> Column:
         """Can sets of sizes n and m with s and r shared shingles be similar enough?"""
@@ -219,18 +226,16 @@ class _Search:
         return met.where(common * 100 >= union * self.settings.percent).select("a", "b")
 
     def open_members(self, labels: DataFrame) -> DataFrame:
-        """Members of keys that still hold two components: (key, member, n, s, label, still).
+        """Members of groups that still hold two components: (key, member, n, s, label, still).
 
-        Pairs with the key's leader are done, so the leader is left out.
+        Pairs with the leader are done, so the leader, which names the group, is left out.
         """
-        rest = self.members.where("c > 2 and member <> leader").select("key", "member", "n", "s")
-        labelled = store(
-            rest.join(labels.toDF("member", "label"), "member", "left").select(
-                "key", "member", "n", "s", F.coalesce("label", "member").alias("label")
-            )
+        rest = self.groups.select(F.col("leader").alias("key"), "member", "n", "s")
+        labelled = rest.join(labels.toDF("member", "label"), "member", "left").select(
+            "key", "member", "n", "s", F.coalesce("label", "member").alias("label")
         )
         shares = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-        still = store(
+        still = (
             shares.groupBy("key")
             .agg(F.max(F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("k"))
             .where("k > 1")
@@ -241,7 +246,7 @@ class _Search:
     def later_pairs(self, opened: DataFrame, width: int) -> tuple[DataFrame, bool]:
         """Pairs of open members in different components, and whether these are all.
 
-        The component with most members in a key keeps still; up to ``width`` others, those that
+        The component with most members in a group keeps still; up to ``width`` others, those that
         share most first, are held against all members of other components.
         """
         turn = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("s"), "member"))
@@ -259,7 +264,7 @@ class _Search:
         """Component of every class that has a link: (id, label)."""
         width = 16
         seen = store(self.first_pairs())
-        labels = store(components(store(self.verified(seen))))
+        labels = components(self.verified(seen))
         while True:
             opened = self.open_members(labels)
             if opened.isEmpty():
@@ -269,7 +274,7 @@ class _Search:
             more = store(self.verified(fresh))
             if not more.isEmpty():
                 # An id and its label are linked; new links join such stars.
-                labels = store(components(labels.toDF("a", "b").unionByName(more)))
+                labels = components(labels.toDF("a", "b").unionByName(more))
             if last:
                 return labels
             seen = store(seen.unionByName(fresh))
@@ -313,11 +318,9 @@ def near_groups(
         )
     )
     labels = _Search(rows, classes.select("id", "n", "a", "b"), settings).labels()
-    named = store(
-        classes.select(*print_, F.col("id").alias("class_id")).join(
-            labels.withColumnRenamed("id", "class_id"), "class_id", "left"
-        ).select(*print_, "class_id", F.coalesce("label", "class_id").alias("label"))
-    )
+    named = classes.select(*print_, F.col("id").alias("class_id")).join(
+        labels.withColumnRenamed("id", "class_id"), "class_id", "left"
+    ).select(*print_, "class_id", F.coalesce("label", "class_id").alias("label"))
     found = full.select("id", *print_).join(named, print_).select("id", "n", "class_id", "label")
     alone = signed.where("n = 0 or id is null").select(
         "id", "n", F.col("id").alias("class_id"), F.col("id").alias("label")
