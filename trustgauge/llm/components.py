@@ -32,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
     pairs = store(
         links.where("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
+        .distinct(),
+        narrow=True,
     )
     before = _state(pairs)
     while True:
@@ -43,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
         large = larger.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = store(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        pairs = store(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), narrow=True)
         after = _state(pairs)
         if after == before:
             break

@@ -241,7 +241,7 @@ class _Search:
             .where("k > 1")
             .select("key", F.col("most.label").alias("still"))
         )
-        return store(labelled.join(still, "key"))
+        return store(labelled.join(still, "key"), narrow=True)
 
     def later_pairs(self, opened: DataFrame, width: int) -> tuple[DataFrame, bool]:
         """Pairs of open members in different components, and whether these are all.
@@ -263,14 +263,14 @@ class _Search:
     def labels(self) -> DataFrame:
         """Component of every class that has a link: (id, label)."""
         width = 16
-        seen = store(self.first_pairs())
+        seen = store(self.first_pairs(), narrow=True)
         labels = components(self.verified(seen))
         while True:
             opened = self.open_members(labels)
             if opened.isEmpty():
                 return labels
             pairs, last = self.later_pairs(opened, width)
-            fresh = store(pairs.join(seen, ["a", "b"], "left_anti"))
+            fresh = store(pairs.join(seen, ["a", "b"], "left_anti"), narrow=True)
             more = store(self.verified(fresh))
             if not more.isEmpty():
                 # An id and its label are linked; new links join such stars.
