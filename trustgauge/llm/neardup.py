@@ -243,33 +243,38 @@ class _Search:
         )
         return store(labelled.join(still, "key"), narrow=True)
 
-    def later_pairs(self, opened: DataFrame, width: int) -> tuple[DataFrame, bool]:
+    def later_pairs(
+        self, opened: DataFrame, width: int, central: bool
+    ) -> tuple[DataFrame, bool]:
         """Pairs of open members in different components, and whether these are all.
 
         The component with most members in a group keeps still; up to ``width`` others, those that
-        share most first, are held against all members of other components.
+        share most first, are held against all members of other components. A ``central`` round
+        holds the ``width`` members that share most, whatever their component, against the rest.
         """
         turn = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("s"), "member"))
-        rest = opened.where("label <> still")
+        rest = opened if central else opened.where("label <> still")
         tried = rest.withColumn("turn", turn).where(F.col("turn") <= width).select(
             "key", F.col("member").alias("other"), F.col("n").alias("m"), F.col("s").alias("r"),
             F.col("label").alias("other_label"),
         )
         found = opened.join(tried, "key").where((F.col("label") != F.col("other_label")) & self._may())
         pairs = found.select(*_pairs(F.col("other"), F.col("member"))).distinct()
+        if central:
+            return pairs, False
         others = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
         return pairs, (others.agg(F.max("c")).first()[0] or 0) <= width
 
     def labels(self) -> DataFrame:
         """Component of every class that has a link: (id, label)."""
-        width = 16
+        width, central = 4, True
         seen = store(self.first_pairs(), narrow=True)
         labels = components(self.verified(seen))
         while True:
             opened = self.open_members(labels)
             if opened.isEmpty():
                 return labels
-            pairs, last = self.later_pairs(opened, width)
+            pairs, last = self.later_pairs(opened, width, central)
             fresh = store(pairs.join(seen, ["a", "b"], "left_anti"), narrow=True)
             more = store(self.verified(fresh))
             if not more.isEmpty():
@@ -278,7 +283,7 @@ class _Search:
             if last:
                 return labels
             seen = store(seen.unionByName(fresh))
-            width *= 8
+            width, central = width * 8, False
 
 
 def near_groups(
