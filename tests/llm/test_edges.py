@@ -243,6 +243,20 @@ def test_layout():
     assert htmltext.render("<ul><li>" * 300 + "deep").endswith("deep")
 
 
+def test_only_hiding_attributes_hide():
+    for shown in (
+        'class="card hidden md:block"', 'title="A hidden gem of Paris"', 'data-title="The hidden life"', "class='a hidden'",
+        'data-style="display:none"', 'title="style=display:none"', 'style="--display:none"', 'alt="x" data-hidden', 'hidden style="display:block"',
+    ):
+        assert htmltext.render(f"<article {shown}>text</article>") == "text", shown
+    for hides in (
+        "hidden", "HIDDEN", 'class="a" hidden=""', "hidden/", "hidden=until-found", "style=display:none", "STYLE='Display : NONE !important; display:block'",
+        'title="a>b" style="color:red;visibility:hidden"', 'style="display&#58;none"', 'style="/* x */display:none"',
+    ):
+        assert htmltext.render(f"a<div {hides}>text</div>") == "a", hides
+    assert htmltext.render('<ol data-start=7 start="3"><li>x</ol>') == "3. x"
+
+
 def test_extract_text(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, None), (3, ""), (3, ""), (None, "<p>x")], "page_id long, html string")
     rows = htmltext.extract_text(pages.withColumn("text", F.lit("clash")))

@@ -51,13 +51,13 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.DOTALL,
 )
-_HIDING = re.compile(
-    r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|"
-    r"style\s*=\s*(?:\"[^\"]*|'[^']*|)(?:display\s*:\s*none|visibility\s*:\s*hidden)",
-    re.IGNORECASE,
-)
+# Name and value of an attribute; quotes open a value only right after the equals sign.
+_NAME = r"[^\s/>][^\s/>=]*+"
+_VALUE = r"\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+|(?=>|\Z)"
+_PAIR = re.compile(rf"({_NAME})(?:\s*+=\s*+({_VALUE})|(?!\s*+=))", re.ASCII)
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_START = re.compile(r"start\s*=\s*[\"']?(-?\d+)", re.IGNORECASE)
+_NUMBER = re.compile(r"\s*([+-]?\d+)", re.ASCII)
 
 
 class _Table:
@@ -215,7 +215,7 @@ def render(page: str) -> str:
                 writers.append(("cell", writer))
                 writer = _Writer()
         elif name in ("ul", "ol", "menu", "dir"):
-            found = _START.search(attributes)
+            found = _NUMBER.match(_attributes(attributes).get("start", "")) if attributes else None
             writer.end(gap=not counters)
             counters.append((int(found[1]) if found else 1) if name == "ol" else None)
         elif name == "li":
@@ -279,12 +279,43 @@ def render(page: str) -> str:
     return "\n".join(lines)
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes of a tag by lower-case name; of equal names the first counts."""
+    pairs: dict[str, str] = {}
+    for name, value in _PAIR.findall(text):
+        if value[:1] in ("'", '"'):
+            value = value[1:-1]
+        pairs.setdefault(name.lower(), html.unescape(value))
+    return pairs
+
+
+def _style(text: str) -> dict[str, str]:
+    """Declarations of a style attribute; the last counts, an important one before others."""
+    found: dict[str, str] = {}
+    firm = set()
+    for part in _CSS_COMMENT.sub(" ", text).lower().split(";"):
+        name, _, value = part.partition(":")
+        value, mark, _ = value.partition("!")
+        name = name.strip()
+        if mark:
+            firm.add(name)
+        if mark or name not in firm:
+            found[name] = value.strip()
+    return found
+
+
 def _hides(name: str, attributes: str) -> bool:
     if not attributes:
         return False
-    if name == "input" or "hid" in attributes or "none" in attributes or "HID" in attributes:
-        return bool(_HIDING.search(attributes))
-    return False
+    low = attributes.lower()
+    if "hid" not in low and "none" not in low:
+        return False
+    pairs = _attributes(attributes)
+    style = _style(pairs.get("style", ""))
+    if style.get("visibility") == "hidden" or pairs.get("aria-hidden", "").lower() == "true":
+        return True
+    # A display in the style outranks the attribute named hidden.
+    return style["display"] == "none" if style.get("display") else "hidden" in pairs
 
 
 def _in_row(stack: list[tuple[str, bool]]) -> bool:
