@@ -257,6 +257,27 @@ def test_only_hiding_attributes_hide():
     assert htmltext.render('<ol data-start=7 start="3"><li>x</ol>') == "3. x"
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<a title=Bob's href=x>Two</a><p>Three it's four</p>end", "Two\n\nThree it's four\n\nend"),
+    ("<a href=x?a=\"b>c</a>", "c"), ("<a title='a>b' x = \"c>d\">e</a>", "e"), ("<br title=it's/>a<p class='it'>b", "a\n\nb"),
+    ("<i aria-hidden=true>a</i><i aria-hidden=\"true\">b</i>", "ab"),
+    ("<math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation>no</annotation></semantics></math>", "x= 1 2"),
+    ("a <svg><title>no</title><defs/><path d=M0 /><text>b</text><desc>no</desc><text>c</text></svg> d", "a b c d"),
+    ("<svg><title/><g><text x=1>b</text></g></svg>c", "b c"), ("<svg><foreignObject><p>a</p></foreignObject></svg>", "a"),
+    ("<textarea rows=2>\na &amp; <b>\n c</textarea>", "a & <b>\n c"), ("a<textarea>b", "ab"), ("a<textarea hidden>b</textarea>c", "ac"),
+    ("<select><option>a<option>b</select>c", "ac"), ("<select><option>a<option selected>b<option>c</select>", "b"),
+    ("<select><option disabled>a<optgroup disabled><option>b</optgroup><optgroup><option>c</optgroup></select>", "c"),
+    ("<select><option disabled selected hidden>Choose</option><option>b</select>", "Choose"), ("<select hidden><option>a</select>b", "b"),
+    ("<select multiple><option>a<option>b</select>c", "a\nb\nc"), ("<select size=3><option>a<option hidden>no<option>b</select>", "a\nb"),
+    ("<div><select><option>a</div>b", "a\nb"), ("<select><option>a<select>b", "ab"), ("<datalist><option>no</datalist>b", "b"),
+    ("<object>a</object><object data=x.png>no</object><object data=x.swf type=application/x-shockwave-flash>b</object>", "ab"),
+    ("<dialog>no</dialog><dialog open>a</dialog><noscript>no</noscript>", "a"),
+    ("<head><title>no</title><meta charset=x><h1>a</h1>b", "a\n\nb"), ("<head><title>no</title> text", "text"), ("<head><title>no</title></head>a", "a"),
+])
+def test_what_a_browser_shows_is_kept(page, text):
+    assert htmltext.render(page) == text
+
+
 def test_extract_text(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, None), (3, ""), (3, ""), (None, "<p>x")], "page_id long, html string")
     rows = htmltext.extract_text(pages.withColumn("text", F.lit("clash")))

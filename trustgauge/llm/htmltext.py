@@ -19,8 +19,23 @@ SLICE_BYTES = 8 << 20
 # section has them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
-    "head title script style template noscript noframes noembed iframe object svg math canvas "
-    "audio video select datalist textarea dialog rp".split()
+    "head title script style template noscript noframes noembed iframe canvas audio video "
+    "datalist rp".split()
+)
+# Within svg and math: hidden elements, and those whose parts stand apart.
+FOREIGN_HIDDEN = {
+    "svg": frozenset(
+        "title desc metadata defs symbol clippath mask pattern marker filter lineargradient "
+        "radialgradient".split()
+    ),
+    "math": frozenset(("annotation", "annotation-xml", "mphantom")),
+}
+APART = frozenset(
+    "mfrac msub msup msubsup mroot munder mover munderover mmultiscripts mtable mtr".split()
+)
+# What may stand in a head whose end tag was left out.
+IN_HEAD = frozenset(
+    "base basefont bgsound link meta title style script template noscript noframes".split()
 )
 RAW = frozenset("script style title textarea noscript noframes noembed iframe template xmp".split())
 BLOCK = frozenset(
@@ -43,18 +58,19 @@ IMPLIED = {
     "tbody": (frozenset(("thead", "tbody", "tfoot", "caption")), frozenset(("table",))),
     "tfoot": (frozenset(("thead", "tbody", "tfoot", "caption")), frozenset(("table",))),
     "option": (frozenset(("option",)), frozenset(("select", "datalist"))),
+    "optgroup": (frozenset(("option", "optgroup")), frozenset(("select", "datalist"))),
     "body": (frozenset(("head",)), frozenset(("html",))),
 }
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL,
-)
 # Name and value of an attribute; quotes open a value only right after the equals sign.
 _NAME = r"[^\s/>][^\s/>=]*+"
 _VALUE = r"\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+|(?=>|\Z)"
 _PAIR = re.compile(rf"({_NAME})(?:\s*+=\s*+({_VALUE})|(?!\s*+=))", re.ASCII)
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_NAME}(?:\s*+=\s*+(?>{_VALUE})|(?!\s*+=)))*+)>",
+    re.DOTALL | re.ASCII,
+)
 _CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _NUMBER = re.compile(r"\s*([+-]?\d+)", re.ASCII)
@@ -81,6 +97,23 @@ class _Table:
         return lines
 
 
+class _Choices:
+    """Options of one select: text, and whether it is selected, disabled or hidden."""
+
+    def __init__(self, attributes: dict[str, str]) -> None:
+        size = _NUMBER.match(attributes.get("size", ""))
+        # A list box shows all its options, a menu the chosen one.
+        self.all = "multiple" in attributes or (size is not None and int(size[1]) > 1)
+        self.options: list[list] = []
+        self.off = False
+
+    def shown(self) -> list[str]:
+        if self.all:
+            return [text for text, _, _, hidden in self.options if text and not hidden]
+        chosen = [o[0] for o in self.options if o[1]][-1:]
+        return chosen or [o[0] for o in self.options if not o[2]][:1]
+
+
 class _Writer:
     """Text of one flow: lines with collapsed blanks, and the gaps asked for between them."""
 
@@ -126,6 +159,14 @@ def render(page: str) -> str:
     Tags build a stack of open elements, with end tags that authors may leave out implied;
     hidden elements swallow what they hold. Blocks begin a line, spaced blocks an empty one,
     list items get a dash or their number and an indent, and table cells are aligned by column.
+
+    Hidden is what a browser with scripts does not show: heads, scripts, styles, templates,
+    noscript, what stands in for frames, canvas, audio and video, closed dialogs, suggestions
+    (datalist), objects with data that browsers show themselves, titles, descriptions and
+    definitions within svg, annotations within math, and elements with the attribute hidden or
+    a style attribute that hides them. Style sheets and scripts are not run. Text of svg and
+    math, text areas, the chosen option of a menu, all options of a list box and what only
+    screen readers skip (aria-hidden) are shown.
     """
     stack: list[tuple[str, bool]] = []  # name, and whether it hides what is in it
     hidden = 0
@@ -134,12 +175,16 @@ def render(page: str) -> str:
     writers: list[tuple[str, _Writer]] = []  # flows around an open cell, item or table
     tables: list[_Table] = []
     counters: list[int | None] = []
+    choices: list[_Choices] = []
+    foreign: list[str] = []  # open svg and math elements, and HTML parts within
 
     def close(name: str) -> None:
         """Close the innermost element, which has this name."""
         nonlocal hidden, keep, writer
         stack_name, hides = stack.pop()
         hidden -= hides
+        if stack_name in ("svg", "math", "foreignobject") and foreign:
+            foreign.pop()
         if hidden or hides:
             return
         if stack_name in CELL and writers and writers[-1][0] == "cell":
@@ -162,6 +207,22 @@ def render(page: str) -> str:
             for line in lines:
                 writer.line = line
                 writer.end(force=not line)
+        elif stack_name == "option" and writers and writers[-1][0] == "option":
+            choices[-1].options[-1][0] = " ".join(x.strip() for x in writer.all() if x.strip())
+            writer = writers.pop()[1]
+        elif stack_name == "optgroup" and choices:
+            choices[-1].off = False
+        elif stack_name == "select" and writers and writers[-1][0] == "select":
+            writer = writers.pop()[1]
+            box = choices.pop()
+            for text in box.shown():
+                if box.all:
+                    writer.end()
+                writer.text(text, False)
+            if box.all:
+                writer.end()
+        elif stack_name == "text" and foreign and foreign[-1] == "svg":
+            writer.text(" ", False)
         elif stack_name in ("ul", "ol", "menu", "dir"):
             if counters:
                 counters.pop()
@@ -183,6 +244,12 @@ def render(page: str) -> str:
 
     def start(name: str, attributes: str, alone: bool) -> None:
         nonlocal hidden, keep, writer
+        if stack and stack[-1][0] == "head" and name not in IN_HEAD:
+            close("head")
+        if name == "select" and choices:
+            # A second start tag only ends the first select.
+            close_to(frozenset(("select",)), frozenset())
+            return
         if name in IMPLIED:
             close_to(*IMPLIED[name])
         elif name in BLOCK:
@@ -197,7 +264,23 @@ def render(page: str) -> str:
             elif name == "hr":
                 writer.end(gap=True)
             return
+        if foreign and alone and foreign[-1] != "foreignobject" and _alone(attributes):
+            return
         hides = name in HIDDEN or _hides(name, attributes)
+        if foreign and name in FOREIGN_HIDDEN.get(foreign[-1], ()):
+            hides = True
+        if name in ("svg", "math") or (name == "foreignobject" and foreign):
+            foreign.append(name)
+        in_menu = name == "option" and choices and not hidden
+        if in_menu:
+            pairs = _attributes(attributes)
+            off = "disabled" in pairs or choices[-1].off
+            choices[-1].options.append(["", "selected" in pairs, off, hides])
+            # A menu shows its chosen option though the list leaves it out.
+            hides = False
+        elif foreign and not hidden and stack and stack[-1][0] in APART or name == "text" and foreign:
+            if not hidden:
+                writer.text(" ", False)
         stack.append((name, hides))
         hidden += hides
         if hidden:
@@ -207,6 +290,15 @@ def render(page: str) -> str:
             writers.append(("table", writer))
             tables.append(_Table())
             writer = _Writer()
+        elif name == "select":
+            writers.append(("select", writer))
+            choices.append(_Choices(_attributes(attributes)))
+            writer = _Writer()
+        elif in_menu:
+            writers.append(("option", writer))
+            writer = _Writer()
+        elif name == "optgroup" and choices:
+            choices[-1].off = "disabled" in _attributes(attributes)
         elif name == "tr":
             if tables:
                 tables[-1].rows.append([])
@@ -236,6 +328,8 @@ def render(page: str) -> str:
     while at < size:
         found = _TOKEN.search(page, at)
         until = found.start() if found else size
+        if until > at and stack and stack[-1][0] == "head" and page[at:until].strip():
+            close("head")
         if until > at and not hidden:
             text = html.unescape(page[at:until]) if "&" in page[at:until] else page[at:until]
             if not (tables and writers and writers[-1][0] == "table") or text.strip():
@@ -251,11 +345,16 @@ def render(page: str) -> str:
             alone = found[3].endswith("/")
             start(name, found[3], alone)
             if name in RAW and name != "template":
+                if not stack or stack[-1][0] != name:
+                    continue
                 ending = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
+                raw = page[at : ending.start() if ending else size]
+                if name == "xmp" and not hidden:
+                    writer.text(raw, True)
+                elif name == "textarea" and not hidden:
+                    writer.text(html.unescape(raw.removeprefix("\r").removeprefix("\n")), True)
                 if not ending:
                     break
-                if name == "xmp" and not hidden:
-                    writer.text(page[at : ending.start()], True)
                 at = ending.end()
                 if stack and stack[-1][0] == name:
                     close(name)
@@ -304,7 +403,22 @@ def _style(text: str) -> dict[str, str]:
     return found
 
 
+def _alone(text: str) -> bool:
+    """Does the slash at the end close the tag, not end an unquoted value?"""
+    end = 0
+    for pair in _PAIR.finditer(text):
+        end = pair.end()
+    return end < len(text)
+
+
 def _hides(name: str, attributes: str) -> bool:
+    if name == "dialog" and "open" not in _attributes(attributes):
+        return True
+    if name == "object":
+        # Without data, or for a plug-in that no browser has any more, the fallback is shown.
+        pairs = _attributes(attributes)
+        if "data" in pairs and not pairs.get("type", "").lower().startswith("application/x-"):
+            return True
     if not attributes:
         return False
     low = attributes.lower()
@@ -312,7 +426,7 @@ def _hides(name: str, attributes: str) -> bool:
         return False
     pairs = _attributes(attributes)
     style = _style(pairs.get("style", ""))
-    if style.get("visibility") == "hidden" or pairs.get("aria-hidden", "").lower() == "true":
+    if style.get("visibility") == "hidden":
         return True
     # A display in the style outranks the attribute named hidden.
     return style["display"] == "none" if style.get("display") else "hidden" in pairs
