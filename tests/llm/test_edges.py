@@ -327,3 +327,18 @@ def test_encoder_equals_the_tokenizer():
     for text in ("", " ", "Don't STOP 123 it's", "ÀÉ été\u0301 ΟΔΟΣ", "a<|endoftext|>b <|startoftext|>", "a\tb\u00a0c\x1cd", "日本語 emoji 🙂!", "x\n\ny"):
         ids = plain.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == ids
+
+
+def test_encoder_equals_the_tokenizer_for_every_latin_letter():
+    from tokenizers import Tokenizer
+
+    import numpy as np
+
+    encoder = packing._Encoder(queries.tokenizer())
+    plain = Tokenizer.from_file(queries.tokenizer())
+    letters = [c for c in map(chr, range(ord(packing.LATIN_END))) if c.isalpha()]
+    assert "\u0130" in letters
+    runs = [f"{a}{c}{b}" for c in letters for a, b in (("", ""), ("a", "b"), ("B", "A."), (c, f"{c}!?"))]
+    for text in (*runs, "\u0130stanbul", "D\u0130YARBAKIR\u0130,"):
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == ids, text

@@ -71,9 +71,11 @@ class _Encoder:
 
     def _run(self, run: str) -> bytes:
         letters = run.rstrip(MARKS)
-        if letters.isalpha() and max(letters) < LATIN_END:
+        lower = letters.lower()
+        # The dotted I lower-cases to a letter and a mark, which may join the marks after it.
+        if letters.isalpha() and lower.isalpha() and max(letters) < LATIN_END:
             marks = run[len(letters) :]
-            ids = self.units[letters.lower()]
+            ids = self.units[lower]
             return ids + self.units[marks] if marks else ids
         # Special tokens in a text are found by the whole tokenizer only.
         return _ids(self.tokenizer.encode(run, add_special_tokens=False).ids)
