@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from trustgauge.llm import (
     chat,
+    components,
     exactdup,
     htmltext,
     mixing,
@@ -125,6 +126,15 @@ def test_near_groups_of_a_chain_and_a_large_group(spark):
     assert all(r.n_shingles == len(sets[d]) for d, r in got.items())
 
 
+def test_links_have_a_checksum_at_any_number(spark):
+    """A sum of hashes below 2^40 overflows from about 16.8 million links on."""
+    links = spark.range(17_500_000).select((F.col("id") + 1).alias("u"), F.lit(0).cast("long").alias("v"))
+    one, other = (components._state(x) for x in (links, links.repartition(5)))
+    assert one == other and one[0] == 17_500_000
+    assert components._state(links.withColumn("v", F.when(F.col("u") == 5, 1).otherwise(F.col("v")))) != one
+    assert components._state(links.limit(0)) == components._state(links.limit(0))
+
+
 def test_repeats_within_and_across_slices(spark, monkeypatch):
     passage = " ".join(f"p{i}" for i in range(30))
     rows = [(i, f"a{i} {passage} b{i} {passage if i % 3 == 0 else ''}") for i in range(300)]

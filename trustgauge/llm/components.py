@@ -9,11 +9,14 @@ from trustgauge.llm.common import store
 
 
 def _state(links: DataFrame) -> tuple:
-    """Count and checksum of the links: equal in two rounds when nothing moved."""
+    """Count and checksum of the distinct links: equal in two rounds when nothing moved.
+
+    The checksum has 64 bits for any number of links, where a sum of hashes would overflow.
+    """
     return tuple(
         links.agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))).alias("s"),
+            F.bit_xor(F.xxhash64("u", "v")).alias("s"),
         ).first()
     )
 
