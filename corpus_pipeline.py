@@ -11,8 +11,9 @@ from trustgauge.llm import exactdup, mixing, neardup, packing, quality
 from trustgauge.llm.common import store, table
 from trustgauge.llm.queries import tokenizer
 
-# Shingles of five words, links from a similarity of 0.8 on.
-NEAR = neardup.Settings(shingle=5, percent=80)
+# Shingles of five words, links from a similarity of 0.8 on. A pair there shares one of the keys
+# of 14 x 14 tables with probability (1 - (1 - 0.8^3)^14)^2 > 0.9999; 10 x 10 would give 0.9985.
+NEAR = neardup.Settings(shingle=5, percent=80, groups=14)
 MIX = mixing.Settings()
 
 

@@ -126,6 +126,24 @@ def test_near_groups_of_a_chain_and_a_large_group(spark):
     assert all(r.n_shingles == len(sets[d]) for d, r in got.items())
 
 
+@pytest.mark.parametrize("near", [queries.NEAR, corpus_pipeline.NEAR])
+def test_pairs_at_the_threshold_share_a_key(near):
+    """Of 20 000 pairs that are just links, 2 to 3 at most should share no key."""
+    import numpy as np
+
+    draw, pairs = np.random.default_rng(7), 20_000
+    common, own = (8, 1) if near.percent == 80 else (17, 1.5)
+    assert common * 100 >= (common + 2 * own) * near.percent
+    sizes = [common + int(own), common + int(2 * own) - int(own)]
+    rows = draw.integers(1 << 63, size=(pairs, common + sum(sizes) - 2 * common), dtype=np.uint64)
+    sides = (rows[:, : sizes[0]], np.hstack([rows[:, :common], rows[:, sizes[0] :]]))
+    keys = [
+        neardup._collections(x.ravel(), np.arange(pairs + 1) * x.shape[1], near.groups, near.rows) for x in sides
+    ]
+    same = (keys[0] == keys[1]).reshape(pairs, 2, near.groups).any(axis=2).all(axis=1)
+    assert (~same).sum() <= 8
+
+
 def test_links_have_a_checksum_at_any_number(spark):
     """A sum of hashes below 2^40 overflows from about 16.8 million links on."""
     links = spark.range(17_500_000).select((F.col("id") + 1).alias("u"), F.lit(0).cast("long").alias("v"))
