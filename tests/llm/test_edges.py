@@ -153,6 +153,17 @@ def test_links_have_a_checksum_at_any_number(spark):
     assert components._state(links.limit(0)) == components._state(links.limit(0))
 
 
+def test_written_shards_hold_every_row_once(spark, tmp_path):
+    frame = spark.createDataFrame(ROWS, SCHEMA)
+    sharding.write_shards(frame, str(tmp_path / "out"), shards=5)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert Counter(map(tuple, back.select(*frame.columns).collect())) == Counter(ROWS)
+    slots = Counter((r.shard, r.slot) for r in back.collect())
+    sizes = Counter(shard for shard, _ in slots)
+    assert len(slots) == len(ROWS) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert all(slot < sizes[shard] for shard, slot in slots)
+
+
 def test_repeats_within_and_across_slices(spark, monkeypatch):
     passage = " ".join(f"p{i}" for i in range(30))
     rows = [(i, f"a{i} {passage} b{i} {passage if i % 3 == 0 else ''}") for i in range(300)]

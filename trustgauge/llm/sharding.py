@@ -20,8 +20,9 @@ def assign_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
-    """Place of every row: (id, source, size, text_crc32, shard, slot).
+    """Place of every row: (id, source, size, text_crc32, shard, slot[, row_col]).
 
     Rows are put in a seeded order within their source; the r-th of n rows has the fraction
     (r + 1/2) / n, and the order of fractions over all sources is cut into ``shards`` runs whose
@@ -31,14 +32,15 @@ def assign_shards(
     Both orders are made from ranges of narrow rows, so a source with a third of all rows is
     spread over as many tasks as others; texts don't move. A null text has no bytes, a null source is a
     source, equal rows take places side by side in the order, a null id is an id, and an empty
-    table gives an empty result.
+    table gives an empty result. A ``row_col`` is carried along.
     """
+    row = [row_col] if row_col else []
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         (F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) + OVERHEAD).cast("long").alias("size"),
-        F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"), *row,
     ).withColumn("_order", F.xxhash64(F.lit(seed), F.col("id"), F.col("text_crc32")))
-    ties = [F.col(c) for c in ("_order", "id", "text_crc32", "size")]
+    ties = [F.col(c) for c in ("_order", "id", "text_crc32", "size", *row)]
     ranked = store(running(rows, [F.col("source"), *ties]))
     # One row per source; the first of its rows gives its start in the order.
     strata = store(
@@ -47,24 +49,25 @@ def assign_shards(
     fraction = (F.col("rank") - F.col("_first") + 0.5) / F.col("_n")
     mixed = ranked.join(strata, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
         "_fraction", fraction
-    ).select("id", "source", "size", "text_crc32", "_order", "_fraction")
+    ).select("id", "source", "size", "text_crc32", "_order", "_fraction", *row)
     total = ranked.count()
     placed = running(mixed, [F.col("_fraction"), *ties])
     shard = F.expr(f"(rank * {shards}L) div {max(total, 1)}L")
     start = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
     return placed.withColumn("shard", shard).withColumn("slot", F.col("rank") - start).select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "text_crc32",
-        F.col("shard").cast("int").alias("shard"), "slot",
+        F.col("shard").cast("int").alias("shard"), "slot", *row,
     )
 
 
 def write_shards(docs: DataFrame, path: str, **settings) -> None:
     """Write ``docs`` as one folder per shard, rows in slot order.
 
-    Rows meet their place by id, so ids must be unique here.
+    Rows meet their place by a number of their own, stored with them before they are ranked, so
+    rows without id and equal rows are each written once.
     """
-    id_col = settings.get("id_col", "doc_id")
-    places = store(assign_shards(docs, **settings).select(id_col, "shard", "slot"))
-    docs.join(places, id_col).repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy(
+    docs = store(docs.withColumn("_row", F.monotonically_increasing_id()))
+    places = store(assign_shards(docs, **settings, row_col="_row").select("_row", "shard", "slot"))
+    docs.join(places, "_row").drop("_row").repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy(
         "shard"
     ).parquet(path)
