@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +48,17 @@ def store(df: DataFrame, partition_by: Sequence[str] = (), narrow: bool = False)
         return settle(df, partition_by)
 
 
+def by_bytes(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold up to ``limit`` bytes of a column, or one longer row."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        seen = int(sizes[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(sizes, seen + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; null stays null."""
     plain = F.length(text) == F.octet_length(text)

@@ -168,6 +168,44 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT k, lang, source, unnest(w) AS term FROM d
+), l AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT k) >= 30
+), v AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM l GROUP BY ALL
+), c AS (
+  SELECT t.lang, source, t.term, count(*) AS n FROM t JOIN l ON t.lang = l.lang AND t.term = l.term GROUP BY ALL
+), g AS (
+  SELECT a.lang, a.source, coalesce(v.v, 0) AS v, coalesce(v.n, 0) AS ln, coalesce(s.n, 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) a LEFT JOIN v ON a.lang = v.lang
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s ON a.lang = s.lang AND a.source = s.source
+), p AS (
+  SELECT g.lang, g.source, l.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (g.n + 5 * g.v) AS p,
+    1 + 1000000000::HUGEINT * (l.n + 5) // (g.ln + 5 * g.v) AS q
+  FROM g JOIN l ON g.lang = l.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = l.term
+), f AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+), o AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM r
+)
+SELECT * FROM o WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -177,4 +215,5 @@ def statements() -> dict[str, str]:
         "op8_mixing": OP8,
         "op9_quality_rules": OP9,
         "op10_substring_dedup": OP10,
+        "op13_source_divergence": OP13,
     }

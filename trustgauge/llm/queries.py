@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trustgauge.llm import (
     chat,
+    divergence,
     exactdup,
     htmltext,
     mixing,
@@ -136,6 +137,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -148,4 +153,5 @@ def registry() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_quality_rules": op9_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
+        "op13_source_divergence": op13_source_divergence,
     }
