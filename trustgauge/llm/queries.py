@@ -14,6 +14,7 @@ from trustgauge.llm import (
     htmltext,
     mixing,
     neardup,
+    ordered,
     packing,
     quality,
     sharding,
@@ -26,11 +27,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     """The public vocabulary that pieces are cut with."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 # The conversation that carries control strings in its texts.
@@ -137,6 +138,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordered.pack_in_order(docs, tokenizer("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -153,5 +159,6 @@ def registry() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_quality_rules": op9_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
+        "op12_ordered_packing": op12_ordered_packing,
         "op13_source_divergence": op13_source_divergence,
     }
