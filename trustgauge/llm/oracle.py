@@ -168,6 +168,94 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
+OP11 = r"""
+WITH RECURSIVE given AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations
+), crc AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(k, ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS hit
+  FROM given
+), rows AS (
+  SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE hit WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM crc WHERE hit <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM rows
+), judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+    left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM numbered
+), convs AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), moves AS (
+  -- From the last kept role (0 none, s, u, a): up to two inserted rows before the next edit.
+  SELECT * FROM (VALUES ('0', '0', '', 0), ('s', 's', '', 0), ('u', 'u', '', 0), ('a', 'a', '', 0),
+    ('0', 'u', 'I', 5), ('s', 'u', 'I', 5), ('a', 'u', 'I', 5), ('u', 'a', 'I', 5),
+    ('0', 'a', 'II', 10), ('s', 'a', 'II', 10), ('u', 'u', 'II', 10), ('a', 'a', 'II', 10)
+  ) m(st, mid, ins, paid)
+), steps AS (
+  SELECT conv_id, i, m.mid, e.* FROM judged,
+    (VALUES ('0'), ('s'), ('u'), ('a')) m(mid),
+    LATERAL (SELECT CASE m.mid WHEN 'u' THEN 'a' ELSE 'u' END AS want) w,
+    LATERAL (
+      SELECT m.mid AS st2, 'D' AS edit, 2 AS fee
+      UNION ALL SELECT c, 'K', CASE fault WHEN 'truncated' THEN 5 ELSE 0 END
+        WHERE fault IN ('none', 'truncated') AND (c = want OR (c = 's' AND m.mid = '0'))
+      UNION ALL SELECT want, 'R', CASE fault WHEN 'truncated' THEN 6 ELSE 1 END
+        WHERE fault IN ('none', 'truncated') AND c <> want
+    ) e
+), best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '0' AS st, CAST(0 AS BIGINT) AS cost, '' AS audit FROM convs
+  UNION ALL
+  SELECT conv_id, i, st, cost, audit FROM (
+    SELECT b.conv_id, s.i, s.st2 AS st, b.cost + paid + fee AS cost, b.audit || ins || edit AS audit,
+      row_number() OVER (PARTITION BY b.conv_id, s.st2 ORDER BY b.cost + paid + fee, b.audit || ins || edit) AS n
+    FROM best b JOIN moves m ON m.st = b.st
+    JOIN steps s ON s.conv_id IS NOT DISTINCT FROM b.conv_id AND s.i = b.i + 1 AND s.mid = m.mid
+  ) WHERE n = 1
+), ended AS (
+  SELECT b.conv_id, b.cost + paid AS cost, audit || ins AS audit,
+    row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + paid, audit || ins) AS n
+  FROM best b JOIN moves m ON m.st = b.st JOIN convs c ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+  WHERE b.i = c.n AND m.mid IN ('0', 'a')
+), ops AS (
+  SELECT conv_id, j, audit[j] AS edit, count(*) FILTER (audit[j] <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS i
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j FROM ended WHERE n = 1)
+), kept AS (
+  SELECT o.conv_id, o.j, o.edit, r.role, CASE o.edit WHEN 'I' THEN '' ELSE r.text END AS text,
+    row_number() OVER (PARTITION BY o.conv_id ORDER BY o.j) AS p
+  FROM ops o LEFT JOIN judged r ON r.conv_id IS NOT DISTINCT FROM o.conv_id AND r.i = o.i AND o.edit <> 'I'
+  WHERE o.edit <> 'D'
+), shifted AS (
+  SELECT *, p - count(*) FILTER (p = 1 AND edit = 'K' AND left(role, 1) = 's') OVER (PARTITION BY conv_id) AS q FROM kept
+), lines AS (
+  SELECT conv_id, string_agg(
+    CASE WHEN edit = 'K' THEN role WHEN q % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+    chr(10) ORDER BY j) AS whole
+  FROM shifted GROUP BY conv_id
+)
+SELECT g.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(e.cost, 0) AS BIGINT) AS cost, coalesce(e.audit, '') AS audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g
+LEFT JOIN convs c ON c.conv_id IS NOT DISTINCT FROM g.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM g.conv_id AND e.n = 1
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM g.conv_id
+"""
+
 OP13 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -215,5 +303,6 @@ def statements() -> dict[str, str]:
         "op8_mixing": OP8,
         "op9_quality_rules": OP9,
         "op10_substring_dedup": OP10,
+        "op11_conversation_repair": OP11,
         "op13_source_divergence": OP13,
     }

@@ -17,6 +17,7 @@ from trustgauge.llm import (
     ordered,
     packing,
     quality,
+    repair,
     sharding,
     substrings,
     urls,
@@ -138,6 +139,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = repair.Repair(repair.damaged(given))
+    every = given.select("conv_id").distinct().withColumn("key", repair.key_of("conv_id"))
+    found = every.join(done.report(), "key", "left").join(done.digests(), "key", "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.lit(repair.EMPTY_SHA256)).alias("repaired_sha256"),
+    )
+
+
 def op12_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ordered.pack_in_order(docs, tokenizer("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
@@ -159,6 +173,7 @@ def registry() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_quality_rules": op9_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_ordered_packing": op12_ordered_packing,
         "op13_source_divergence": op13_source_divergence,
     }
