@@ -100,6 +100,25 @@ def test_isotonic_lookup_with_crowded_probabilities(predictions):
         assert got[i] == min(max(want, 1e-12), 1 - 1e-12)
 
 
+@pytest.mark.parametrize("bits", [1, 3, 7])
+def test_tree_of_blocks_finds_every_block(spark, predictions, monkeypatch, bits):
+    """Trees of many levels, models of different size, and what lies outside of all blocks."""
+    monkeypatch.setattr(calibrate, "NODE_BITS", bits)
+    ends = {"a": [k / 300 for k in range(1, 300)], "b": [0.5], "c": [0.2, 0.4, 0.6]}
+    rows = [
+        (m, None if k == 0 else e[k - 1], e[k], k == len(e) - 1, (k + 1) / (len(e) + 1))
+        for m, e in ends.items() for k in range(len(e))
+    ]
+    blocks = spark.createDataFrame(rows, "model string, lo double, hi double, last boolean, value double")
+    asked = [(m, p) for m in "abcd" for p in [None, 0.0, 1.0, 0.2, 0.2000001, 0.5, *[k / 97 for k in range(97)]]]
+    probes = spark.createDataFrame(asked, "model string, prob double")
+    got = calibrate.isotonic_lookup(probes, blocks).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        values = [v for m, _, hi, last, v in rows if m == r["model"] and r["prob"] is not None and (last or r["prob"] <= hi)]
+        assert r["isotonic_prob"] == (values[0] if values else None)
+
+
 def test_isotonic_golden(predictions):
     rows = predictions(list(zip([0, 1, 0, 1, 1], [0.1, 0.2, 0.3, 0.4, 0.9])))
     blocks = calibrate.isotonic_blocks(rows)

@@ -6,11 +6,13 @@ serves all models at once and returns a small settled table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from trustgauge.functions.scalars import clip_probability, log_loss, sigmoid
@@ -38,6 +40,11 @@ RAW, TEMPERATURE, ISOTONIC, PLATT = (
     "platt_scaling_extra",
 )
 
+PLATT_COLUMNS = "model string, slope double, intercept double"
+
+# Entries of a node of the tree that block ends are looked up in: 2 to the power of this.
+NODE_BITS = 7
+
 BLOCK_COLUMNS = "model string, hi double, weight double, positives double"
 
 
@@ -89,7 +96,7 @@ def _platt_sums(rows: DataFrame, at: DataFrame) -> DataFrame:
     error, bend = p - F.col("target"), p * (1.0 - p)
     z = F.col("score")
     loss = F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x))) - F.col("target") * x
-    return rows.join(at.select("model", "slope", "intercept"), "model").groupBy("model").agg(
+    return rows.join(at, "model").groupBy("model").agg(
         F.avg(loss).alias("_loss"),
         F.avg(error * z).alias("_g1"),
         F.avg(error).alias("_g0"),
@@ -100,72 +107,63 @@ def _platt_sums(rows: DataFrame, at: DataFrame) -> DataFrame:
     )
 
 
-def _newton(state: DataFrame, sums: DataFrame) -> DataFrame:
-    """Next point to try per model.
-
-    A try that lowers the penalised loss becomes the best point and gets a fresh direction;
-    otherwise half the way from the best point is tried.
-    """
-    met = state.join(sums, "model").withColumn(
-        "_loss", F.col("_loss") + PLATT_L2 / 2 * F.col("slope") * F.col("slope")
-    )
-    better = F.col("best_loss").isNull() | (F.col("_loss") <= F.col("best_loss"))
-    g1 = F.col("_g1") + PLATT_L2 * F.col("slope")
-    h11, h00 = F.col("_h11") + PLATT_L2, F.col("_h00") + 1e-12
-    det = h11 * h00 - F.col("_h10") * F.col("_h10")
-    few = F.col("_n") < PLATT_MIN_ROWS
-    turn1 = F.when(few, -PLATT_SHORT_STEP * g1).otherwise(
-        (F.col("_h10") * F.col("_g0") - h00 * g1) / det
-    )
-    turn0 = F.when(few, -PLATT_SHORT_STEP * F.col("_g0")).otherwise(
-        (F.col("_h10") * g1 - h11 * F.col("_g0")) / det
-    )
-    chosen = met.select(
-        "model",
-        few.alias("few"),
-        F.when(better, F.col("slope")).otherwise(F.col("best_slope")).alias("best_slope"),
-        F.when(better, F.col("intercept")).otherwise(F.col("best_intercept")).alias("best_intercept"),
-        F.when(better, F.col("_loss")).otherwise(F.col("best_loss")).alias("best_loss"),
-        F.when(better, turn1).otherwise(F.col("move1") / 2).alias("move1"),
-        F.when(better, turn0).otherwise(F.col("move0") / 2).alias("move0"),
-    )
-    return chosen.withColumns(
-        {
-            "slope": F.col("best_slope") + F.col("move1"),
-            "intercept": F.col("best_intercept") + F.col("move0"),
-        }
-    )
+@dataclass
+class _PlattState:
+    """Best point so far of one model, the move last tried from it, and the point to try next."""
+
+    slope: float = 1.0
+    intercept: float = 0.0
+    best: tuple[float, float] | None = None
+    best_loss: float = math.inf
+    move: tuple[float, float] = (0.0, 0.0)
+    done: bool = False
+
+    def step(self, sums: Row) -> None:
+        """Take a try that lowers the penalised loss as best, else go half the way to it."""
+        here = (self.slope, self.intercept)
+        loss = sums["_loss"] + PLATT_L2 / 2 * self.slope * self.slope
+        if self.best is None or loss <= self.best_loss:
+            self.best, self.best_loss = here, loss
+            g1, g0 = sums["_g1"] + PLATT_L2 * self.slope, sums["_g0"]
+            if sums["_n"] < PLATT_MIN_ROWS:
+                self.move, self.done = (-PLATT_SHORT_STEP * g1, -PLATT_SHORT_STEP * g0), True
+            else:
+                h11, h10, h00 = sums["_h11"] + PLATT_L2, sums["_h10"], sums["_h00"] + 1e-12
+                det = h11 * h00 - h10 * h10
+                self.move = (h10 * g0 - h00 * g1) / det, (h10 * g1 - h11 * g0) / det
+        else:
+            self.move = self.move[0] / 2, self.move[1] / 2
+        self.slope, self.intercept = self.best[0] + self.move[0], self.best[1] + self.move[1]
+        self.done = self.done or max(map(abs, self.move)) <= PLATT_TOLERANCE
 
 
 def fit_platt(predictions: DataFrame) -> DataFrame:
     """Slope and intercept per model: (model, slope, intercept).
 
     The minimum of the mean log loss plus ``PLATT_L2 / 2`` times the squared slope, found by
-    Newton's method for all models at once: each round is one grouped sum over the rows, and
-    only one row per model is kept between rounds. This is the point that a gradient descent
+    Newton's method for all models at once: each round is one grouped sum over the rows, of
+    which one row per model comes to the driver. This is the point that a gradient descent
     on the same loss approaches, and stops short of when it is ended early. A model with fewer
     than ``PLATT_MIN_ROWS`` rows is not fitted: it takes one gradient step of length
     ``PLATT_SHORT_STEP`` from slope 1 and intercept 0. Rows without score or target are left out.
     """
+    spark = predictions.sparkSession
     rows = settle(
         predictions.select("model", "score", F.col("target").cast("double").alias("target")).where(
             F.col("score").isNotNull() & F.col("target").isNotNull()
         )
     )
-    empty = F.lit(None).cast("double")
-    state = settle(
-        rows.select("model").distinct().select(
-            "model", F.lit(False).alias("few"), empty.alias("best_slope"),
-            empty.alias("best_intercept"), empty.alias("best_loss"), empty.alias("move1"),
-            empty.alias("move0"), F.lit(1.0).alias("slope"), F.lit(0.0).alias("intercept"),
-        )
-    )
-    reach = F.greatest(F.abs("move1"), F.abs("move0"))
+    states: dict[str, _PlattState] = {
+        r["model"]: _PlattState() for r in rows.select("model").distinct().collect() if r["model"] is not None
+    }
     for _ in range(PLATT_ROUNDS):
-        state = settle(_newton(state, _platt_sums(rows, state)))
-        if state.where(~F.col("few") & (reach > PLATT_TOLERANCE)).isEmpty():
+        at = [(m, s.slope, s.intercept) for m, s in states.items() if not s.done]
+        if not at:
             break
-    return state.select("model", "slope", "intercept")
+        for sums in _platt_sums(rows, spark.createDataFrame(at, PLATT_COLUMNS)).collect():
+            states[sums["model"]].step(sums)
+    fitted = [(m, s.slope, s.intercept) for m, s in states.items()]
+    return settle(spark.createDataFrame(fitted, PLATT_COLUMNS).coalesce(1))
 
 
 def platt_probability(score: Column, slope: Column, intercept: Column) -> Column:
@@ -269,45 +267,72 @@ def isotonic_blocks(predictions: DataFrame) -> DataFrame:
     )
 
 
+def isotonic_tree(blocks: DataFrame) -> list[DataFrame]:
+    """The blocks as a search tree, its root level first: tables (model, node, ends, values).
+
+    A leaf holds up to 2^NODE_BITS neighbouring blocks of a model by their upper ends, the last one
+    open; a node above holds the last ends of as many nodes. There are as many levels as the
+    model with most blocks needs, two for 16 thousand.
+    """
+    order = Window.partitionBy("model").orderBy("_end")
+    end = F.when(F.col("last"), F.lit(float("inf"))).otherwise(F.col("hi"))
+    entries = blocks.select("model", end.alias("_end"), "value").withColumn(
+        "_rank", F.row_number().over(order) - 1
+    )
+    levels, entries = [], settle(entries)
+    most = entries.agg(F.max("_rank")).first()[0] or 0
+    while True:
+        listed = F.sort_array(F.collect_list(F.struct("_end", "value")))
+        level = settle(
+            entries.groupBy("model", F.shiftright("_rank", NODE_BITS).alias("node"))
+            .agg(listed.alias("_l"))
+            .select("model", "node", F.col("_l._end").alias("ends"), F.col("_l.value").alias("values"))
+        )
+        levels.append(level)
+        most >>= NODE_BITS
+        if not most:
+            return levels[::-1]
+        entries = level.select(
+            "model", F.col("node").alias("_rank"), F.element_at("ends", -1).alias("_end"),
+            F.lit(None).cast("double").alias("value"),
+        )
+
+
+def tree_lookup(predictions: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Add ``isotonic_prob`` from a tree of blocks; a projection and joins only, so it may stream.
+
+    Each level is met in an equality join on (model, node) and halved to the first end at or
+    after the probability; a level that is small is broadcast by Spark, and none multiplies
+    rows. The steps are separate projections, which Spark compiles into one loop.
+    """
+    names = predictions.columns
+    found = predictions.withColumn("_node", F.lit(0))
+    for depth, level in enumerate(levels):
+        node = level.select(
+            F.col("model").alias("_model"), F.col("node").alias("_at"), F.col("ends").alias("_ends"),
+            F.col("values").alias("_values"),
+        )
+        met = (F.col("model") == F.col("_model")) & (F.col("_node") == F.col("_at"))
+        found = found.join(node, met, "left").withColumn("_pos", F.lit(0))
+        for bit in range(NODE_BITS, -1, -1):
+            probe = F.get("_ends", F.col("_pos") + ((1 << bit) - 1))
+            found = found.withColumn(
+                "_pos", F.col("_pos") + F.when(probe < F.col("prob"), 1 << bit).otherwise(0)
+            )
+        if depth < len(levels) - 1:
+            found = found.select(*names, (F.shiftleft("_node", NODE_BITS) + F.col("_pos")).alias("_node"))
+    value = F.when(F.col("prob").isNotNull(), F.get("_values", F.col("_pos")))
+    return found.select(*names, clip_probability(value).alias("isotonic_prob"))
+
+
 def isotonic_lookup(predictions: DataFrame, blocks: DataFrame) -> DataFrame:
     """Add ``isotonic_prob``: the value of the first block that ends at or above prob.
 
     Above the last block its value holds; it is null for a model without blocks and for a null
-    probability. Each distinct probability is looked up once: probabilities and block ends are
-    put in one order per model, and the first end at or after a probability is its block. Rows
-    then meet their probability's value in an equality join, so neither crowded probabilities
-    nor crowded block ends multiply rows.
+    probability. Only the blocks are written, as a search tree; predictions are neither
+    shuffled for it nor written, and may be a stream.
     """
-    asked = predictions.where(F.col("prob").isNotNull()).select("model", "prob").distinct()
-    ends = blocks.select(
-        "model", F.when(F.col("last"), F.lit(float("inf"))).otherwise(F.col("hi")).alias("prob"),
-        "value", F.lit(True).alias("_end"),
-    )
-    merged = asked.select(
-        "model", "prob", F.lit(None).cast("double").alias("value"), F.lit(False).alias("_end")
-    ).unionByName(ends)
-    placed = settle(
-        merged.repartitionByRange("model", "prob").withColumn("_part", F.spark_partition_id())
-    )
-    # A block that ends in a later part: the first end of the parts that follow.
-    heads = placed.where("_end").groupBy("model", "_part").agg(
-        F.min(F.struct("prob", "value")).alias("_head")
-    )
-    parts = placed.select("model", "_part").distinct().join(heads, ["model", "_part"], "left")
-    after = Window.partitionBy("model").orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
-    nexts = parts.select("model", "_part", F.first("_head.value", True).over(after).alias("_next"))
-    # Ends come after equal probabilities, so they are seen from them.
-    inside = Window.partitionBy("model", "_part").orderBy("prob", "_end")
-    seen = F.first("value", True).over(inside.rowsBetween(0, Window.unboundedFollowing))
-    values = (
-        placed.withColumn("_seen", seen)
-        .where(~F.col("_end"))
-        .join(nexts, ["model", "_part"])
-        .select(
-            "model", "prob", clip_probability(F.coalesce("_seen", "_next")).alias("isotonic_prob")
-        )
-    )
-    return predictions.join(settle(values), ["model", "prob"], "left")
+    return tree_lookup(predictions, isotonic_tree(blocks))
 
 
 def apply_isotonic(predictions: DataFrame, blocks: DataFrame) -> DataFrame:
