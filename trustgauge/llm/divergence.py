@@ -18,7 +18,7 @@ from trustgauge.sources.shipping import ship_package
 # Distinct (group, term) pairs that a task holds before it hands its counts on.
 HELD = 200_000
 # Rows of kept terms that one task compares at a time, and sources held against all others there.
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 20_000
 SOURCE_BLOCK = 256
 DENSE_CELLS = 1 << 20
 
