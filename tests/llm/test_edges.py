@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -104,6 +105,14 @@ def test_near_groups_of_a_chain_and_a_large_group(spark):
             own[(j * 7) % 400] = f"e{j}"
         rows.append((k, " ".join(own)))
     rows += [(1000 + i, " ".join(words)) for i in range(200)] + [(5000, "a b"), (5001, "A  b"), (5002, None)]
+    # 500 copies of one text with edits, cuts and shared additions; most of them are no links.
+    draw, text = random.Random(11), [f"v{i}" for i in range(150)]
+    for k in range(500):
+        own = [f"x{draw.randrange(12)}" if draw.random() < draw.choice([0.01, 0.05, 0.08]) else w for w in text]
+        lost, more = draw.choice([0, 0, 20, 30, 40]), draw.choice([0, 0, 10, 25])
+        at = draw.randrange(150 - lost)
+        own = own[:at] + own[at + lost :] + [f"t{i}" for i in range(more)]
+        rows.append((2000 + k, " ".join(own)))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in neardup.near_groups(frame, neardup.Settings(shingle=3, percent=85)).collect()}
     sets = {}

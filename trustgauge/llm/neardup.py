@@ -16,7 +16,7 @@ from trustgauge.llm.common import store
 from trustgauge.llm.components import components
 from trustgauge.sources.shipping import ship_package
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 2 << 20
 _BASE = 0xA24BAED4963EE407
 
 
@@ -226,14 +226,13 @@ class _Search:
         union = F.size("sa") + F.size("sb") - common
         return met.where(common * 100 >= union * self.settings.percent).select("a", "b")
 
-    def open_members(self, labels: DataFrame) -> DataFrame:
-        """Members of groups that still hold two components: (key, member, n, s, label, still).
+    def _still_open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members (key, member, ...) of groups that hold two components: with ``label`` and ``still``.
 
-        Pairs with the leader are done, so the leader, which names the group, is left out.
+        ``still`` is the component with most members of the group.
         """
-        rest = self.groups.select(F.col("leader").alias("key"), "member", "n", "s")
-        labelled = rest.join(labels.toDF("member", "label"), "member", "left").select(
-            "key", "member", "n", "s", F.coalesce("label", "member").alias("label")
+        labelled = members.join(labels.toDF("member", "label"), "member", "left").withColumn(
+            "label", F.coalesce("label", "member")
         )
         shares = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
         still = (
@@ -242,24 +241,80 @@ class _Search:
             .where("k > 1")
             .select("key", F.col("most.label").alias("still"))
         )
-        return store(labelled.join(still, "key"), narrow=True)
+        return labelled.join(still, "key")
+
+    def _overlap(self, sizes: Column) -> Column:
+        """Shingles that two sets of so many together must share to be linked."""
+        percent = self.settings.percent
+        return F.ceil(sizes * percent / F.lit(float(100 + percent)) - 1e-6)
+
+    def measured(self, labels: DataFrame) -> DataFrame:
+        """Members of open groups against their leader: (key, member, n, s, label, k, extras, low).
+
+        ``k`` shingles are the leader's too, ``extras`` are not; ``low`` is the size of the group's
+        smallest set. Pairs with the leader are done, so the leader, which names the group, is
+        left out.
+        """
+        members = self.groups.select(F.col("leader").alias("key"), "member", "n", "s")
+        opened = store(self._still_open(members, labels).drop("still"))
+        lows = opened.groupBy("key").agg(F.min("n").alias("low"))
+        own = self.sets.select(F.col("id").alias("member"), F.col("shingles").alias("own"))
+        leading = self.sets.select(F.col("id").alias("key"), F.col("shingles").alias("leading"))
+        extras = F.array_except("own", "leading")
+        return store(
+            opened.join(lows, "key").join(own, "member").join(leading, "key")
+            .select("key", "member", "n", "s", "label", "low", extras.alias("extras"))
+            .withColumn("k", F.col("n") - F.size("extras"))
+        )
+
+    def extra_pairs(self, measured: DataFrame) -> DataFrame:
+        """Pairs of a group that may be linked only if they share some of their extras.
+
+        Two sets share no more of the leader's shingles than the lesser ``k``; what is missing to
+        the overlap they need, they must share outside of the leader's set. Extras that are found
+        once in the group go. Of the rest, the rarest first, a set is looked up by so many that
+        two sets with enough in common meet in one of them; that loses no link. Copies of a text
+        whose edits differ have few extras in common, however many they are.
+        """
+        own = self._overlap(F.col("n") + F.col("low")) - F.col("k")
+        wide = measured.withColumn("need", F.greatest(own, F.lit(1))).where(F.size("extras") >= F.col("need"))
+        wide = store(wide.select("key", "member", "n", "k", "label", "need", F.explode("extras").alias("g")))
+        shared = wide.groupBy("key", "g").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        member = Window.partitionBy("key", "member")
+        kept = (
+            wide.join(shared, ["key", "g"])
+            .withColumn("e", F.count(F.lit(1)).over(member))
+            .withColumn("turn", F.row_number().over(member.orderBy("c", "g")))
+            .where(F.col("turn") <= F.col("e") - F.col("need") + 1)
+        )
+        kept = store(kept.select("key", "g", "member", "n", "k", "label", "e"))
+        one, two = (kept.select("key", "g", *[F.col(c).alias(c + x) for c in ("member", "n", "k", "label", "e")]) for x in "12")
+        missing = self._overlap(F.col("n1") + F.col("n2")) - F.least("k1", "k2")
+        met = one.join(two, ["key", "g"]).where(
+            (F.col("member1") < F.col("member2")) & (F.col("label1") != F.col("label2"))
+            & (F.least("e1", "e2") >= missing)
+        )
+        return met.select(F.col("member1").alias("a"), F.col("member2").alias("b")).distinct()
 
     def later_pairs(
         self, opened: DataFrame, width: int, central: bool
     ) -> tuple[DataFrame, bool]:
-        """Pairs of open members in different components, and whether these are all.
+        """Pairs of open members that may be linked without extras, and whether these are all.
 
-        The component with most members in a group keeps still; up to ``width`` others, those that
-        share most first, are held against all members of other components. A ``central`` round
-        holds the ``width`` members that share most, whatever their component, against the rest.
+        Both then have enough of the leader's shingles, though neither need be linked to it: they
+        are smaller. The component with most members in a group keeps still; up to ``width``
+        others, those that share most first, are held against all members of other components. A
+        ``central`` round holds the ``width`` members that share most, whatever their component,
+        against the rest.
         """
         turn = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("s"), "member"))
         rest = opened if central else opened.where("label <> still")
         tried = rest.withColumn("turn", turn).where(F.col("turn") <= width).select(
             "key", F.col("member").alias("other"), F.col("n").alias("m"), F.col("s").alias("r"),
-            F.col("label").alias("other_label"),
+            F.col("k").alias("j"), F.col("label").alias("other_label"),
         )
-        found = opened.join(tried, "key").where((F.col("label") != F.col("other_label")) & self._may())
+        enough = self._overlap(F.col("n") + F.col("m")) <= F.least("k", "j")
+        found = opened.join(tried, "key").where((F.col("label") != F.col("other_label")) & self._may() & enough)
         pairs = found.select(*_pairs(F.col("other"), F.col("member"))).distinct()
         if central:
             return pairs, False
@@ -268,23 +323,28 @@ class _Search:
 
     def labels(self) -> DataFrame:
         """Component of every class that has a link: (id, label)."""
-        width, central = 4, True
         seen = store(self.first_pairs(), narrow=True)
         labels = components(self.verified(seen))
+        measured = self.measured(labels)
+        if measured.isEmpty():
+            return labels
+        near = store(
+            measured.where(self._overlap(F.col("n") + F.col("low")) <= F.col("k")).select("key", "member", "n", "s", "k")
+        )
+        width, central, last = 4, True, False
+        pairs = self.extra_pairs(measured)
         while True:
-            opened = self.open_members(labels)
-            if opened.isEmpty():
-                return labels
-            pairs, last = self.later_pairs(opened, width, central)
             fresh = store(pairs.join(seen, ["a", "b"], "left_anti"), narrow=True)
             more = store(self.verified(fresh))
             if not more.isEmpty():
                 # An id and its label are linked; new links join such stars.
                 labels = components(labels.toDF("a", "b").unionByName(more))
-            if last:
+            opened = store(self._still_open(near, labels), narrow=True)
+            if last or opened.isEmpty():
                 return labels
             seen = store(seen.unionByName(fresh))
-            width, central = width * 8, False
+            pairs, last = self.later_pairs(opened, width, central)
+            width, central = (width, False) if central else (width * 8, False)
 
 
 def near_groups(
@@ -297,10 +357,10 @@ def near_groups(
 
     Words are runs of characters other than white space, with A-Z lower-cased. Rows with equal
     shingle sets form a class, named by its least id, so a large group of copies enters the
-    search once. Classes that share a key of some table meet the key's most central class;
-    whatever is then not connected although it shares a key is held against each other in
-    further rounds. Only pairs that an exact bound on shared shingles rules out are left
-    out. Every link is confirmed on the two full sets.
+    search once. Classes that share a key of some table meet the key's most central class.
+    Whatever is then not connected although it shares a key is compared by what it has beyond
+    that class: only pairs that an exact bound on shared shingles rules out are left out. Every
+    link is confirmed on the two full sets.
     ``component_id`` is the least id reachable over links; ``kept`` marks it.
 
     A null or blank text has an empty set and no links, neither has a row without id (its
