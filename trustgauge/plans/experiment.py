@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgauge.functions.text import compose_text
-from trustgauge.operators import calibrate, chartdata, conformal, errors, features, linear, metrics
+from trustgauge.operators import calibrate, chartdata, conformal, errors, features, linear, metrics, svm
 from trustgauge.operators.mlp import MlpSettings, fit_mlp, mlp_scores
 from trustgauge.operators.parallel import side_by_side
 from trustgauge.operators.sampling import CALIBRATION_SHARE, TRAIN_SHARE, stratified_split
@@ -125,7 +125,9 @@ def naive_bayes(prepared: Prepared, settings: Settings) -> DataFrame:
 
 
 def linear_svm(prepared: Prepared, settings: Settings) -> DataFrame:
-    model = linear.fit_svm(prepared.train_vectors)
+    """The margin of the SVM is used as a score without calibration, on purpose."""
+    train = prepared.rows.where("split = 'train'")
+    model = svm.fit(train, prepared.vocabulary.count()).model
     return _linear_predictions(prepared, model, "linear_svm_tfidf", "raw_margin_sigmoid")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgauge.functions import scalars, text
@@ -19,6 +20,7 @@ from trustgauge.operators import (
     linear,
     metrics,
     mlp,
+    svm,
 )
 from trustgauge.operators.external import external_predictions
 from trustgauge.operators.linear import LinearModel, fit_naive_bayes, text_scores
@@ -629,6 +631,86 @@ def _stationarity(name: str, smoothing: float) -> Query:
     return query
 
 
+def _dual_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = b.split_documents(spark, sf_dir).where("split = 'train'")
+    known = features.fit_vocabulary(docs)
+    return known, settle(features.tfidf(docs, known, keep=("id", "target")))
+
+
+def svm_objective_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Primal, dual and gap of the SVM at dual values that follow from the id alone."""
+    _, rows = _dual_rows(spark, sf_dir)
+    found = svm.objective(rows.withColumn("a", F.pmod(F.col("id") * 37, F.lit(101)) / 100.0))
+    return _rounded(found, 7, "primal", "dual", "gap")
+
+
+def svm_duality_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fit is proved by its gap: primal and dual, computed anew from the stored dual values."""
+    known, rows = _dual_rows(spark, sf_dir)
+    done = svm.fit(rows, known.count())
+    anew = svm.objective(rows.join(done.duals, "id"))
+    same = (F.abs(F.col("primal") - done.primal) < 1e-6) & (F.abs(F.col("dual") - done.dual) < 1e-6)
+    return anew.select(
+        "n", (F.col("gap") <= svm.GAP + 1e-6).alias("closed"), same.alias("stored_duals_agree"),
+        ((F.col("dual") > 0) & (F.col("primal") < 1)).alias("better_than_nothing"),
+    )
+
+
+# Width of the network whose weights follow from their place, and the most tokens it knows.
+FIXED_DIM, FIXED_HIDDEN, FIXED_TOKENS = 6, 5, 10_000
+
+
+def _place(i: Column, j: Column, a: int, b: int, m: int) -> Column:
+    """A weight that follows from its place alone."""
+    return (F.pmod(i * a + j * b, F.lit(m)) - m // 2) / float(m)
+
+
+def _fixed_network(spark: SparkSession, size: int) -> tuple[DataFrame, DataFrame]:
+    dims = F.sequence(F.lit(0), F.lit(FIXED_DIM - 1))
+    i = F.col("id").cast("int")
+    vectors = spark.range(size).select(
+        i.alias("idx"), F.transform(dims, lambda k: _place(F.col("id"), k, 7, 13, 101)).alias("vector")
+    )
+    inner = spark.range(FIXED_HIDDEN).select(
+        F.lit(0).alias("layer"), i.alias("unit"),
+        F.transform(dims, lambda k: _place(k, F.col("id"), 31, 17, 41)).alias("weights"),
+        _place(F.col("id"), F.lit(0), 5, 0, 23).alias("bias"),
+    )
+    outer = F.transform(F.sequence(F.lit(0), F.lit(FIXED_HIDDEN - 1)), lambda k: _place(k, F.lit(1), 11, 3, 19))
+    last = spark.range(1).select(F.lit(1).alias("layer"), i.alias("unit"), outer.alias("weights"), F.lit(0.125).alias("bias"))
+    return vectors, inner.unionByName(last)
+
+
+def mlp_score_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forward pass of a network over all documents, as joins and sums over its weight tables."""
+    docs = b.documents(spark, sf_dir)
+    tokens = features.fit_token_vocabulary(docs, max_tokens=FIXED_TOKENS)
+    vectors, layers = _fixed_network(spark, tokens.count())
+    scored = mlp.forward(features.encode(docs, tokens), vectors, layers, FIXED_DIM)
+    return scored.select(
+        "id", F.round("score", 8).alias("score"),
+        F.round(scalars.clip_probability(scalars.sigmoid(F.col("score"))), 8).alias("prob"),
+    )
+
+
+def mlp_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One backward pass over the train split: the summed gradient of every parameter."""
+    docs = b.split_documents(spark, sf_dir).where("split = 'train'")
+    tokens = features.fit_token_vocabulary(docs, max_tokens=FIXED_TOKENS)
+    size = tokens.count()
+    encoded = settle(features.encode(docs, tokens, ("id", "target")))
+    vectors, layers = _fixed_network(spark, size)
+    units = layers.orderBy("layer", "unit").collect()
+    w1 = np.array([r["weights"] for r in units[:-1]]).T
+    flat = np.zeros(mlp._layer_rows(FIXED_DIM, FIXED_HIDDEN) * FIXED_DIM)
+    whole = [*w1.reshape(-1), *[r["bias"] for r in units[:-1]], *units[-1]["weights"], units[-1]["bias"]]
+    flat[: len(whole)] = whole
+    embeddings = np.array([r["vector"] for r in vectors.orderBy("idx").collect()]).reshape(-1, FIXED_DIM)
+    model = mlp.MlpModel(np.vstack([embeddings, flat.reshape(-1, FIXED_DIM)]), size, FIXED_HIDDEN)
+    # A rounded sum may be -0.0.
+    return mlp.gradient_rows(encoded, model).withColumn("value", F.round("value", 6) + 0.0)
+
+
 def training_beats_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For fits without a smooth optimum: is the training loss below that of a constant?"""
     prepared = experiment.prepare(b.split_documents(spark, sf_dir))
@@ -639,10 +721,7 @@ def training_beats_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     chance = F.coalesce(F.when((one > 0) & (one < 1), entropy), F.lit(0.0))
     log_loss = F.avg(scalars.log_loss(F.col("target"), F.col("prob")))
 
-    svm = linear.linear_scores(prepared.rows.where(train), linear.fit_svm(prepared.train_vectors))
-    hinge = F.avg(F.greatest(F.lit(0.0), 1.0 - scalars.signed_label(F.col("target")) * F.col("score")))
-    found = [svm.agg((hinge < 2.0 * F.least(one, 1.0 - one)).alias("better"), F.lit("linear_svm_tfidf").alias("model"))]
-
+    found = []
     docs = prepared.docs.where(train)
     members = linear.fit_ensemble(
         docs.select("id", "target", "text"), settings.ensemble_size, settings.min_df, settings.max_features,
@@ -734,6 +813,10 @@ def registry() -> dict[str, Query]:
         "external_experiment": external_experiment,
         "logistic_stationarity": _stationarity("logreg_tfidf", 0.0),
         "smoothing_stationarity": _stationarity("label_smoothing", linear.SMOOTHING),
+        "svm_objective_fixed": svm_objective_fixed,
+        "svm_duality_gap": svm_duality_gap,
+        "mlp_score_fixed": mlp_score_fixed,
+        "mlp_gradient": mlp_gradient,
         "training_beats_constant": training_beats_constant,
         # No SQL for these: iterative fits and the job that holds them.
         "logistic": _trained("logreg_tfidf"),
