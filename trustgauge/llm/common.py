@@ -26,17 +26,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @contextmanager
-def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Let Spark remove the shuffle files of each action as soon as it has ended."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+def _setting(spark: SparkSession, key: str, value: str, default: str) -> Iterator[None]:
+    before = spark.conf.get(key, default)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def tidy_shuffles(spark: SparkSession):
+    """Let Spark remove the shuffle files of each action as soon as it has ended."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true", "false")
+
+
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Hand rows of long texts to Python few at a time, which both sides then hold."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows), "10000")
+
+
 def store(df: DataFrame, partition_by: Sequence[str] = (), narrow: bool = False) -> DataFrame:
     """Write to the shared folder and read back; the shuffles that led there are dropped.
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustgauge.llm import wordhash as wh
-from trustgauge.llm.common import store
+from trustgauge.llm.common import small_batches, store
 from trustgauge.llm.components import components
 from trustgauge.sources.shipping import ship_package
 
@@ -152,11 +152,12 @@ class _Search:
         shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         found = store(members.join(shared.select("key"), "key"))
         wanted = found.select(F.col("member").alias("id")).distinct()
-        self.sets = store(
-            docs.join(wanted, "id", "left_semi").mapInArrow(
-                _full_sets(settings.shingle), "id long, shingles array<long>"
+        with small_batches(docs.sparkSession):
+            self.sets = store(
+                docs.join(wanted, "id", "left_semi").mapInArrow(
+                    _full_sets(settings.shingle), "id long, shingles array<long>"
+                )
             )
-        )
         self.groups = self._able(found)
 
     def _able(self, found: DataFrame) -> DataFrame:
@@ -371,11 +372,12 @@ def near_groups(
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    signed = store(
-        rows.mapInArrow(
-            _signatures(settings), "id long, n long, f1 long, f2 long, a array<long>, b array<long>"
+    with small_batches(docs.sparkSession):
+        signed = store(
+            rows.mapInArrow(
+                _signatures(settings), "id long, n long, f1 long, f2 long, a array<long>, b array<long>"
+            )
         )
-    )
     full = signed.where("n > 0 and id is not null")
     print_ = ["n", "f1", "f2"]
     classes = store(
