@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trustgauge.operators import features, linear, mlp, svm
+from trustgauge.operators import features, joint, linear, mlp, svm
 
 
 @pytest.fixture
@@ -109,6 +109,33 @@ def test_smoothing_is_less_confident(prepared):
     assert max(soft) < max(hard)
 
 
+def test_members_are_fitted_together(spark):
+    """Each of several losses ends where its own gradient vanishes, whatever the others do."""
+    rng = np.random.default_rng(3)
+    rows, wide = [], {}
+    for m, (n, size) in enumerate([(60, 5), (90, 12)]):
+        x = rng.random((n, size)) * (rng.random((n, size)) < 0.5)
+        y, times = (x[:, 0] + 0.4 * rng.normal(size=n) > 0.3).astype(int), rng.integers(1, 4, n)
+        wide[m] = x, y, times
+        rows += [
+            (m, int(y[i]), int(times[i]), [(int(j), float(x[i, j])) for j in np.flatnonzero(x[i])] or None) for i in range(n)
+        ]
+    frame = spark.createDataFrame(
+        rows, "member int, target int, times long, features array<struct<idx:int,w:double>>"
+    ).repartition(5)
+    fits = joint.fit_many(frame, [5, 12, 3], 500, 0.01)
+    for m, (x, y, times) in wide.items():
+        weights, intercept = fits[m]
+        w = np.zeros(x.shape[1])
+        for r in weights.collect():
+            w[r["idx"]] = r["weight"]
+        error = times * (1 / (1 + np.exp(-(x @ w + intercept))) - y) / times.sum()
+        assert np.abs(x.T @ error + 0.01 * w).max() < 1e-5 and abs(error.sum()) < 1e-5
+    assert fits[2][1] == 0.0 and fits[2][0].where("weight <> 0").isEmpty()
+    with pytest.raises(ValueError, match="limit the vocabularies"):
+        joint.fit_many(frame, [joint.MOST_WEIGHTS, 1], 5, 0.01)
+
+
 def test_ensemble_mean_lies_within_its_members(spark, toy_corpus):
     copies = toy_corpus.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(4))))
     many = copies.select((F.col("id") + 10 * F.col("copy")).alias("id"), "text", "target")

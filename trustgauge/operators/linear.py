@@ -23,6 +23,7 @@ from trustgauge.operators.features import (
     term_counts,
     to_vectors,
 )
+from trustgauge.operators.joint import fit_many
 from trustgauge.operators.parallel import side_by_side
 from trustgauge.operators.sampling import bootstrap_multiplicities
 from trustgauge.sources.workspace import by_key, settle
@@ -250,21 +251,37 @@ def fit_ensemble(
     drawn = settle(bootstrap_multiplicities(train, members, seed=seed))
     docs = by_key(train, "id")
     vocabularies = member_vocabularies(docs, drawn, members, min_df, max_features, ngram_range)
-    rows = settle(
-        ensemble_rows(docs, vocabularies, ngram_range, ("id", "target")), partition_by=["member"]
-    )
+    return fit_members(docs, drawn, vocabularies, max_iter, reg_param, ngram_range)
+
+
+def fit_members(
+    docs: DataFrame,
+    drawn: DataFrame,
+    vocabularies: Sequence[DataFrame],
+    max_iter: int = ENSEMBLE["max_iter"],
+    reg_param: float = ENSEMBLE["reg_param"],
+    ngram_range: tuple[int, int] = NGRAMS,
+) -> list[EnsembleMember]:
+    """All members in one optimiser over the rows that ``sample_rows`` writes once."""
+    rows = sample_rows(docs, drawn, vocabularies, ngram_range)
+    sizes = [v.count() for v in vocabularies]
+    fits = fit_many(rows, sizes, max_iter, reg_param)
+    return [
+        EnsembleMember(v, LinearModel(weights, intercept, size))
+        for v, size, (weights, intercept) in zip(vocabularies, sizes, fits, strict=True)
+    ]
 
-    def fit_member(m: int) -> EnsembleMember:
-        times = F.get("multiplicities", F.lit(m)).alias("times")
-        sample = rows.where(F.col("member") == m).join(
-            drawn.select("id", times).where("times > 0"), "id"
-        )
-        vectors = to_vectors(sample, vocabularies[m].count(), ("target", "times"))
-        return EnsembleMember(
-            vocabularies[m], fit_logistic(vectors, max_iter, reg_param, "target", "times")
-        )
 
-    return side_by_side(train.sparkSession, fit_member, range(members))
+def sample_rows(
+    docs: DataFrame, drawn: DataFrame, vocabularies: Sequence[DataFrame], ngram_range: tuple[int, int] = NGRAMS
+) -> DataFrame:
+    """Every draw of every member, with how often: (id, target, member, times, features)."""
+    rows = ensemble_rows(docs, vocabularies, ngram_range, ("id", "target"))
+    times = F.get("multiplicities", F.col("member"))
+    return settle(
+        rows.join(by_key(drawn, "id"), "id").withColumn("times", times).where("times > 0").drop("multiplicities"),
+        partition_by=["member"],
+    )
 
 
 def ensemble_rows(

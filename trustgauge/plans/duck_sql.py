@@ -94,6 +94,23 @@ train_terms AS MATERIALIZED (SELECT t.* FROM lab_terms t SEMI JOIN train_docs US
 {_vocabulary('vocab', 'train_terms', 'train_docs')},
 {_tfidf('feats', 'lab_terms', 'vocab')}"""
 
+_MEMBERS = """
+ranked AS MATERIALIZED (
+  SELECT id, row_number() OVER (ORDER BY md5('142:' || id), id) - 1 AS rank FROM train_docs),
+size AS (SELECT count(*) AS n FROM train_docs),
+times AS MATERIALIZED (
+  SELECT member, id, count(*) AS times
+  FROM (SELECT slot // n AS member, ('0x' || substr(md5('142:' || slot), 1, 15))::BIGINT % n AS rank
+        FROM size, range((SELECT 5 * n FROM size)) g(slot)) JOIN ranked USING (rank)
+  GROUP BY ALL),
+known AS MATERIALIZED (
+  SELECT term, (row_number() OVER (PARTITION BY member ORDER BY tf DESC, term) - 1)::INTEGER AS idx,
+         tf, df, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE AS idf, member::INTEGER AS member
+  FROM (SELECT member, term, sum(c * times)::BIGINT AS tf, sum(times)::BIGINT AS df
+        FROM train_terms JOIN times USING (id) GROUP BY ALL), size
+  WHERE df >= 2
+  QUALIFY idx < 15000)"""
+
 _NB = f"""{_TRAIN_FEATURES},
 nb_sums AS MATERIALIZED (
   SELECT v.idx, coalesce(sum(w) FILTER (target = 1), 0.0::DOUBLE) AS s1,
@@ -442,22 +459,26 @@ parts AS MATERIALIZED (
 SELECT docs.id, d.dim::INTEGER AS dim, round(coalesce(p.total / p.n, 0.0::DOUBLE), 8) AS value
 FROM docs CROSS JOIN range(64) d(dim) LEFT JOIN parts p ON p.id = docs.id AND p.dim = d.dim"""
     sql["ensemble_vocabularies"] = f"""
-WITH {_TRAIN_FEATURES},
-ranked AS MATERIALIZED (
-  SELECT id, row_number() OVER (ORDER BY md5('142:' || id), id) - 1 AS rank FROM train_docs),
-size AS (SELECT count(*) AS n FROM train_docs),
-times AS MATERIALIZED (
-  SELECT member, id, count(*) AS times
-  FROM (SELECT slot // n AS member, ('0x' || substr(md5('142:' || slot), 1, 15))::BIGINT % n AS rank
-        FROM size, range((SELECT 5 * n FROM size)) g(slot)) JOIN ranked USING (rank)
-  GROUP BY ALL)
-SELECT term, (row_number() OVER (PARTITION BY member ORDER BY tf DESC, term) - 1)::INTEGER AS idx,
-       tf, df, round(ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE, 8) AS idf,
-       member::INTEGER AS member
-FROM (SELECT member, term, sum(c * times)::BIGINT AS tf, sum(times)::BIGINT AS df
-      FROM train_terms JOIN times USING (id) GROUP BY ALL), size
-WHERE df >= 2
-QUALIFY idx < 15000"""
+WITH {_TRAIN_FEATURES},{_MEMBERS}
+SELECT term, idx, tf, df, round(idf, 8) AS idf, member FROM known"""
+    sql["ensemble_stationarity"] = f"""
+WITH {_TRAIN_FEATURES},{_MEMBERS}
+SELECT member, count(*) > 0 AS stationary FROM known GROUP BY member"""
+    sql["ensemble_mean_fixed"] = f"""
+WITH {_TRAIN_FEATURES},{_MEMBERS},
+cells AS MATERIALIZED (
+  SELECT t.id, k.member, k.idx, (1.0::DOUBLE + ln(t.c::DOUBLE)) * k.idf AS w
+  FROM lab_terms t JOIN known k USING (term)),
+dots AS MATERIALIZED (
+  SELECT id, member, sum(w * ((idx * (37 + member)) % 101 - 50) / 100.0::DOUBLE) / sqrt(sum(w * w)) AS dot
+  FROM cells GROUP BY ALL),
+scored AS MATERIALIZED (
+  SELECT d.id, m.member, 0.1::DOUBLE * m.member - 0.2::DOUBLE + coalesce(dot, 0.0::DOUBLE) AS score
+  FROM split_docs d CROSS JOIN range(5) m(member) LEFT JOIN dots x ON x.id = d.id AND x.member = m.member
+  WHERE split <> 'train'),
+probs AS MATERIALIZED (SELECT id, {_sigmoid('score')} AS prob FROM scored)
+SELECT id, round(avg(prob), 8) AS prob, round(min(prob), 8) AS least, round(max(prob), 8) AS most
+FROM probs GROUP BY id"""
 
     # sampling
     sql["stratified_split"] = f"WITH {_LABELLED} SELECT id, target, split FROM split_docs"

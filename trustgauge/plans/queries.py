@@ -577,9 +577,7 @@ def external_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ensemble_vocabularies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vocabulary of each of five bootstrap samples of the train split."""
-    train = b.split_documents(spark, sf_dir).where("split = 'train'")
-    drawn = settle(bootstrap_multiplicities(train.select("id"), 5, seed=142))
-    known = linear.member_vocabularies(train, drawn, 5)
+    _, _, known = _samples(spark, sf_dir)
     parts = [v.withColumn("member", F.lit(m)) for m, v in enumerate(known)]
     return _rounded(reduce(DataFrame.unionByName, parts), 8, "idf")
 
@@ -711,6 +709,54 @@ def mlp_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mlp.gradient_rows(encoded, model).withColumn("value", F.round("value", 6) + 0.0)
 
 
+def _samples(spark: SparkSession, sf_dir: str):
+    train = b.split_documents(spark, sf_dir).where("split = 'train'")
+    drawn = settle(bootstrap_multiplicities(train.select("id"), 5, seed=142))
+    return train, drawn, linear.member_vocabularies(train, drawn, 5)
+
+
+def ensemble_stationarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Does the gradient of every member vanish on its sample? Summed anew, without Python."""
+    train, drawn, known = _samples(spark, sf_dir)
+    docs = train.select("id", "target", "text")
+    penalty = linear.ENSEMBLE["reg_param"]
+    members = linear.fit_members(docs, drawn, known, LONG_FIT, penalty)
+    rows = linear.sample_rows(docs, drawn, known)
+    mass = rows.groupBy("member").agg(F.sum("times").alias("mass"))
+    found = []
+    for m, member in enumerate(members):
+        scored = linear.linear_scores(rows.where(F.col("member") == m), member.model)
+        error = F.col("times") * (scalars.sigmoid(F.col("score")) - F.col("target"))
+        cells = scored.select(F.lit(m).alias("member"), error.alias("error"), F.inline("features"))
+        slopes = cells.groupBy("idx").agg(F.sum(F.col("error") * F.col("w")).alias("sum"))
+        steep = member.model.weights.join(slopes, "idx", "left").select(
+            F.lit(m).alias("member"), F.coalesce("sum", F.lit(0.0)).alias("sum"), (penalty * F.col("weight")).alias("pull")
+        )
+        level = scored.agg(F.sum(error).alias("sum")).select(F.lit(m).alias("member"), "sum", F.lit(0.0).alias("pull"))
+        found.append(steep.unionByName(level))
+    slope = F.abs(F.col("sum") / F.col("mass") + F.col("pull"))
+    return reduce(DataFrame.unionByName, found).join(mass, "member").groupBy("member").agg(
+        (F.max(slope) < FLAT).alias("stationary")
+    )
+
+
+def ensemble_mean_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean probability of five members under weights that follow from index and member."""
+    _, _, known = _samples(spark, sf_dir)
+    members = []
+    for m, v in enumerate(known):
+        weight = (F.pmod(F.col("idx") * (37 + m), F.lit(101)) - 50) / 100.0
+        members.append(
+            linear.EnsembleMember(v, LinearModel(settle(v.select("idx", weight.alias("weight"))), 0.1 * m - 0.2, v.count()))
+        )
+    held_out = b.split_documents(spark, sf_dir).where("split <> 'train'")
+    scored = linear.ensemble_scores(held_out, members)
+    return scored.select(
+        "id", F.round("prob", 8).alias("prob"), F.round(F.array_min("member_probs"), 8).alias("least"),
+        F.round(F.array_max("member_probs"), 8).alias("most"),
+    )
+
+
 def training_beats_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For fits without a smooth optimum: is the training loss below that of a constant?"""
     prepared = experiment.prepare(b.split_documents(spark, sf_dir))
@@ -817,6 +863,8 @@ def registry() -> dict[str, Query]:
         "svm_duality_gap": svm_duality_gap,
         "mlp_score_fixed": mlp_score_fixed,
         "mlp_gradient": mlp_gradient,
+        "ensemble_stationarity": ensemble_stationarity,
+        "ensemble_mean_fixed": ensemble_mean_fixed,
         "training_beats_constant": training_beats_constant,
         # No SQL for these: iterative fits and the job that holds them.
         "logistic": _trained("logreg_tfidf"),
