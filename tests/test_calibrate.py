@@ -119,6 +119,29 @@ def test_tree_of_blocks_finds_every_block(spark, predictions, monkeypatch, bits)
         assert r["isotonic_prob"] == (values[0] if values else None)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_bounds_hold_and_leave_the_grid_minimum(predictions, seed):
+    """The bounds enclose every grid loss, and few steps are left open; clipped scores too."""
+    rng = np.random.default_rng(seed)
+    z = rng.normal(0, [1.0, 4.0, 40.0, 0.01][seed], 3000)
+    y = (rng.random(3000) < 1 / (1 + np.exp(-z / 2))).astype(int)
+    rows = predictions(list(zip(y, np.full(3000, 0.5))), score=z.tolist()).unionByName(
+        predictions([(1, 0.5), (0, 0.5)], model="few/raw", score=[50.0, -50.0])
+    )
+    losses = {(r["model"], r["step"]): r for r in calibrate.temperature_losses(rows).collect()}
+    bounds = calibrate.temperature_bounds(rows).collect()
+    assert len(bounds) == len(losses) == 2 * 121
+    for b in bounds:
+        assert b["low"] <= losses[b["model"], b["step"]]["loss"] <= b["high"]
+    own = [b for b in bounds if b["model"] == "toy/raw"]
+    open_steps = sum(b["low"] <= min(o["high"] for o in own) for b in own)
+    assert open_steps <= (8 if seed < 2 else 121)
+    got = {r["model"]: r["temperature"] for r in calibrate.fit_temperature(rows).collect()}
+    for model in got:
+        best = min((r["loss"], r["step"]) for k, r in losses.items() if k[0] == model)[1]
+        assert got[model] == calibrate.TEMPERATURES[best]
+
+
 def test_isotonic_golden(predictions):
     rows = predictions(list(zip([0, 1, 0, 1, 1], [0.1, 0.2, 0.3, 0.4, 0.9])))
     blocks = calibrate.isotonic_blocks(rows)

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from trustgauge.functions import rules, scalars, text
+from trustgauge.operators import errors, external, phrases
 
 
 def one(spark, column, **values):
@@ -126,3 +128,59 @@ def test_own_phrases(spark):
     category = rules.error_category(F.col("t"), F.lit(0), F.lit(1), {"commerce": ["a.b"]})
     assert one(spark, category, t="xa.bx") == "commerce_or_spam"
     assert one(spark, category, t="axb") == "other_false_positive"
+
+
+def test_phrase_table_equals_contains(spark):
+    """Every set with a phrase in the text, by one pass, against a search for each phrase."""
+    import random
+
+    rng = random.Random(4)
+    letters = "abcü "
+    rules = [(f"s{rng.randrange(7)}", "".join(rng.choice(letters) for _ in range(rng.randint(1, 4)))) for _ in range(60)]
+    rules += [("empty", ""), (None, "a"), ("none", None), ("s1", "ab"), ("s1", "ab")]
+    texts = ["".join(rng.choice(letters + "ABCÜ") for _ in range(rng.randint(0, 30))) for _ in range(200)] + [None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    table = spark.createDataFrame(rules, "rule_set string, phrase string")
+    got = {r["id"]: r["hits"] for r in phrases.phrase_hits(rows, table).collect()}
+    for k, text in enumerate(texts):
+        low = None if text is None else text.lower()
+        assert got[k] == sorted({s for s, p in rules if s and p is not None and low is not None and p in low})
+    assert [r["hits"] for r in phrases.phrase_hits(rows, table.limit(0)).take(2)] == [[], []]
+
+
+def test_phrase_table_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "MOST_CHARS", 5)
+    table = spark.createDataFrame([("a", "longer")], "rule_set string, phrase string")
+    with pytest.raises(ValueError, match="exceed"):
+        phrases.phrase_hits(spark.range(1).selectExpr("'x' AS text"), table)
+
+
+def test_default_lists_as_a_table_give_the_same_categories(spark):
+    from trustgauge.functions.rules import DEFAULT_PHRASES
+
+    table = spark.createDataFrame(
+        [(name, p) for name, own in DEFAULT_PHRASES.items() for p in own], "rule_set string, phrase string"
+    )
+    texts = ["A movie", "a hoax, averted", "reports say flood", "BUY this", "nothing here at all", None, "zzz  keyword: crush"]
+    rows = spark.createDataFrame(
+        [(t, y) for t in texts for y in (0, 1)], "text string, target int"
+    ).selectExpr("*", "1 - target AS predicted")
+    one = errors.with_category(rows, "target", "predicted").collect()
+    two = errors.with_category_by_rules(rows, "target", "predicted", table).collect()
+    assert [r["category"] for r in one] == [r["category"] for r in two]
+
+
+def test_scoring_function(spark):
+    """Whole inputs are scored; null, short and infinite ones are refused with their number."""
+    given = [(1, [1.0, 2.0, 3.0]), (2, None), (3, [1.0]), (4, [1.0, None, 2.0]), (5, [9.0, 1.0, 1.0]), (6, [0.0, -1.0, 5.0])]
+    rows = spark.createDataFrame(given, "id long, inputs array<double>")
+
+    def load():
+        return lambda inputs: np.where(inputs[:, :2] < 9, inputs[:, :2], np.inf)
+
+    scored = external.score_batches(rows, load, 3)
+    got = {r["id"]: r["logits"] for r in scored.collect()}
+    assert got == {1: [1.0, 2.0], 2: None, 3: None, 4: None, 5: None, 6: [0.0, -1.0]}
+    truth = rows.selectExpr("id", "1 AS target", "'test' AS split")
+    with pytest.raises(ValueError, match="4 rows have no logits"):
+        external.external_predictions(truth, scored.select("id", "logits"), "net")

@@ -65,21 +65,27 @@ def error_category(
     predicted: Column,
     phrases: Mapping[str, Sequence[str]] | None = None,
     lowered: Column | None = None,
+    hits: Column | None = None,
 ) -> Column:
     """First rule that holds, in order, as one native expression.
 
     ``phrases`` replaces or extends the phrase lists by name. ``lowered`` is the text in lower
-    case where the caller has it as a column: the expression names it once per phrase.
+    case where the caller has it as a column: the expression names it once per phrase. Where the
+    lists are a table, ``hits`` names those that the text holds, and no phrase is looked for here.
     """
     lowered = F.lower(text) if lowered is None else lowered
     lists = {**DEFAULT_PHRASES, **(phrases or {})}
+
+    def holds(name: str) -> Column:
+        return contains_any(lowered, lists[name]) if hits is None else F.array_contains(hits, name)
+
     false_positive = (target == 0) & (predicted == 1)
     false_negative = (target == 1) & (predicted == 0)
 
     # Wrong rows only reach the text rules: a when() stops at the first branch that holds.
     category = F.when(~(false_positive | false_negative), F.lit(NO_ERROR))
     for name, label in FALSE_POSITIVE_RULES:
-        category = category.when(false_positive & contains_any(lowered, lists[name]), F.lit(label))
+        category = category.when(false_positive & holds(name), F.lit(label))
     category = category.when(
         false_positive & (extract_keyword(text) != ""), F.lit(KEYWORD_FALSE_POSITIVE)
     )
@@ -88,5 +94,5 @@ def error_category(
         raw_token_count(text) <= SHORT_TEXT_TOKENS, F.lit(SHORT_FALSE_NEGATIVE)
     )
     for name, label in FALSE_NEGATIVE_RULES:
-        category = category.when(contains_any(lowered, lists[name]), F.lit(label))
+        category = category.when(holds(name), F.lit(label))
     return category.otherwise(F.lit(OTHER_FALSE_NEGATIVE))

@@ -22,6 +22,10 @@ from trustgauge.sources.workspace import settle
 # The temperature grid 10^(-1.2) ... 10^(1.2) in 121 even steps of the exponent.
 TEMPERATURES = [float(10.0**e) for e in np.linspace(-1.2, 1.2, 121)]
 
+# Cells of scores per unit of their inverse hyperbolic sine; the largest scaled score up to which no
+# probability is clipped and the loss is exact to ten digits; what rounding may add to a bound.
+SCORE_CELLS, UNCLIPPED, BOUND_SLACK = 200.0, 14.0, 1e-9
+
 # The penalty on Platt's slope, the number of rows below which a single short step
 # replaces the fit, and the length of that step.
 PLATT_L2 = 1e-4
@@ -65,14 +69,64 @@ def temperature_losses(predictions: DataFrame) -> DataFrame:
     return wide.groupBy("model", "step", "temperature").agg(F.avg(loss).alias("loss"))
 
 
-def fit_temperature(predictions: DataFrame) -> DataFrame:
-    """Grid temperature with the least loss, the smaller one on a tie: (model, temperature)."""
-    best = F.min_by("temperature", F.struct("loss", "step"))
-    return settle(
-        temperature_losses(predictions).groupBy("model").agg(best.alias("temperature"))
+def temperature_bounds(predictions: DataFrame) -> DataFrame:
+    """Bounds of the mean loss per model and step from sums by cell: (model, step, low, high).
+
+    Scores of one target are summed in cells that widen with the score's size; the grid meets the
+    cells only. Within a cell the loss moves one way with the score, so its ends bound it. Where no
+    probability is clipped it is convex as well: at least the loss of the mean score, and at
+    most the chord between the ends.
+    """
+    cell = F.floor(F.asinh("score") * SCORE_CELLS)
+    cells = predictions.where(F.col("score").isNotNull() & F.col("target").isNotNull()).groupBy(
+        "model", "target", cell.alias("cell")
+    ).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"), F.min("score").alias("a"), F.max("score").alias("z")
+    )
+    grid = F.array(*[F.lit(t) for t in TEMPERATURES])
+    wide = cells.select("*", F.posexplode(grid).alias("step", "temperature"))
+    y, t = F.col("target"), F.col("temperature")
+    at = {c: log_loss(y, sigmoid(F.col(c) / t)) for c in ("a", "z", "mean")}
+    # NaN and infinity fall outside.
+    smooth = (F.abs("a") < UNCLIPPED * t) & (F.abs("z") < UNCLIPPED * t)
+    met = wide.select(
+        "model", "step", "n", smooth.alias("smooth"), at["a"].alias("la"), at["z"].alias("lz"), at["mean"].alias("lm"),
+        F.coalesce(F.try_divide(F.col("mean") - F.col("a"), F.col("z") - F.col("a")), F.lit(0.0)).alias("part"),
+    )
+    chord = F.col("la") + (F.col("lz") - F.col("la")) * F.least(F.greatest("part", F.lit(0.0)), F.lit(1.0))
+    low = F.when(F.col("smooth"), F.col("lm")).otherwise(F.least("la", "lz"))
+    high = F.when(F.col("smooth"), chord).otherwise(F.greatest("la", "lz"))
+    return met.groupBy("model", "step").agg(
+        (F.sum(F.col("n") * low) / F.sum("n") - BOUND_SLACK).alias("low"),
+        (F.sum(F.col("n") * high) / F.sum("n") + BOUND_SLACK).alias("high"),
     )
 
 
+def fit_temperature(predictions: DataFrame) -> DataFrame:
+    """Grid temperature with the least loss, the smaller one on a tie: (model, temperature).
+
+    Steps whose least possible loss is above some other's greatest are out; the rows are widened
+    to the few that the bounds leave open, not to the whole grid.
+    """
+    bounds = settle(temperature_bounds(predictions))
+    best = bounds.groupBy("model").agg(F.min("high").alias("_high"))
+    left = bounds.join(best, "model").where(F.col("low") <= F.col("_high"))
+    # One row per model, up to the grid's length of steps.
+    steps = settle(left.groupBy("model").agg(F.sort_array(F.collect_list("step")).alias("_steps")))
+    grid = F.array(*[F.lit(t) for t in TEMPERATURES])
+    wide = predictions.join(steps, "model").select(
+        "model", "target", "score", F.explode("_steps").alias("step")
+    ).withColumn("temperature", F.get(grid, F.col("step")))
+    loss = log_loss(F.col("target"), sigmoid(F.col("score") / F.col("temperature")))
+    losses = wide.groupBy("model", "step", "temperature").agg(F.avg(loss).alias("loss"))
+    found = F.min_by("temperature", F.struct("loss", "step"))
+    fitted = losses.groupBy("model").agg(found.alias("temperature"))
+    # A model whose scores or targets are all null has no bounds, and no loss either.
+    everyone = predictions.select("model").distinct()
+    least = F.coalesce("temperature", F.lit(TEMPERATURES[0]))
+    return settle(everyone.join(fitted, "model", "left").select("model", least.alias("temperature")))
+
+
 def temperature_probability(score: Column, temperature: Column) -> Column:
     return clip_probability(sigmoid(score / temperature))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trustgauge.functions.rules import error_category
 from trustgauge.functions.scalars import HIGH_CONFIDENCE, confidence, predicted_label
 from trustgauge.functions.text import extract_keyword
+from trustgauge.operators.phrases import phrase_hits
 from trustgauge.sources.workspace import settle
 
 # Report sizes and the cut of an example text.
@@ -33,6 +34,15 @@ def with_category(
     return lowered.withColumn("category", category).drop("_lowered")
 
 
+def with_category_by_rules(rows: DataFrame, target: str, predicted: str, rules: DataFrame) -> DataFrame:
+    """Add ``category`` under phrase lists given as a table (rule_set, phrase), of any number.
+
+    A rule set bears the name of the list that it replaces; a list without rows is empty.
+    """
+    category = error_category(F.col("text"), F.col(target), F.col(predicted), hits=F.col("_hits"))
+    return phrase_hits(rows, rules, hits_col="_hits").withColumn("category", category).drop("_hits")
+
+
 def wrong_predictions(predictions: DataFrame) -> DataFrame:
     p = F.col("prob")
     return (

@@ -341,16 +341,16 @@ def _any_of(phrases: list[str]) -> str:
     return "(" + " OR ".join(f"contains(low, {_quoted(p)})" for p in phrases) + ")"
 
 
-def _categories(source: str, name: str) -> str:
-    """Category and keyword of every row of ``source`` (text, true_label, predicted_label)."""
-    lists = rules.DEFAULT_PHRASES
+def _categories(source: str, name: str, by_hits: bool = False) -> str:
+    """Category and keyword of every row of ``source`` (text, true_label, predicted_label[, hits])."""
+
+    def holds(k: str) -> str:
+        return f"list_contains(hits, '{k}')" if by_hits else _any_of(rules.DEFAULT_PHRASES[k])
+
     false_positive = " ".join(
-        f"WHEN true_label = 0 AND {_any_of(lists[k])} THEN '{label}'"
-        for k, label in rules.FALSE_POSITIVE_RULES
-    )
-    false_negative = " ".join(
-        f"WHEN {_any_of(lists[k])} THEN '{label}'" for k, label in rules.FALSE_NEGATIVE_RULES
+        f"WHEN true_label = 0 AND {holds(k)} THEN '{label}'" for k, label in rules.FALSE_POSITIVE_RULES
     )
+    false_negative = " ".join(f"WHEN {holds(k)} THEN '{label}'" for k, label in rules.FALSE_NEGATIVE_RULES)
     return f"""
 {name} AS MATERIALIZED (
   SELECT * EXCLUDE (low, n_raw),
@@ -562,6 +562,15 @@ FROM documents"""
     sql["smoothing_stationarity"] = "SELECT 'label_smoothing' AS model, TRUE AS stationary"
     sql["training_beats_constant"] = """
 SELECT unnest(['bootstrap_ensemble', 'embedding_mlp']) AS model, TRUE AS better"""
+    sql["external_scoring"] = f"""
+WITH scored AS MATERIALIZED (
+  SELECT vec_id AS id,
+    list_sum(list_transform(range(64), lambda k: embedding[k + 1]::DOUBLE * ((k * 7) % 11 - 5) / 11.0::DOUBLE)) AS l0,
+    list_sum(list_transform(range(64), lambda k: embedding[k + 1]::DOUBLE * ((k * 5) % 13 - 6) / 13.0::DOUBLE)) AS l1
+  FROM embeddings)
+SELECT id, 'outside-net/raw' AS model, (id % 3 = 0)::INTEGER AS target, round(l1 - l0, 7) AS score,
+  round({_clip('(' + _sigmoid('(l1 - l0)') + ')')}, 8) AS prob
+FROM scored"""
     sql["mlp_score_fixed"] = f"""
 WITH {_DOCS},{_network('docs')}
 SELECT id, round(score, 8) AS score, round({_clip('(' + _sigmoid('score') + ')')}, 8) AS prob FROM net"""
@@ -704,6 +713,22 @@ flipped AS MATERIALIZED (
   SELECT id, text, quality AS true_label, 1 - quality AS predicted_label
   FROM docs JOIN labels ON id = doc_id),
 {_categories('flipped', 'categories')} SELECT id, category FROM categories"""
+    named = " ".join(
+        f"WHEN idx % 240 = {k} THEN '{n}'"
+        for k, n in enumerate(("real_event", "news", "metaphor", "commerce", "fiction", "false_alarm"))
+    )
+    sql["error_categories_rules"] = f"""
+WITH {_DOC_TERMS}, {_vocabulary('vocab', 'doc_terms', 'docs')},
+phrases AS MATERIALIZED (
+  SELECT term, CASE {named} ELSE 'list' || (idx % 40) END AS rule_set FROM vocab WHERE idx >= 5000),
+met AS MATERIALIZED (
+  SELECT id, list_sort(list(DISTINCT rule_set)) AS hits
+  FROM docs JOIN labels ON id = doc_id JOIN phrases ON contains(lower(text), term) GROUP BY id),
+flipped AS MATERIALIZED (
+  SELECT d.id, text, quality AS true_label, 1 - quality AS predicted_label, coalesce(hits, []) AS hits
+  FROM docs d JOIN labels ON d.id = doc_id LEFT JOIN met ON met.id = d.id),
+{_categories('flipped', 'categories', True)}
+SELECT id, category, array_to_string(hits, ',') AS hits FROM categories"""
     sql["error_analysis"] = f"""
 WITH {_ERRORS} SELECT model, id, category, true_label, predicted_label, confidence, prob_positive,
   confidence >= 0.9 AS is_high_confidence, keyword, text FROM errors"""
