@@ -365,6 +365,21 @@ def test_bins_use_every_piece_once():
     assert sum(t for _, t in bins) <= 1.02 * total / 4096 + 1
 
 
+def test_memory_of_runs_is_bounded_in_bytes():
+    """Runs without blanks are not kept; short ones only until the room is used."""
+    import tracemalloc
+
+    memory = packing._Memory(lambda run: run.encode(), 10_000_000)
+    tracemalloc.start()
+    for k in range(100_000):
+        assert memory[f"{k:08d}" * 250][:8] == f"{k:08d}".encode()
+    assert not memory and tracemalloc.get_traced_memory()[0] < 1_000_000
+    for k in range(100_000):
+        memory[f"{k:08d}"]
+    assert 30_000 < len(memory) < 100_000 and tracemalloc.get_traced_memory()[0] < 12_000_000
+    tracemalloc.stop()
+
+
 def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 

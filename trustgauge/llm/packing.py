@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import sys
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -20,8 +21,9 @@ from trustgauge.sources.shipping import ship_package
 CAPACITY = 4096
 END_ID = 1
 SLICE_BYTES = 16 << 20
-# Distinct runs of text whose ids a worker remembers from task to task, some 100 MB.
-REMEMBERED = 600_000
+# Bytes of runs of text and their ids that a worker remembers from task to task, and the longest
+# run, in characters, that it remembers: text without blanks is one run, which seldom comes again.
+REMEMBERED_BYTES, REMEMBERED_RUN = 100_000_000, 64
 
 # Below this, letters are composed and lower-cased one by one.
 LATIN_END = "\u0250"
@@ -36,15 +38,19 @@ def _ids(ids: list[int]) -> bytes:
 
 
 class _Memory(dict):
-    """Remembers what ``make`` gives for a key, for as many keys as it may."""
+    """Remembers what ``make`` gives for a short key, as long as all of it fits into ``room`` bytes."""
 
-    def __init__(self, make, most: int = REMEMBERED):
+    # What an entry takes in the table itself.
+    ENTRY = 104
+
+    def __init__(self, make, room: int = REMEMBERED_BYTES):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.room = make, room
 
     def __missing__(self, key: str) -> bytes:
         ids = self.make(key)
-        if len(self) < self.most:
+        if len(key) <= REMEMBERED_RUN and self.room > 0:
+            self.room -= sys.getsizeof(key) + sys.getsizeof(ids) + self.ENTRY
             self[key] = ids
         return ids
 
@@ -61,7 +67,7 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.units = _Memory(self._unit)
+        self.units = _Memory(self._unit, REMEMBERED_BYTES // 2)
         self.runs = _Memory(self._run)
 
     def _unit(self, unit: str) -> bytes:
