@@ -91,8 +91,22 @@ def test_filter_misses_no_repeat_when_it_is_far_too_small(spark, monkeypatch):
     rows = exactdup.exact_groups(many)
     assert rows.where("kept").count() == 1500
     assert exactdup.keep_one(many).count() == 1500
-    monkeypatch.setattr(exactdup, "BROADCAST_BITS", 0)
-    assert exactdup.keep_one(many).count() == 1500
+
+
+def test_long_filter_stays_within_its_bound(spark, monkeypatch):
+    """Beyond the bound a filter clears fewer rows and loses none; cleared texts meet no exchange."""
+    monkeypatch.setattr(exactdup, "LEAST_BITS", 64)
+    monkeypatch.setattr(exactdup, "MOST_BITS", 1024)
+    assert exactdup.filter_bits(10**12) == 1024
+    rows = [(k, f"text {k % 700}") for k in range(1000)] + [(None, "text 1"), (None, "own"), (999, "text 299")]
+    many = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = exactdup.keep_one(many)
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in kept.collect()) == (
+        [(False, 0), *((True, k) for k in range(300, 1000))]
+    )
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    cleared = plan[plan.index("Union") :].split("Aggregate")[0]
+    assert "LeftAnti" not in cleared and "rightHint=(strategy=broadcast)" in cleared
 
 
 def test_near_groups_of_a_chain_and_a_large_group(spark):

@@ -10,9 +10,9 @@ from trustgauge.llm.common import lower_ascii, store
 # Filter bits per row; two probes then mark about 1.4 % of the unrepeated rows in vain.
 BITS_PER_ROW = 16
 PROBES = 2
-# A filter of at most this many bits (32 MB) travels to every executor; a longer one is joined
-# by a shuffle of digests.
-BROADCAST_BITS = 1 << 28
+# A filter has at most this many bits (32 MB), since it travels to every executor. Beyond 16 million
+# rows it clears fewer of them, bit by bit; what it does not clear is counted exactly anyway.
+MOST_BITS = 1 << 28
 LEAST_BITS = 1 << 15
 
 
@@ -22,7 +22,7 @@ def digest(text: Column) -> Column:
 
 
 def filter_bits(rows: int, bits_per_row: int = BITS_PER_ROW) -> int:
-    return max(LEAST_BITS, 1 << (max(rows, 1) * bits_per_row - 1).bit_length())
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (max(rows, 1) * bits_per_row - 1).bit_length()))
 
 
 def _cell(key: str, probe: int, bits: int) -> Column:
@@ -41,24 +41,32 @@ def repeat_filter(rows: DataFrame, key: str, bits: int) -> DataFrame:
         F.explode(F.array(*[_cell(key, p, bits) for p in range(PROBES)])).alias("cell")
     )
     twice = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return twice.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
+    return _bitmaps(twice)
+
+
+def member_filter(rows: DataFrame, key: str, bits: int) -> DataFrame:
+    """Bitmaps of the cells of all rows; tasks combine theirs, so that only bitmaps move."""
+    return _bitmaps(rows.select(F.explode(F.array(*[_cell(key, p, bits) for p in range(PROBES)])).alias("cell")))
+
+
+def _bitmaps(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bitmap")
     )
 
 
-def mark_repeated(rows: DataFrame, key: str, bitmaps: DataFrame, bits: int) -> DataFrame:
-    """Add ``maybe``: false only for rows whose key certainly occurs once."""
+def mark_members(rows: DataFrame, key: str, bitmaps: DataFrame, bits: int) -> DataFrame:
+    """Add ``maybe``: false only for rows whose key certainly is not in the filter."""
     maybe = F.lit(True)
     for p in range(PROBES):
         side = bitmaps.select(
             F.col("bucket").alias(f"_bucket{p}"), F.col("bitmap").alias(f"_bitmap{p}")
         )
-        if bits <= BROADCAST_BITS:
-            side = F.broadcast(side)
         cell = _cell(key, p, bits)
         rows = rows.withColumn(f"_cell{p}", cell)
+        # At most MOST_BITS / 8 bytes.
         rows = rows.join(
-            side, F.bitmap_bucket_number(f"_cell{p}") == F.col(f"_bucket{p}"), "left"
+            F.broadcast(side), F.bitmap_bucket_number(f"_cell{p}") == F.col(f"_bucket{p}"), "left"
         )
         at = F.bitmap_bit_position(f"_cell{p}")
         byte = F.conv(
@@ -82,7 +90,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         docs.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("text_sha256"))
     )
     bits = filter_bits(rows.count())
-    marked = mark_repeated(rows, "text_sha256", repeat_filter(rows, "text_sha256", bits), bits)
+    bitmaps = store(repeat_filter(rows, "text_sha256", bits), narrow=True)
+    marked = mark_members(rows, "text_sha256", bitmaps, bits)
     single = marked.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         "text_sha256",
@@ -106,26 +115,34 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` without repeated texts, all columns kept; the largest id stays.
 
-    Rows that the filter clears never leave their task. The rest shuffle by id and digest to
-    meet the one row that stays, so a large group of copies is spread over all tasks. Rows
+    Which rows go is found on ids and digests alone, as in :func:`exact_groups`. A second filter, of
+    the rows that go or have a twin, is held against the texts: rows that it clears never leave
+    their task, and only the others shuffle, once, to meet the list of those that go. Rows
     equal in id and text count as one row. Nulls as in :func:`exact_groups`.
     """
     key = digest(F.col(text_col))
     rows = store(docs.select(F.col(id_col).alias("_id"), key.alias("_sha")))
     bits = filter_bits(rows.count())
-    bitmaps = store(repeat_filter(rows, "_sha", bits))
-    marked = mark_repeated(docs.withColumn("_sha", key), "_sha", bitmaps, bits)
-    groups = mark_repeated(rows, "_sha", bitmaps, bits).where("maybe").groupBy("_sha").agg(
-        F.max("_id").alias("_keep")
+    bitmaps = store(repeat_filter(rows, "_sha", bits), narrow=True)
+    counted = mark_members(rows, "_sha", bitmaps, bits).where("maybe").groupBy("_sha", "_id").agg(
+        F.count(F.lit(1)).alias("_c")
     )
-    stays = groups.withColumnsRenamed({"_sha": "_sha2"})
-    repeated = (
-        marked.where("maybe")
-        .join(
-            stays,
-            (F.col("_sha") == F.col("_sha2")) & F.col(id_col).eqNullSafe(F.col("_keep")),
-            "left_semi",
-        )
-        .dropDuplicates([id_col, "_sha"])
+    counted = store(counted)
+    stays = store(counted.groupBy("_sha").agg(F.max("_id").alias("_keep")))
+    fate = store(
+        counted.join(stays, "_sha").select(
+            "_sha", "_id", (~F.col("_id").eqNullSafe(F.col("_keep"))).alias("_goes"), "_c"
+        ).where("_goes or _c > 1").select("_sha", "_id", "_goes", _pair("_id", "_sha").alias("_pair"))
     )
-    return marked.where(~F.col("maybe")).unionByName(repeated).select(*docs.columns)
+    bits = filter_bits(fate.count())
+    bitmaps = store(member_filter(fate, "_pair", bits), narrow=True)
+    own = docs.withColumn("_sha", key).withColumn("_pair", _pair(id_col, "_sha"))
+    marked = mark_members(own, "_pair", bitmaps, bits)
+    goes = fate.where("_goes").select(F.col("_id").alias("_id2"), F.col("_sha").alias("_sha2"))
+    met = (F.col("_sha") == F.col("_sha2")) & F.col(id_col).eqNullSafe(F.col("_id2"))
+    left = marked.where("maybe").join(goes, met, "left_anti").dropDuplicates([id_col, "_sha"])
+    return marked.where(~F.col("maybe")).unionByName(left).select(*docs.columns)
+
+
+def _pair(id_col: str, sha: str) -> Column:
+    return F.concat_ws(":", F.col(id_col).cast("string"), F.col(sha))
