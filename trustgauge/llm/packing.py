@@ -23,7 +23,7 @@ END_ID = 1
 SLICE_BYTES = 16 << 20
 # Bytes of runs of text and their ids that a worker remembers from task to task, and the longest
 # run, in characters, that it remembers: text without blanks is one run, which seldom comes again.
-REMEMBERED_BYTES, REMEMBERED_RUN = 100_000_000, 64
+REMEMBERED_BYTES, REMEMBERED_RUN = 64_000_000, 64
 
 # Below this, letters are composed and lower-cased one by one.
 LATIN_END = "\u0250"
