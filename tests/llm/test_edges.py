@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from trustgauge.llm import wordhash as wh
 from trustgauge.llm import (
     chat,
     components,
@@ -208,6 +209,55 @@ def test_repeats_within_and_across_slices(spark, monkeypatch):
         assert all(a.end < b.start for a, b in zip(r.removed, r.removed[1:], strict=False))
 
 
+def test_a_frequent_run_of_words_fills_no_bucket(spark):
+    """A third of the texts hold one phrase, each in its own words: windows round it spread evenly."""
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(5)
+    phrase = ["all", "rights", "reserved"]
+    texts = [
+        " ".join(w for k in range(8) for w in ([f"w{draw.randrange(10**6)}" for _ in range(12)] + (phrase if i % 3 == 0 else [])))
+        for i in range(3000)
+    ]
+    docs = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "id long, tag long, text string")
+    buckets = 16
+    hot = substrings.hot_anchors(docs, 20, buckets)
+    run = wh.windows(wh.hash_words(pa.array([" ".join(phrase)]))[0], 3, substrings.BASES[1])
+    assert len(hot) < buckets / substrings.HOT_SHARE
+
+    class Held:
+        value = hot
+
+    def sizes(held):
+        batch = pa.RecordBatch.from_pydict(
+            {"id": pa.array(range(3000)), "tag": pa.array([0] * 3000), "text": pa.array(texts)}
+        )
+        counts = np.zeros(buckets, dtype=int)
+        for out in substrings._map_windows(20, buckets, held)(iter([batch])):
+            for r in out.to_pylist():
+                counts[r["bucket"]] += len(r["high"]) // 8
+        return counts
+
+    spread = sizes(Held)
+    assert spread.max() < 2 * np.median(spread)
+
+    class Cold:
+        value = np.empty(0, dtype=np.uint64)
+
+    # The phrase's hash need not be a low one; where it is, it alone fills a bucket.
+    assert len(run) == 1 and sizes(Cold).sum() == spread.sum()
+
+
+def test_hot_anchors_change_no_result(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "COUNTED", 1)
+    rows = [(i, " ".join(f"a{(i * j) % 7}" for j in range(60))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = {r.doc_id: r.kept_text for r in substrings.remove_repeats(docs, 5).collect()}
+    monkeypatch.setattr(substrings, "HOT_SHARE", 1e-6)
+    assert {r.doc_id: r.kept_text for r in substrings.remove_repeats(docs, 5).collect()} == plain
+
+
 def test_quality_ledger_ablation(spark):
     judged = quality.ledger(spark.createDataFrame(ROWS, SCHEMA))
     rows = judged.collect()

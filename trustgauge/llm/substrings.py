@@ -20,6 +20,9 @@ WINDOW = 20
 SLICE_BYTES = 8 << 20
 # Words in the runs that say which bucket a window belongs to.
 ANCHOR = 3
+# An anchor with more than this part of a bucket's even share of windows is dealt by whole windows;
+# in a slice, anchors of fewer windows are not counted.
+HOT_SHARE, COUNTED = 0.25, 64
 BASES = (0xB5297A4D2F1C9E37, 0x68E31DA4C3A5B1D9)
 
 BLOCK_SCHEMA = (
@@ -41,19 +44,74 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = to
 
 
-def _homes(words: np.ndarray, width: int, buckets: int) -> np.ndarray:
-    """Bucket of the window that begins at each word: by the least hash of its short runs.
-
-    Neighbouring windows mostly share that run and so a bucket, which keeps the pieces of a
-    document together; equal windows always do.
-    """
+def _anchors(words: np.ndarray, width: int) -> np.ndarray:
+    """The least hash among the short runs of the window that begins at each word."""
     least = wh.windows(words, min(ANCHOR, width), BASES[1])
     count, have = width - min(ANCHOR, width) + 1, 1
     while have < count:
         step = min(have, count - have)
         least = np.minimum(least[: len(least) - step], least[step:])
         have += step
-    return (wh.mix(least, 5) % np.uint64(buckets)).astype(np.int32)
+    return least
+
+
+def _homes(anchors: np.ndarray, high: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each window: by its anchor, or by its own hash if the anchor is a hot one.
+
+    Neighbouring windows mostly share their anchor and so a bucket, which keeps the pieces of a
+    document together; equal windows always do, hot or not.
+    """
+    key = anchors
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, anchors), len(hot) - 1)
+        key = np.where(hot[at] == anchors, high, anchors)
+    return (wh.mix(key, 5) % np.uint64(buckets)).astype(np.int32)
+
+
+def _first_words(part: pa.RecordBatch, width: int) -> tuple[np.ndarray, ...]:
+    """Words of a slice, and of each window its text, its start there and its place among the words."""
+    words, first = wh.hash_words(part.column("text").combine_chunks() if isinstance(part, pa.Table) else part.column("text"))
+    n = np.maximum(np.diff(first) - width + 1, 0)
+    doc = np.repeat(np.arange(len(n)), n)
+    start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return words, doc, start, first[doc] + start
+
+
+def _count_anchors(width: int):
+    """Windows per anchor, of those that many windows of a slice share; anchor null counts all windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch):
+                words, _, _, at = _first_words(part, width)
+                found = np.sort(_anchors(words, width)[at])
+                edges = np.append(np.flatnonzero(np.append(True, found[1:] != found[:-1])), len(found)) if len(found) else np.zeros(1, int)
+                counts = np.diff(edges)
+                many = counts >= COUNTED
+                anchors = pa.array(found[edges[:-1]][many].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.nulls(1, pa.int64()), anchors]), pa.array(np.append(len(found), counts[many]))],
+                    ["anchor", "n"],
+                )
+
+    return run
+
+
+def hot_anchors(docs: DataFrame, width: int, buckets: int, share: float | None = None) -> np.ndarray:
+    """Anchors with more windows than a part of a bucket's even share, sorted.
+
+    Counted over all texts. An anchor that is left out though it has as many is met by fewer than
+    COUNTED windows in every slice. There are fewer than ``buckets / share`` of them.
+    """
+    share = share or HOT_SHARE
+    sums = docs.select("text").mapInArrow(_count_anchors(width), "anchor long, n long").groupBy("anchor").agg(
+        F.sum("n").alias("n")
+    )
+    sums = store(sums, narrow=True)
+    total = (sums.where("anchor IS NULL").select("n").first() or [0])[0]
+    bound = total * share / buckets
+    found = sums.where(F.col("anchor").isNotNull() & (F.col("n") > bound)).select("anchor").toPandas()
+    return np.sort(found["anchor"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
 def _deal(bucket, settled, doc, start, ids, tags, high=None, low=None) -> Iterator[dict]:
@@ -113,7 +171,7 @@ def _later(high, low, *place) -> tuple[np.ndarray, np.ndarray]:
     return shared[~new], first[~new]
 
 
-def _map_windows(width: int, buckets: int):
+def _map_windows(width: int, buckets: int, hot):
     schema = pa.schema(
         [("bucket", pa.int32()), ("settled", pa.bool_())]
         + [(c, pa.binary()) for c in ("ids", "tags", "counts", "starts", "high", "low")]
@@ -129,14 +187,9 @@ def _map_windows(width: int, buckets: int):
                 fresh = np.append(True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]))
                 if not fresh.all():
                     rows, ids, tags = rows.filter(pa.array(fresh)), ids[fresh], tags[fresh]
-                words, first = wh.hash_words(rows.column("text").combine_chunks())
-                counts = np.diff(first)
-                n = np.maximum(counts - width + 1, 0)
-                doc = np.repeat(np.arange(len(n)), n)
-                start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                at = first[doc] + start
+                words, doc, start, at = _first_words(rows, width)
                 high = wh.windows(words, width, BASES[0])[at]
-                bucket = _homes(words, width, buckets)[at]
+                bucket = _homes(_anchors(words, width)[at], high, hot.value, buckets)
                 low = (wh.windows(wh.mix(words, 1), width, BASES[1])[at] >> np.uint64(40)).astype(np.uint32)
                 del words, at
                 again, _ = _later(high, low, np.arange(len(high)))
@@ -190,11 +243,14 @@ def repeated_windows(docs: DataFrame, width: int = WINDOW, buckets: int | None =
     one of ``buckets`` groups, by default four times spark.sql.shuffle.partitions, packed with the
     places of other windows; of windows that repeat within a slice of a task only the first
     is sent, so a passage that a third of all documents share meets as few rows as there are
-    slices. Memory of a group is about 40 bytes per window of its share.
+    slices. Windows with a frequent short run spread over all groups. Memory of a group is about
+    40 bytes per window of its share.
     """
-    ship_package(docs.sparkSession)
-    buckets = buckets or 4 * shuffle_width(docs.sparkSession)
-    blocks = docs.select("id", "tag", "text").mapInArrow(_map_windows(width, buckets), BLOCK_SCHEMA)
+    spark = docs.sparkSession
+    ship_package(spark)
+    buckets = buckets or 4 * shuffle_width(spark)
+    hot = spark.sparkContext.broadcast(hot_anchors(docs, width, buckets))
+    blocks = docs.select("id", "tag", "text").mapInArrow(_map_windows(width, buckets, hot), BLOCK_SCHEMA)
     return blocks.groupBy("bucket").applyInArrow(_judge_bucket, MARK_SCHEMA)
 
 
