@@ -369,7 +369,77 @@ def test_only_hiding_attributes_hide():
     assert htmltext.render('<ol data-start=7 start="3"><li>x</ol>') == "3. x"
 
 
+def grid_lines(rows):
+    """Layout of a table by an explicit grid: each cell takes the first free places of its row."""
+    taken, cells = {}, []
+    for r, row in enumerate(rows):
+        c = 0
+        for text, across, down in row:
+            while (r, c) in taken:
+                c += 1
+            for i in range(down):
+                for j in range(across):
+                    taken[r + i, c + j] = True
+            cells.append((r, c, text))
+            c += across
+    shown = [x for x in cells if x[2]]
+    used = sorted({c for _, c, _ in shown})
+    width = {c: max(len(t) for _, d, t in shown if d == c) for c in used}
+    at = {c: sum(width[d] + 2 for d in used if d < c) for c in used}
+    lines = []
+    for r in sorted({r for r, _, _ in shown}):
+        line = " " * 500
+        for _, c, text in (x for x in shown if x[0] == r):
+            line = line[: at[c]] + text + line[at[c] + len(text) :]
+        lines.append(line.rstrip())
+    return lines
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_tables_by_an_explicit_grid(seed):
+    rng = random.Random(seed)
+    rows = [
+        [
+            ("x" * rng.choice([0, 3, 4, 5]), rng.choice([1, 1, 1, 2, 3]), rng.choice([1, 1, 1, 2, 4]))
+            for _ in range(rng.randint(1, 5))
+        ]
+        for _ in range(rng.randint(1, 6))
+    ]
+    page = "".join(
+        "<tr>" + "".join(f"<td colspan={a} rowspan='{d}'>{t}" for t, a, d in row) for row in rows
+    )
+    assert htmltext.render(f"<table>{page}</table>").split("\n") == (grid_lines(rows) or [""])
+
+
+def test_rendering_is_linear():
+    """Pages that nest deeply, close what is not open or hold one wide cell, in time and in size."""
+    import time
+
+    n = 20_000
+    wide = "<td>" + "w" * 5000
+    pages = {
+        "items": "<ul><li>x" * n, "numbers": "<ol><li>x" * n, "bare items": "<ul><li>" * n + "x",
+        "stray ends": "<span>" * n + "</b>" * n, "paragraphs": "<p><button>" + "<span>" * n + "<h2></h2>" * n,
+        "wide cell": "<table>" + "<tr><td>a<td>b" * n + f"<tr>{wide}<td>c</table>",
+        "wide columns": "<table>" + "<tr>" + f"<td>{'w' * 50}" * 200 + "<tr><td>x" * 200 + ("<tr>" + "<td>" * 199 + "<td>y") * 200,
+        "spans": "<table>" + "<tr>" + "<td colspan=1000 rowspan=0>q" * 200 + "<tr><td>z" * 2000,
+        "tables": "<table><tr><td>t" * n, "blocks": "<div>d" * n, "menus": "<select><option>o" * n,
+    }
+    for name, page in pages.items():
+        begun = time.process_time()
+        text = htmltext.render(page)
+        assert time.process_time() - begun < 3.0, name
+        assert len(text) < 4 * len(page), name
+
+
 @pytest.mark.parametrize(("page", "text"), [
+    ("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</div>d", "b\nd"),
+    ("<table><tr><td colspan=2>Title<td>z<tr><td>a<td>b<td>c</table>", "Title     z\na      b  c"),
+    ("<table><tr><td rowspan=2>left<td>one<tr><td>two</table>", "left  one\n      two"),
+    ("Line one<span style='display:block'>two</span>three", "Line one\ntwo\nthree"),
+    ("a<div style='display: inline'>b</div>c", "abc"),
+    ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"),
+    ("<ul><li><p>a<p>b<li><ul><li>c<li>d</ul>e</ul>f", "- a\n\n  b\n- - c\n  - d\n  e\n\nf"),
     ("<a title=Bob's href=x>Two</a><p>Three it's four</p>end", "Two\n\nThree it's four\n\nend"),
     ("<a href=x?a=\"b>c</a>", "c"), ("<a title='a>b' x = \"c>d\">e</a>", "e"), ("<br title=it's/>a<p class='it'>b", "a\n\nb"),
     ("<i aria-hidden=true>a</i><i aria-hidden=\"true\">b</i>", "ab"),

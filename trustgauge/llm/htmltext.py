@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from trustgauge.sources.shipping import ship_package
 
 SLICE_BYTES = 8 << 20
+# A longer cell does not widen its column; nested lists are indented no further; tables within as
+# many others add their cells to the innermost of those.
+COLUMN_WIDTH, MOST_INDENT, MOST_TABLES = 60, 24, 12
 
 # Element names by their part in the layout, as the HTML standard's rendering
 # section has them.
@@ -45,7 +48,12 @@ BLOCK = frozenset(
 )
 # Blocks set off from their neighbours by an empty line.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr".split())
+# Displays of a style that make an element a block of its own, and blocks that an inline one unmakes.
+BLOCK_DISPLAY = frozenset("block flex grid list-item table flow-root".split())
+UNMADE = BLOCK - frozenset("ul ol menu dir dl li dt dd table caption thead tbody tfoot tr pre center hr".split())
 CELL = frozenset(("td", "th"))
+ROW, TABLE, PARAGRAPH = frozenset(("tr",)), frozenset(("table",)), frozenset(("p",))
+ROUND_PARAGRAPH = frozenset((*CELL, "li", "table", "caption", "button", "div"))
 # A start tag ends an open element of the first kind, up to an element of the second.
 IMPLIED = {
     "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu", "dir"))),
@@ -77,23 +85,70 @@ _NUMBER = re.compile(r"\s*([+-]?\d+)", re.ASCII)
 
 
 class _Table:
-    """Rows of cell texts of one table; cells of a column are padded to one width."""
+    """Cells of one table by row and column, the columns aligned."""
 
     def __init__(self) -> None:
-        self.rows: list[list[str]] = []
+        self.rows: list[list[tuple[int, str]]] = []  # first column and text of each cell
+        self.at = 0
+        self.covered: list[list[int]] = []  # first and last column of cells from above, rows left
+        self.opened: list[list[int]] = []
+
+    def row(self) -> None:
+        reach: list[list[int]] = []
+        for first, end, left in sorted([c[0], c[1], c[2] - 1] for c in self.covered + self.opened if c[2] > 1):
+            if reach and reach[-1][1] == first and reach[-1][2] == left:
+                reach[-1][1] = end
+            else:
+                reach.append([first, end, left])
+        self.covered, self.opened, self.at = reach, [], 0
+        self.rows.append([])
+
+    def cell(self, text: str, columns: int, rows: int) -> None:
+        for first, end, _ in self.covered:
+            if first <= self.at < end:
+                self.at = end
+        self.rows[-1].append((self.at, text))
+        if rows > 1:
+            self.opened.append([self.at, self.at + columns, rows])
+        self.at += columns
 
     def lines(self) -> list[str]:
-        rows = [r for r in self.rows if any(r)]
-        width = [0] * max((len(r) for r in rows), default=0)
+        """Aligned lines; plain ones if padding would make more than twice the text itself."""
+        rows = [cells for cells in ([c for c in r if c[1]] for r in self.rows) if cells]
+        column = {c: k for k, c in enumerate(sorted({c for r in rows for c, _ in r}))}
+        width = [0] * len(column)
         for r in rows:
-            for k, cell in enumerate(r):
-                width[k] = max(width[k], max(map(len, cell.split("\n"))))
-        lines = []
+            for c, text in r:
+                longest = max(map(len, text.split("\n")))
+                if longest <= COLUMN_WIDTH:
+                    width[column[c]] = max(width[column[c]], longest)
+        place = [0]
+        for w in width:
+            place.append(place[-1] + w + 2)
+        raw = sum(len(text) + 4 for r in rows for _, text in r)
+        lines: list[str] = []
+        size = 0
         for r in rows:
-            parts = [cell.split("\n") for cell in r]
-            for k in range(max(map(len, parts))):
-                cells = [p[k] if k < len(p) else "" for p in parts]
-                lines.append("  ".join(c.ljust(width[i]) for i, c in enumerate(cells)).rstrip())
+            cells = [(place[column[c]], text.split("\n")) for c, text in r]
+            for k in range(max(len(own) for _, own in cells)):
+                line = ""
+                for at, own in cells:
+                    if k < len(own) and own[k]:
+                        line = (line.ljust(at) if len(line) + 2 <= at or not line else line + "  ") + own[k]
+                lines.append(line)
+                size += len(line)
+                if size > 3 * raw:
+                    return self.plain(rows)
+        return lines
+
+    @staticmethod
+    def plain(rows: list[list[tuple[int, str]]]) -> list[str]:
+        lines: list[str] = []
+        for r in rows:
+            if any("\n" in text for _, text in r):
+                lines += [line for _, text in r for line in text.split("\n")]
+            else:
+                lines.append("  ".join(text for _, text in r))
         return lines
 
 
@@ -115,13 +170,16 @@ class _Choices:
 
 
 class _Writer:
-    """Text of one flow: lines with collapsed blanks, and the gaps asked for between them."""
+    """Text of one flow: lines with collapsed blanks, the gaps between them, and their indent."""
 
     def __init__(self) -> None:
         self.lines: list[str] = []
         self.line = ""
         self.gap = False
-        self.lead = ""
+        self.base = ""  # indent of a line
+        self.first: str | None = None  # indent and markers of the next line of an item
+        self.fresh = False  # nothing of the item is written yet
+        self.before = False  # the gap asked for before the item
 
     def text(self, text: str, keep: bool) -> None:
         if keep:
@@ -140,13 +198,37 @@ class _Writer:
         line = self.line.rstrip(" ")
         self.line = ""
         if line or force:
-            if self.gap and self.lines:
+            if (self.before if self.fresh else self.gap) and self.lines:
                 self.lines.append("")
-            self.gap = False
-            self.lines.append(self.lead + line if line else "")
-            if line and self.lead:
-                self.lead = " " * len(self.lead)
-        self.gap = self.gap or gap
+            self.gap = self.fresh = False
+            if line:
+                self.lines.append((self.base if self.first is None else self.first) + line)
+                self.first = None
+            else:
+                self.lines.append("")
+        # An item begins and ends without a gap, whatever its first and last block ask for.
+        self.gap = not self.fresh and (self.gap or gap)
+
+    def enter(self, marker: str) -> tuple:
+        """Begin a list item; what is returned ends it."""
+        self.end()
+        outer = (self.base, self.first, self.fresh, self.before, self.gap, len(self.lines))
+        self.before = self.before if self.fresh else self.gap
+        if len(self.base) + len(marker) <= MOST_INDENT:
+            self.first = (self.base if self.first is None else self.first) + marker
+            self.base += " " * len(marker)
+        else:
+            self.first = self.base + marker
+        self.fresh, self.gap = True, False
+        return outer
+
+    def leave(self, outer: tuple) -> None:
+        self.end()
+        self.base, first, fresh, before, gap, written = outer
+        if len(self.lines) > written:
+            self.first, self.fresh, self.gap = None, False, False
+        else:
+            self.first, self.fresh, self.before, self.gap = first, fresh, before, gap
 
     def all(self) -> list[str]:
         self.end()
@@ -158,7 +240,8 @@ def render(page: str) -> str:
 
     Tags build a stack of open elements, with end tags that authors may leave out implied;
     hidden elements swallow what they hold. Blocks begin a line, spaced blocks an empty one,
-    list items get a dash or their number and an indent, and table cells are aligned by column.
+    list items get a dash or their number and an indent, and table cells are aligned by column,
+    those beside a cell of several rows and below one of several columns too.
 
     Hidden is what a browser with scripts does not show: heads, scripts, styles, templates,
     noscript, what stands in for frames, canvas, audio and video, closed dialogs, suggestions
@@ -168,8 +251,12 @@ def render(page: str) -> str:
     math, text areas, the chosen option of a menu, all options of a list box and what only
     screen readers skip (aria-hidden) are shown.
     """
-    stack: list[tuple[str, bool]] = []  # name, and whether it hides what is in it
+    # Name, whether it hides what is in it, whether text round it is visible, whether its style makes
+    # or unmakes a block, and what ends it.
+    stack: list[tuple[str, bool, bool, bool | None, tuple | None]] = []
+    places: dict[str, list[int]] = {}  # of the open elements of each name
     hidden = 0
+    visible = True
     keep = 0
     writer = _Writer()
     writers: list[tuple[str, _Writer]] = []  # flows around an open cell, item or table
@@ -180,8 +267,9 @@ def render(page: str) -> str:
 
     def close(name: str) -> None:
         """Close the innermost element, which has this name."""
-        nonlocal hidden, keep, writer
-        stack_name, hides = stack.pop()
+        nonlocal hidden, keep, writer, visible
+        stack_name, hides, visible, block, more = stack.pop()
+        places[stack_name].pop()
         hidden -= hides
         if stack_name in ("svg", "math", "foreignobject") and foreign:
             foreign.pop()
@@ -191,8 +279,8 @@ def render(page: str) -> str:
             lines = writer.all()
             writer = writers.pop()[1]
             if tables and tables[-1].rows:
-                tables[-1].rows[-1].append("\n".join(x for x in lines if x))
-        elif stack_name == "table" and tables and writers and writers[-1][0] == "table":
+                tables[-1].cell("\n".join(x for x in lines if x), *(more or (1, 1)))
+        elif stack_name == "table" and more:
             outside = writer.all()
             lines = tables.pop().lines()
             writer = writers.pop()[1]
@@ -201,12 +289,8 @@ def render(page: str) -> str:
                 writer.line = line
                 writer.end()
             writer.end(gap=True)
-        elif stack_name == "li" and writers and writers[-1][0] == "li":
-            lines = writer.all()
-            writer = writers.pop()[1]
-            for line in lines:
-                writer.line = line
-                writer.end(force=not line)
+        elif stack_name == "li" and more:
+            writer.leave(more)
         elif stack_name == "option" and writers and writers[-1][0] == "option":
             choices[-1].options[-1][0] = " ".join(x.strip() for x in writer.all() if x.strip())
             writer = writers.pop()[1]
@@ -227,23 +311,23 @@ def render(page: str) -> str:
             if counters:
                 counters.pop()
             writer.end(gap=not counters)
-        elif stack_name in BLOCK:
+        elif block or (block is None and stack_name in BLOCK):
             writer.end(gap=stack_name in SPACED)
             keep -= stack_name == "pre"
-        elif stack_name == "q":
+        elif stack_name == "q" and visible:
             writer.text('"', False)
 
+    def innermost(names: frozenset[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
     def close_to(names: frozenset[str], bounds: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                while len(stack) > k:
-                    close(stack[-1][0])
-                return
-            if stack[k][0] in bounds:
-                return
+        at = innermost(names)
+        if at >= 0 and at >= innermost(bounds):
+            while len(stack) > at:
+                close(stack[-1][0])
 
     def start(name: str, attributes: str, alone: bool) -> None:
-        nonlocal hidden, keep, writer
+        nonlocal hidden, keep, writer, visible
         if stack and stack[-1][0] == "head" and name not in IN_HEAD:
             close("head")
         if name == "select" and choices:
@@ -253,11 +337,11 @@ def render(page: str) -> str:
         if name in IMPLIED:
             close_to(*IMPLIED[name])
         elif name in BLOCK:
-            close_to(frozenset(("p",)), frozenset((*CELL, "li", "table", "caption", "button", "div")))
-        if name in ("td", "th") and not hidden and tables and not _in_row(stack):
+            close_to(PARAGRAPH, ROUND_PARAGRAPH)
+        if name in ("td", "th") and not hidden and tables and innermost(ROW) <= innermost(TABLE):
             start("tr", "", False)
         if name in VOID:
-            if hidden or _hides(name, attributes):
+            if hidden or _look(name, attributes)[0]:
                 return
             if name == "br":
                 writer.end(force=True)
@@ -266,7 +350,8 @@ def render(page: str) -> str:
             return
         if foreign and alone and foreign[-1] != "foreignobject" and _alone(attributes):
             return
-        hides = name in HIDDEN or _hides(name, attributes)
+        off, seen, block = _look(name, attributes)
+        hides = name in HIDDEN or off
         if foreign and name in FOREIGN_HIDDEN.get(foreign[-1], ()):
             hides = True
         if name in ("svg", "math") or (name == "foreignobject" and foreign):
@@ -274,18 +359,34 @@ def render(page: str) -> str:
         in_menu = name == "option" and choices and not hidden
         if in_menu:
             pairs = _attributes(attributes)
-            off = "disabled" in pairs or choices[-1].off
-            choices[-1].options.append(["", "selected" in pairs, off, hides])
+            choices[-1].options.append(["", "selected" in pairs, "disabled" in pairs or choices[-1].off, hides])
             # A menu shows its chosen option though the list leaves it out.
             hides = False
         elif foreign and not hidden and stack and stack[-1][0] in APART or name == "text" and foreign:
             if not hidden:
                 writer.text(" ", False)
-        stack.append((name, hides))
+        more = None
+        if not hidden and not hides:
+            if name in CELL and attributes:
+                pairs = _attributes(attributes)
+                more = (_span(pairs.get("colspan", ""), 1000), _span(pairs.get("rowspan", ""), 65534))
+            elif name == "li":
+                number = counters[-1] if counters else None
+                if number is not None and attributes:
+                    given = _NUMBER.match(_attributes(attributes).get("value", ""))
+                    number = int(given[1]) if given else number
+                if number is not None:
+                    counters[-1] = number + 1
+                more = writer.enter("- " if number is None else f"{number}. ")
+            elif name == "table" and len(tables) < MOST_TABLES:
+                more = (name,)
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, hides, visible, block, more))
         hidden += hides
+        visible = visible if seen is None else seen
         if hidden:
             return
-        if name == "table":
+        if name == "table" and more:
             writer.end(gap=True)
             writers.append(("table", writer))
             tables.append(_Table())
@@ -301,7 +402,7 @@ def render(page: str) -> str:
             choices[-1].off = "disabled" in _attributes(attributes)
         elif name == "tr":
             if tables:
-                tables[-1].rows.append([])
+                tables[-1].row()
         elif name in CELL:
             if tables:
                 writers.append(("cell", writer))
@@ -311,17 +412,11 @@ def render(page: str) -> str:
             writer.end(gap=not counters)
             counters.append((int(found[1]) if found else 1) if name == "ol" else None)
         elif name == "li":
-            writer.end()
-            writers.append(("li", writer))
-            writer = _Writer()
-            number = counters[-1] if counters else None
-            writer.lead = "- " if number is None else f"{number}. "
-            if number is not None:
-                counters[-1] = number + 1
-        elif name in BLOCK:
+            pass
+        elif block or (block is None and name in BLOCK):
             writer.end(gap=name in SPACED)
             keep += name == "pre"
-        elif name == "q":
+        elif name == "q" and visible:
             writer.text('"', False)
 
     at, size = 0, len(page)
@@ -330,7 +425,7 @@ def render(page: str) -> str:
         until = found.start() if found else size
         if until > at and stack and stack[-1][0] == "head" and page[at:until].strip():
             close("head")
-        if until > at and not hidden:
+        if until > at and not hidden and visible:
             text = html.unescape(page[at:until]) if "&" in page[at:until] else page[at:until]
             if not (tables and writers and writers[-1][0] == "table") or text.strip():
                 writer.text(text, keep > 0)
@@ -349,9 +444,9 @@ def render(page: str) -> str:
                     continue
                 ending = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
                 raw = page[at : ending.start() if ending else size]
-                if name == "xmp" and not hidden:
+                if name == "xmp" and not hidden and visible:
                     writer.text(raw, True)
-                elif name == "textarea" and not hidden:
+                elif name == "textarea" and not hidden and visible:
                     writer.text(html.unescape(raw.removeprefix("\r").removeprefix("\n")), True)
                 if not ending:
                     break
@@ -361,7 +456,7 @@ def render(page: str) -> str:
             continue
         if name == "br" and not hidden:
             writer.end(force=True)
-        elif name == "p" and not any(n == "p" for n, _ in stack):
+        elif name == "p" and not places.get("p"):
             writer.end(gap=True)
         elif name not in VOID:
             bound = frozenset(("table",)) if name != "table" else frozenset()
@@ -411,34 +506,37 @@ def _alone(text: str) -> bool:
     return end < len(text)
 
 
-def _hides(name: str, attributes: str) -> bool:
+def _span(text: str, most: int) -> int:
+    """Columns or rows of a cell; no rows means all that follow."""
+    found = _NUMBER.match(text)
+    if not found:
+        return 1
+    return min(int(found[1]), most) or (most if most > 1000 else 1) if int(found[1]) >= 0 else 1
+
+
+def _look(name: str, attributes: str) -> tuple[bool, bool | None, bool | None]:
+    """Is the element hidden with all in it; is its text visible; is it a block? None: as usual."""
     if name == "dialog" and "open" not in _attributes(attributes):
-        return True
+        return True, None, None
     if name == "object":
         # Without data, or for a plug-in that no browser has any more, the fallback is shown.
         pairs = _attributes(attributes)
         if "data" in pairs and not pairs.get("type", "").lower().startswith("application/x-"):
-            return True
-    if not attributes:
-        return False
+            return True, None, None
     low = attributes.lower()
-    if "hid" not in low and "none" not in low:
-        return False
+    if "hidden" not in low and "style" not in low:
+        return False, None, None
     pairs = _attributes(attributes)
     style = _style(pairs.get("style", ""))
-    if style.get("visibility") == "hidden":
-        return True
+    seen = {"hidden": False, "collapse": False, "visible": True}.get(style.get("visibility", ""))
+    display = style.get("display", "")
+    block = None
+    if display in BLOCK_DISPLAY and name not in BLOCK and name not in CELL:
+        block = True
+    elif display.startswith("inline") and name in UNMADE:
+        block = False
     # A display in the style outranks the attribute named hidden.
-    return style["display"] == "none" if style.get("display") else "hidden" in pairs
-
-
-def _in_row(stack: list[tuple[str, bool]]) -> bool:
-    for name, _ in reversed(stack):
-        if name == "tr":
-            return True
-        if name == "table":
-            return False
-    return False
+    return display == "none" if display else "hidden" in pairs, seen, block
 
 
 def _render_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
