@@ -369,6 +369,55 @@ def test_only_hiding_attributes_hide():
     assert htmltext.render('<ol data-start=7 start="3"><li>x</ol>') == "3. x"
 
 
+def test_trees_beat_the_best_single_rule_on_other_urls(spark):
+    """Held-out labels against a constant and the cuts of each feature that are best on the learnt rows."""
+    import numpy as np
+
+    draw = random.Random(8)
+
+    def url(bad):
+        word = lambda n: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz012" if bad else "abcdefghijklmnopqrstuvwxyz0") for _ in range(n))
+        query = "&".join(f"{word(3)}={word(4)}" for _ in range(draw.randint(1, 4) if bad else draw.randint(0, 3)))
+        return f"http://{word(draw.randint(3, 12))}.{draw.choice(['xyz', 'com', 'org'] if bad else ['com', 'org', 'edu'])}/{word(draw.randint(1, 9))}?{query}"
+
+    rows = [(url(k % 3 == 0), int((k % 3 == 0) != (draw.random() < 0.05))) for k in range(1800)]
+    rows += [("http://hot.com/", 0)] * 3000
+    learnt, other = rows[:1200] + rows[1800:], rows[1200:1800]
+    model = urls.fit_urls(spark.createDataFrame(learnt, "url string, bad int"), urls.Settings(train_rows=800))
+    frame = spark.createDataFrame(other, "url string, label int")
+    scored = urls.score_urls(frame, model).select("label", "bad", *urls.FEATURES).toPandas()
+    label = scored["label"].to_numpy() == 1
+    right = ((scored["bad"] >= 0.5).to_numpy() == label).mean()
+    known = urls.lexical(spark.createDataFrame(rows[:1200], "url string, label int")).toPandas()
+    best = max(label.mean(), 1 - label.mean())
+    for name in urls.FEATURES[:9]:
+        learnt_label, values = known["label"].to_numpy() == 1, known[name].to_numpy()
+        shares = [(((values >= cut) == learnt_label).mean(), cut) for cut in np.unique(values)]
+        cut, up = max((max(x, 1 - x), c, x >= 0.5) for x, c in shares)[1:]
+        best = max(best, (((scored[name].to_numpy() >= cut) == up) == label).mean())
+    assert right > best
+    again = urls.score_urls(frame, model).orderBy("url").select("bad").collect()
+    assert again == urls.score_urls(frame.repartition(5), model).orderBy("url").select("bad").collect()
+
+
+def test_shards_match_the_mixture_and_its_order(spark):
+    """Each shard holds each source's share to within one row, in the order of fractional ranks."""
+    sizes = {"a": 300, "b": 90, None: 7, "c": 1}
+    rows = [(1000 * n + i, f"t{i}", "en", s, 1) for n, (s, size) in enumerate(sizes.items()) for i in range(size)]
+    out = sharding.assign_shards(spark.createDataFrame(rows, SCHEMA), shards=9).collect()
+    source = {r[0]: r[3] for r in rows}
+    for s, size in sizes.items():
+        held = Counter(r.doc_id and r.shard for r in out if source[r.doc_id] == s)
+        for shard in range(9):
+            assert abs(held.get(shard, 0) - size / 9) <= len(sizes)
+    placed = [source[r.doc_id] for r in sorted(out, key=lambda r: (r.shard, r.slot))]
+    # At any cut of the whole order, a source is within one row of its share.
+    seen = Counter()
+    for k, s in enumerate(placed, 1):
+        seen[s] += 1
+        assert all(abs(seen[x] - k * size / len(rows)) <= len(sizes) for x, size in sizes.items())
+
+
 def grid_lines(rows):
     """Layout of a table by an explicit grid: each cell takes the first free places of its row."""
     taken, cells = {}, []

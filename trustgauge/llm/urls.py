@@ -34,7 +34,7 @@ class Rule:
 
 @dataclass(frozen=True)
 class Settings:
-    """Size and seed of the model, and how many labelled rows it is fitted on at most.
+    """Size and seed of the model, and how many different labelled URLs it is fitted on at most.
 
     Suffix rates are shrunk towards the overall rate as if ``prior`` more rows had it.
     """
@@ -151,26 +151,28 @@ def _with_rates(rows: DataFrame, rates: DataFrame, overall: float, fold: bool) -
 def fit_urls(
     labelled: DataFrame, settings: Settings = Settings(), url_col: str = "url", label_col: str = "bad"
 ) -> UrlModel:
-    """Fit on (url, bad 0/1): suffix rates on all rows, trees on ``train_rows`` of them at most.
+    """Fit on (url, bad 0/1): suffix rates on all rows, trees on ``train_rows`` URLs at most.
 
-    The sample is drawn by a hash of the URL. Suffix rates of a training row come from the
-    other half of the rows, so that the trees do not learn to trust rates that hold the row's
-    own label. With fewer than two classes there are no trees and every URL passes.
+    The sample is the first by a hash of the URL, each URL and label once, weighed by its number of
+    rows, so that a URL with a third of all rows is one row of the fit. Suffix rates of a
+    training row come from the other half of the URLs, so that the trees do not learn to trust
+    rates that hold the row's own label. With fewer than two classes there are no trees and
+    every URL passes. Rows without URL or label are left out; a table without rows gives no trees.
     """
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(url_col).isNotNull()).select(
         F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("label")
     )
-    rows = lexical(rows).withColumn("half", (unit_hash("url", seed=settings.seed) < 0.5).cast("int"))
-    rows = store(rows)
-    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).first()
+    rows = lexical(rows.groupBy("url", "label").agg(F.count(F.lit(1)).cast("double").alias("times")))
+    rows = store(rows.withColumn("half", (unit_hash("url", seed=settings.seed) < 0.5).cast("int")))
+    sums = rows.agg(F.coalesce(F.sum("times"), F.lit(0.0)).alias("n"), F.sum(F.col("times") * F.col("label")).alias("bad")).first()
     n, bad = sums["n"], sums["bad"] or 0.0
     overall = bad / n if n else 0.0
     ends = F.array(
         *[F.struct(F.lit(k).alias("level"), F.col(f"suffix{k}").alias("suffix")) for k in (2, 3)]
     )
-    half = lambda h, c: F.sum(F.when(F.col("half") == h, c).otherwise(0.0))
+    half = lambda h, c: F.sum(F.when(F.col("half") == h, c * F.col("times")).otherwise(0.0))
     counted = (
-        rows.select(F.explode(ends).alias("e"), "label", "half")
+        rows.select(F.explode(ends).alias("e"), "label", "half", "times")
         .groupBy("e.level", "e.suffix")
         .agg(*[half(h, F.lit(1.0)).alias(f"n{h}") for h in (0, 1)], *[half(h, F.col("label")).alias(f"b{h}") for h in (0, 1)])
     )
@@ -183,14 +185,13 @@ def fit_urls(
     )
     if not 0 < bad < n:
         return UrlModel(None, rates, overall)
-    share = min(1.0, settings.train_rows / n)
-    sample = rows.where(unit_hash("url", seed=settings.seed + 1) <= share)
+    sample = store(rows.orderBy(unit_hash("url", seed=settings.seed + 1), "url", "label").limit(settings.train_rows))
     train = _with_rates(sample, rates, overall, fold=True)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    ready = store(train.select(*FEATURES, "label"))
+    ready = store(train.select(*FEATURES, "label", "times"))
     trees = GBTClassifier(
-        maxIter=settings.trees, maxDepth=settings.depth, seed=settings.seed, stepSize=0.3
-    ).fit(vectors.transform(ready).coalesce(8).select("features", "label"))
+        maxIter=settings.trees, maxDepth=settings.depth, seed=settings.seed, stepSize=0.3, weightCol="times"
+    ).fit(vectors.transform(ready).coalesce(8).select("features", "label", "times"))
     return UrlModel(trees, rates, overall)
 
 
