@@ -206,7 +206,13 @@ def learned_text(formatted: Column, spans: Column) -> Column:
 
 
 def chat_format(tree: DataFrame, top: int = 1, learn: str = "assistant") -> DataFrame:
-    """Reply trees (conv_id, node_id, parent_id, score, role, text) to formatted conversations."""
+    """Reply trees (conv_id, node_id, parent_id, score, role, text) to formatted conversations.
+
+    Nodes without conversation or id are left out, as in :func:`best_paths`, so a conversation without
+    an id has no result; a null role or text is empty, a null score 0. Nodes repeated
+    with all their columns count once; tied branches go to the smaller leaf. Texts of any length are
+    kept whole. Other columns are ignored; an empty tree gives an empty result.
+    """
     tree = store(tree.select("conv_id", "node_id", "parent_id", "score", "role", "text"))
     first = F.min(F.struct("role", "text"))
     messages = tree.groupBy("conv_id", "node_id").agg(first.alias("m")).select(

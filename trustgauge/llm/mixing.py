@@ -148,6 +148,8 @@ def draw_mix(
 
     The last chosen place of each source decides, so rows are told apart where they are and
     texts don't shuffle: a source's row with (epochs, last key, id and size) meets its rows.
+    A null text has no words and is taken as often as its place in the order says; a null source is one
+    of its own. Rows equal in source, key, id and size share one fate. An empty table gives an empty mix.
     """
     planned = mix_plan_of(docs, settings, id_col=id_col, text_col=text_col, source_col=source_col)
     # Rows without words stand at some place too, but are never taken.

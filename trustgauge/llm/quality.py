@@ -160,7 +160,11 @@ def ablation(ledgers: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
 def keep_good(
     docs: DataFrame, policy: Policy = DEFAULT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Rows of ``docs`` that pass the policy, all columns kept, judged in place."""
+    """Rows of ``docs`` that pass the policy, all columns kept, judged in place.
+
+    A null or empty text has no words and fails; equal rows share one fate; the id is not looked
+    at, so it may be null or repeated; an empty table stays empty.
+    """
     carried = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"))
     # Spark would otherwise move the condition below the measurements and repeat them in it.
     judged = ledger(carried, "_row", "_text").select(

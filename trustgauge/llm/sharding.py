@@ -64,7 +64,8 @@ def write_shards(docs: DataFrame, path: str, **settings) -> None:
     """Write ``docs`` as one folder per shard, rows in slot order.
 
     Rows meet their place by a number of their own, stored with them before they are ranked, so
-    rows without id and equal rows are each written once.
+    rows without id and equal rows are each written once. A null text is empty, a null source one of
+    its own. An empty table writes no shard; columns of ``docs`` must not be named shard or slot.
     """
     docs = store(docs.withColumn("_row", F.monotonically_increasing_id()))
     places = store(assign_shards(docs, **settings, row_col="_row").select("_row", "shard", "slot"))
