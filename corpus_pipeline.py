@@ -55,7 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written before the next one reads it."""
+    """All stages over the documents, each written before the next one reads it.
+
+    A document without words goes in the first stage, one without id is kept by near-dedup and
+    packed under a null id. Rows equal in id and text count as one from exact dedup on, until the mix
+    repeats what it takes more than once. An empty table gives no pieces.
+    """
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir))
