@@ -102,6 +102,13 @@ def test_svm_without_rows_and_with_too_many_features(spark):
         svm.fit(rows, linear.DENSE_WEIGHTS + 1)
 
 
+def test_logistic_refuses_more_weights_than_a_driver_should_hold(prepared, monkeypatch):
+    _, _, vectors = prepared
+    monkeypatch.setattr(linear, "DENSE_WEIGHTS", 3)
+    with pytest.raises(ValueError, match="limit the vocabulary"):
+        linear.fit_logistic(vectors)
+
+
 def test_smoothing_is_less_confident(prepared):
     _, rows, vectors = prepared
     hard = ordered(linear.linear_scores(rows, linear.fit_logistic(vectors, reg_param=1e-4)))

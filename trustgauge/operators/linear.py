@@ -138,7 +138,7 @@ def text_scores(
 
 
 def _weight_table(spark, coefficients) -> DataFrame:
-    """Fitted coefficients as (idx, weight); they are as bounded as the vocabulary."""
+    """Fitted coefficients as (idx, weight), at most DENSE_WEIGHTS of them."""
     values = coefficients.toArray()
     return settle(
         spark.createDataFrame(
@@ -165,6 +165,9 @@ def fit_logistic(
     )
     if weight_col:
         estimator = estimator.setWeightCol(weight_col)
+    head = vectors.select("features").first()
+    if head and head["features"].size > DENSE_WEIGHTS:
+        raise ValueError(f"weights of {head['features'].size} features exceed {DENSE_WEIGHTS}; limit the vocabulary")
     fitted = estimator.fit(vectors)
     return LinearModel(
         _weight_table(vectors.sparkSession, fitted.coefficients),
