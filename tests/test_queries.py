@@ -47,3 +47,8 @@ def test_entry_has_a_stable_schema(spark):
     board = entry_points.entry(spark)
     assert {r["method"] for r in board.collect()} == {"raw", "temperature_scaling"}
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+def test_every_fit_without_a_smooth_optimum_is_compared(spark):
+    found = entry_points.queries()["training_beats_constant"](spark, SMALL)
+    assert {r["model"] for r in found.collect()} == {"linear_svm_tfidf", "bootstrap_ensemble", "embedding_mlp"}

@@ -807,7 +807,11 @@ def training_beats_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     chance = F.coalesce(F.when((one > 0) & (one < 1), entropy), F.lit(0.0))
     log_loss = F.avg(scalars.log_loss(F.col("target"), F.col("prob")))
 
-    found = []
+    rows = prepared.rows.where(train)
+    margins = linear.linear_scores(rows, svm.fit(rows, prepared.vocabulary.count()).model)
+    hinge = F.avg(F.greatest(F.lit(0.0), 1.0 - scalars.signed_label(F.col("target")) * F.col("score")))
+    found = [margins.agg((hinge < 2.0 * F.least(one, 1.0 - one)).alias("better"), F.lit("linear_svm_tfidf").alias("model"))]
+
     docs = prepared.docs.where(train)
     members = linear.fit_ensemble(
         docs.select("id", "target", "text"), settings.ensemble_size, settings.min_df, settings.max_features,
