@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trustgauge.operators import features, linear, mlp
+from trustgauge.sources.workspace import by_key
 
 DOCS = [
     (0, "fire fire storm"),
@@ -121,3 +123,30 @@ def test_scoring_by_join_equals_scoring_by_array(docs, monkeypatch):
     joined = {r["id"]: r["score"] for r in linear.linear_scores(rows, model).collect()}
     assert joined == pytest.approx(dense)
     assert dense[2] == 0.25
+
+
+def exchanges(df):
+    """Columns by which the plan of ``df`` deals rows out."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+
+
+def test_lookups_leave_the_terms_where_they_are(spark, toy_corpus):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = by_key(toy_corpus, "id")
+        known = features.fit_vocabulary(docs, min_df=1)
+        for found in (features.tfidf(docs, known), features.encode(docs, known)):
+            assert [c.split("#")[0] for c in exchanges(found)] == ["id"]
+        vectors = known.select("idx", F.array(F.lit(1.0), F.lit(2.0)).alias("vector"))
+        means = mlp.document_embeddings(features.encode(docs, known), vectors, 2)
+        assert {c.split("#")[0] for c in exchanges(means)} == {"id"}
+        assert all(r["embedding"] == [1.0, 2.0] for r in means.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_lookups_are_not_sent_about(spark, monkeypatch):
+    monkeypatch.setattr(features, "SHARED_BYTES", 10)
+    table = spark.createDataFrame([("fire", 0)], "term string, idx int")
+    assert "broadcast" not in features.shared_terms(table)._jdf.queryExecution().logical().toString().lower()

@@ -22,6 +22,22 @@ NGRAMS = (1, 2)
 
 # Up to this many terms the most frequent ones are ranked in one task.
 RANKED_AT_ONCE = 500_000
+# Bytes of a lookup table that go to every task.
+SHARED_BYTES = 64_000_000
+
+
+def shared(table: DataFrame, row_bytes: Column) -> DataFrame:
+    """A written table as the small side of a lookup: sent to every task while it is small.
+
+    The rows that look something up, one per term of every text, then stay where they are.
+    """
+    size = table.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).cast("long")).first()[0]
+    return F.broadcast(table) if size <= SHARED_BYTES else table
+
+
+def shared_terms(vocabulary: DataFrame) -> DataFrame:
+    """``vocabulary`` for a lookup by term."""
+    return shared(vocabulary, F.octet_length("term") + 32)
 
 
 def occurrences(docs: DataFrame, keep: list[str], ngram_range: tuple[int, int]) -> DataFrame:
@@ -119,9 +135,8 @@ def tfidf(
     with it.
     """
     keys = list(keep)
-    # The vocabulary is a written table: Spark broadcasts it while its true size allows.
     known = occurrences(docs, keys, ngram_range).join(
-        vocabulary.select("term", "idx", "idf"), "term", "left"
+        shared_terms(vocabulary.select("term", "idx", "idf")), "term", "left"
     )
     counted = known.groupBy(*keys, "idx", "idf").agg(F.count(F.lit(1)).alias("_c"))
     weight = (F.lit(1.0) + F.ln(F.col("_c").cast("double"))) * F.col("idf")
@@ -155,7 +170,7 @@ def encode(
     placed = docs.select(*keys, tokens(F.col("text")).alias("_tokens")).select(
         *keys, F.posexplode_outer("_tokens").alias("_pos", "term")
     )
-    known = placed.join(vocabulary.select("term", "idx"), "term", "left")
+    known = placed.join(shared_terms(vocabulary.select("term", "idx")), "term", "left")
     cells = F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("_pos", "idx")))
     return known.groupBy(*keys).agg(F.sort_array(cells).alias("_cells")).select(
         *keys, F.transform("_cells", lambda cell: cell.idx).alias("token_ids")

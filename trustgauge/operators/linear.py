@@ -20,6 +20,8 @@ from trustgauge.operators.features import (
     NGRAMS,
     occurrences,
     select_vocabulary,
+    shared,
+    shared_terms,
     term_counts,
     to_vectors,
 )
@@ -123,7 +125,7 @@ def text_scores(
     """
     keys = list(keep)
     known = settle(vocabulary.select("term", "idx", "idf").join(model.weights, "idx"))
-    met = occurrences(docs, keys, ngram_range).join(known, "term", "left")
+    met = occurrences(docs, keys, ngram_range).join(shared_terms(known), "term", "left")
     counted = met.groupBy(*keys, "idx", "idf", "weight").agg(F.count(F.lit(1)).alias("_c"))
     w = F.when(
         F.col("idx").isNotNull(),
@@ -309,16 +311,16 @@ def ensemble_rows(
     known = entries.groupBy("term").agg(
         F.collect_list(F.struct("member", "idx", "idf")).alias("_entries")
     )
-    # Settled: the term numbers are fixed then, and the lookup is a broadcast only below
-    # Spark's size threshold.
+    # Settled: the term numbers are fixed then.
     known = settle(known.withColumn("_term", F.monotonically_increasing_id()))
     counted = (
         occurrences(docs, keys, ngram_range)
-        .join(known.select("term", "_term"), "term", "left")
+        .join(shared_terms(known.select("term", "_term")), "term", "left")
         .groupBy(*keys, "_term")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    expanded = counted.join(known.select("_term", "_entries"), "_term", "left").select(
+    places = shared(known.select("_term", "_entries"), F.size("_entries") * 32 + 32)
+    expanded = counted.join(places, "_term", "left").select(
         *keys, "_c", F.inline_outer("_entries")
     )
     weight = (F.lit(1.0) + F.ln(F.col("_c").cast("double"))) * F.col("idf")

@@ -78,7 +78,8 @@ def as_predictions(scored: DataFrame, family: str, method_name: str = "raw") ->
 
 def naive_bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive Bayes trained on the train split, scored on the other two."""
-    docs = split_documents(spark, sf_dir)
+    # Cut by id anew: else every pair of document and term is shuffled, several times.
+    docs = by_key(split_documents(spark, sf_dir), "id")
     vocabulary = fit_vocabulary(docs.where("split = 'train'"))
     rows = settle(
         tfidf(docs, vocabulary, keep=("id", "target", "split")), partition_by=["split"]

@@ -71,12 +71,13 @@ def split_labelled(
 
 
 def prepare(docs: DataFrame, settings: Settings = Settings()) -> Prepared:
-    train = docs.where("split = 'train'")
+    cut = by_key(docs, "id")
+    train = cut.where("split = 'train'")
     vocabulary = features.fit_vocabulary(
         train, settings.min_df, settings.max_features, settings.ngram_range
     )
     rows = settle(
-        features.tfidf(docs, vocabulary, settings.ngram_range, KEEP),
+        features.tfidf(cut, vocabulary, settings.ngram_range, KEEP),
         partition_by=["split"],
     )
     vectors = features.to_vectors(
@@ -113,7 +114,7 @@ def bootstrap_ensemble(prepared: Prepared, settings: Settings) -> DataFrame:
         seed=settings.seed + 100,
     )
     scored = linear.ensemble_scores(
-        prepared.docs.where(HELD_OUT), members, settings.ngram_range, KEEP
+        by_key(prepared.docs.where(HELD_OUT), "id"), members, settings.ngram_range, KEEP
     ).withColumn("score", F.lit(None).cast("double"))
     return as_predictions(scored, "logreg_tfidf", "bootstrap_ensemble")
 
@@ -133,10 +134,11 @@ def linear_svm(prepared: Prepared, settings: Settings) -> DataFrame:
 
 def embedding_mlp(prepared: Prepared, settings: Settings) -> DataFrame:
     limit = min(settings.max_features, features.MAX_TOKENS)
-    train = prepared.docs.where("split = 'train'")
+    docs = by_key(prepared.docs, "id")
+    train = docs.where("split = 'train'")
     vocabulary = features.fit_token_vocabulary(train, settings.min_df, limit)
     encoded = settle(
-        features.encode(prepared.docs, vocabulary, KEEP), partition_by=["split"]
+        features.encode(docs, vocabulary, KEEP), partition_by=["split"]
     )
     model = fit_mlp(encoded.where("split = 'train'"), vocabulary.count(), settings.mlp)
     scored = mlp_scores(encoded.where(HELD_OUT), model)

@@ -35,7 +35,7 @@ from trustgauge.plans import bindings as b
 from trustgauge.plans import experiment
 from trustgauge.sources.labelled import load_labelled_csv, load_saved_errors
 from trustgauge.sources.sinks import write_table
-from trustgauge.sources.workspace import scratch_path, settle, spread
+from trustgauge.sources.workspace import by_key, scratch_path, settle, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +128,8 @@ def document_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sizes = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
     tokens = features.fit_token_vocabulary(docs, max_tokens=sizes["n"])
+    # Tokens are numbered from 0 on: no other vector can be met.
+    vectors = vectors.where(F.col("idx") < tokens.count())
     means = mlp.document_embeddings(features.encode(docs, tokens), vectors, sizes["width"])
     return means.select("id", F.posexplode("embedding").alias("dim", "value")).select(
         "id", "dim", F.round("value", 8).alias("value")
@@ -226,7 +228,7 @@ def softmax_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trained_naive_bayes(spark: SparkSession, sf_dir: str):
-    docs = b.split_documents(spark, sf_dir).where("split = 'train'")
+    docs = by_key(b.split_documents(spark, sf_dir).where("split = 'train'"), "id")
     known = features.fit_vocabulary(docs)
     rows = features.tfidf(docs, known, keep=("id", "target"))
     return known, fit_naive_bayes(settle(rows), known)
@@ -670,7 +672,7 @@ def _stationarity(name: str, smoothing: float) -> Query:
 
 
 def _dual_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = b.split_documents(spark, sf_dir).where("split = 'train'")
+    docs = by_key(b.split_documents(spark, sf_dir).where("split = 'train'"), "id")
     known = features.fit_vocabulary(docs)
     return known, settle(features.tfidf(docs, known, keep=("id", "target")))
 
@@ -733,7 +735,7 @@ def mlp_score_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mlp_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One backward pass over the train split: the summed gradient of every parameter."""
-    docs = b.split_documents(spark, sf_dir).where("split = 'train'")
+    docs = by_key(b.split_documents(spark, sf_dir).where("split = 'train'"), "id")
     tokens = features.fit_token_vocabulary(docs, max_tokens=FIXED_TOKENS)
     size = tokens.count()
     encoded = settle(features.encode(docs, tokens, ("id", "target")))
@@ -750,7 +752,7 @@ def mlp_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _samples(spark: SparkSession, sf_dir: str):
-    train = b.split_documents(spark, sf_dir).where("split = 'train'")
+    train = by_key(b.split_documents(spark, sf_dir).where("split = 'train'"), "id")
     drawn = settle(bootstrap_multiplicities(train.select("id"), 5, seed=142))
     return train, drawn, linear.member_vocabularies(train, drawn, 5)
 
@@ -789,7 +791,7 @@ def ensemble_mean_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
         members.append(
             linear.EnsembleMember(v, LinearModel(settle(v.select("idx", weight.alias("weight"))), 0.1 * m - 0.2, v.count()))
         )
-    held_out = b.split_documents(spark, sf_dir).where("split <> 'train'")
+    held_out = by_key(b.split_documents(spark, sf_dir).where("split <> 'train'"), "id")
     scored = linear.ensemble_scores(held_out, members)
     return scored.select(
         "id", F.round("prob", 8).alias("prob"), F.round(F.array_min("member_probs"), 8).alias("least"),
@@ -812,7 +814,7 @@ def training_beats_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     hinge = F.avg(F.greatest(F.lit(0.0), 1.0 - scalars.signed_label(F.col("target")) * F.col("score")))
     found = [margins.agg((hinge < 2.0 * F.least(one, 1.0 - one)).alias("better"), F.lit("linear_svm_tfidf").alias("model"))]
 
-    docs = prepared.docs.where(train)
+    docs = by_key(prepared.docs.where(train), "id")
     members = linear.fit_ensemble(
         docs.select("id", "target", "text"), settings.ensemble_size, settings.min_df, settings.max_features,
         ngram_range=settings.ngram_range, seed=settings.seed,
