@@ -52,3 +52,8 @@ def test_entry_has_a_stable_schema(spark):
 def test_every_fit_without_a_smooth_optimum_is_compared(spark):
     found = entry_points.queries()["training_beats_constant"](spark, SMALL)
     assert {r["model"] for r in found.collect()} == {"linear_svm_tfidf", "bootstrap_ensemble", "embedding_mlp"}
+
+
+def test_vectors_are_summed_without_a_dense_copy(spark):
+    plan = entry_points.queries()["vectors"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -270,12 +269,13 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TF-IDF rows as MLlib vectors, read back: size, number and sum of the values."""
     docs = b.documents(spark, sf_dir)
     known = features.fit_vocabulary(docs)
-    dense = vector_to_array(F.col("features"))
-    rows = features.to_vectors(features.tfidf(docs, known), known.count()).select("id", dense.alias("v"))
+    # The vector's own fields: a dense copy has as many numbers as the vocabulary has terms.
+    plain = F.unwrap_udt("features")
+    rows = features.to_vectors(features.tfidf(docs, known), known.count()).select("id", plain.alias("v"))
     return rows.select(
-        "id", F.size("v").cast("long").alias("size"),
-        F.size(F.filter("v", lambda x: x != 0)).cast("long").alias("n_values"),
-        F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 8).alias("total"),
+        "id", F.col("v.size").cast("long").alias("size"),
+        F.size(F.filter("v.values", lambda x: x != 0)).cast("long").alias("n_values"),
+        F.round(F.aggregate("v.values", F.lit(0.0), lambda s, x: s + x), 8).alias("total"),
     )
 
 
