@@ -9,6 +9,7 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry_points
+from trustgauge.operators import linear
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -57,3 +58,11 @@ def test_every_fit_without_a_smooth_optimum_is_compared(spark):
 def test_vectors_are_summed_without_a_dense_copy(spark):
     plan = entry_points.queries()["vectors"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "UDF" not in plan
+
+
+def test_rows_of_the_ensemble_are_written_once(spark, monkeypatch):
+    calls, write = [], linear.sample_rows
+    monkeypatch.setattr(linear, "sample_rows", lambda *a: calls.append(a) or write(*a))
+    found = entry_points.queries()["ensemble_stationarity"](spark, SMALL)
+    assert len(calls) == 1
+    assert [r["stationary"] for r in found.collect()] == [True] * 5

@@ -268,7 +268,13 @@ def fit_members(
     ngram_range: tuple[int, int] = NGRAMS,
 ) -> list[EnsembleMember]:
     """All members in one optimiser over the rows that ``sample_rows`` writes once."""
-    rows = sample_rows(docs, drawn, vocabularies, ngram_range)
+    return fit_rows(sample_rows(docs, drawn, vocabularies, ngram_range), vocabularies, max_iter, reg_param)
+
+
+def fit_rows(
+    rows: DataFrame, vocabularies: Sequence[DataFrame], max_iter: int, reg_param: float
+) -> list[EnsembleMember]:
+    """All members in one optimiser over the rows of ``sample_rows``."""
     sizes = [v.count() for v in vocabularies]
     fits = fit_many(rows, sizes, max_iter, reg_param)
     return [

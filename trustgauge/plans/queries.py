@@ -762,8 +762,8 @@ def ensemble_stationarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, drawn, known = _samples(spark, sf_dir)
     docs = train.select("id", "target", "text")
     penalty = linear.ENSEMBLE["reg_param"]
-    members = linear.fit_members(docs, drawn, known, LONG_FIT, penalty)
     rows = linear.sample_rows(docs, drawn, known)
+    members = linear.fit_rows(rows, known, LONG_FIT, penalty)
     mass = rows.groupBy("member").agg(F.sum("times").alias("mass"))
     found = []
     for m, member in enumerate(members):
