@@ -39,6 +39,14 @@ def test_plan_costs_the_least(seed):
     assert cost == least_cost(places.tolist(), prices.tolist(), settings)
 
 
+def test_equal_plans_keep_the_earliest_start():
+    """Two plans of equal cost: the padded window reaches back as far as it can."""
+    settings = ordered.Settings(capacity=8, window=0)
+    places, prices = np.array([3, 6, 9, 12]), np.zeros(4, dtype=np.int64)
+    assert ordered.plan_cuts(places, prices, settings) == [1, 3]
+    assert ordered.plan_cuts(np.array([8, 16]), np.zeros(2, dtype=np.int64), settings) == [0, 1]
+
+
 def check(rows, texts, capacity, end_id=0):
     """Every id in one piece, pieces equal to the tokenizer's ids, places gapless."""
     encoder = Tokenizer.from_file(queries.tokenizer("byte_bpe_50k.json"))

@@ -101,22 +101,26 @@ def cut_places(ids: np.ndarray, encoder, settings: Settings) -> tuple[np.ndarray
     apart.
     """
     price = np.full(len(ids) + 1, -1, dtype=np.int64)
-    own = ids[:-1]
-    if len(own) > 1:
+    if len(ids) > 2:
+        own = ids[:-1]
         blank = encoder.blank[own[1:]]
         sentence = np.flatnonzero(encoder.line[own[:-1]] | (encoder.stop[own[:-1]] & blank)) + 1
         word = np.flatnonzero(blank) + 1
         cell, taken = word // settings.stride, np.zeros(len(own) // settings.stride + 1, dtype=bool)
         taken[sentence // settings.stride] = True
-        price[word[(cell != np.append(-1, cell[:-1])) & ~taken[cell]]] = settings.word
+        free = ~taken[cell]
+        free[1:] &= cell[1:] != cell[:-1]
+        price[word[free]] = settings.word
         price[sentence] = settings.sentence
     price[len(ids)] = 0
     places = np.flatnonzero(price >= 0)
-    gaps = np.diff(places, prepend=0)
-    for k in np.flatnonzero(gaps > settings.far).tolist():
-        inner = np.arange(places[k] - gaps[k] + settings.far, places[k], settings.far)
-        price[inner] = settings.token
-    places = np.flatnonzero(price >= 0)
+    gaps = places.copy()
+    gaps[1:] -= places[:-1]
+    if gaps.max() > settings.far:
+        for k in np.flatnonzero(gaps > settings.far).tolist():
+            inner = np.arange(places[k] - gaps[k] + settings.far, places[k], settings.far)
+            price[inner] = settings.token
+        places = np.flatnonzero(price >= 0)
     return places, price[places]
 
 
@@ -128,17 +132,17 @@ def padded(length: int, capacity: int) -> int:
 def plan_cuts(places: np.ndarray, prices: np.ndarray, settings: Settings) -> list[int]:
     """Indices of the places to cut at, the last one included, for the least total cost.
 
-    ``best[j]`` is the least cost of windows that end at place j. Among starts within reach, the
-    cost of a padded window is least where ``best[i] + padding * place[i]`` is: a queue that
-    rises in this value holds the candidates, and each place enters and leaves it once. Windows
-    of a power of two, which need no padding, are tried besides, where a place lies that far
-    back.
+    ``keys[j]`` is the least cost of windows that end at place j, plus ``padding`` times the place:
+    a padded window adds the same to the key of any start, so among starts within reach that
+    of the least key is best. A queue that rises in the key holds the candidates, and each place
+    enters and leaves it once. Windows of a power of two, which need no padding, are tried
+    besides, where a place lies that far back.
     """
     room, pad, each = settings.capacity, settings.padding, settings.window
     at = np.append(0, places)
     index = np.full(int(at[-1]) + 1, -1, dtype=np.int64)
     index[at] = np.arange(len(at))
-    ends, starts = [], []
+    ends, starts, saved = [], [], []
     size = 1
     while size < room:
         back = at - size
@@ -146,32 +150,39 @@ def plan_cuts(places: np.ndarray, prices: np.ndarray, settings: Settings) -> lis
         i = index[back[j]]
         ends.append(j[i >= 0])
         starts.append(i[i >= 0])
+        saved.append(np.full(len(starts[-1]), pad * (room - size)))
         size *= 2
-    ends, starts = np.concatenate(ends), np.concatenate(starts)
+    ends, starts, saved = map(np.concatenate, (ends, starts, saved))
     order = np.argsort(ends, kind="stable")
-    ends, starts = ends[order].tolist() + [0], starts[order].tolist()
-    where, price = at.tolist(), [0, *prices.tolist()]
-    best, back = [0] * len(where), [0] * len(where)
-    queue, keys, head, hit = [], [], 0, 0
-    for j in range(1, len(where)):
-        place = where[j]
-        key = best[j - 1] + pad * where[j - 1]
-        while len(queue) > head and keys[-1] > key:
-            queue.pop()
-            keys.pop()
-        queue.append(j - 1)
-        keys.append(key)
-        while where[queue[head]] < place - room:
+    # Where the windows without padding that end at each place begin in the lists.
+    stops = np.searchsorted(ends[order], np.arange(len(at)), "right").tolist()
+    starts, saved = starts[order].tolist(), saved[order].tolist()
+    first = np.searchsorted(at, at - room).tolist()
+    price = [0, *(prices + (each + pad * room)).tolist()]
+    keys, back = [0] * len(at), [0] * len(at)
+    queue, head, hit, key = [0] * len(at), 0, 0, 0
+    tail = -1
+    for j in range(1, len(at)):
+        while tail >= head and keys[queue[tail]] > key:
+            tail -= 1
+        tail += 1
+        queue[tail] = j - 1
+        reach = first[j]
+        while queue[head] < reach:
             head += 1
-        cost, start = keys[head] + pad * (room - place), queue[head]
-        while ends[hit] == j:
+        start = queue[head]
+        key = keys[start]
+        stop = stops[j]
+        while hit < stop:
             i = starts[hit]
-            if best[i] < cost:
-                cost, start = best[i], i
+            other = keys[i] - saved[hit]
+            if other < key:
+                key, start = other, i
             hit += 1
-        best[j] = cost + price[j] + each
+        key += price[j]
+        keys[j] = key
         back[j] = start
-    cuts, j = [], len(where) - 1
+    cuts, j = [], len(at) - 1
     while j:
         cuts.append(j)
         j = back[j]
