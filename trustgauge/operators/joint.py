@@ -81,11 +81,13 @@ def _evaluate(shared):
             idx, val = flat.field("idx").to_numpy(), flat.field("w").to_numpy()
             member = batch.column("member").to_numpy()
             target, times = batch.column("target").to_numpy(), batch.column("times").to_numpy()
-            owner = np.repeat(member, np.diff(bounds))
-            for m in np.unique(member).tolist():
-                w, mine, rows = weights[m], owner == m, member == m
+            found = np.unique(member).tolist()
+            owner = np.repeat(member, np.diff(bounds)) if len(found) > 1 else None
+            for m in found:
+                w, rows = weights[m], member == m
                 own = np.append(0, np.cumsum(np.diff(bounds)[rows]))
-                cols, x = idx[mine], val[mine]
+                # A batch that one file gave has one member.
+                cols, x = (idx, val) if len(found) == 1 else (idx[owner == m], val[owner == m])
                 z = _row_sums(x * w[cols], own) + w[-1]
                 y, c = target[rows], times[rows]
                 losses[m] += float((c * (np.maximum(z, 0.0) - y * z + np.log1p(np.exp(-np.abs(z))))).sum())
@@ -134,11 +136,11 @@ def fit_many(rows: DataFrame, sizes: Sequence[int], max_iter: int, reg_param: fl
     while active := [m for m, fit in fits.items() if not fit.done]:
         shared = spark.sparkContext.broadcast({m: fits[m].trial for m in active})
         parts = rows.where(F.col("member").isin(active)).mapInArrow(_evaluate(shared), SUMS)
-        sums = parts.groupBy("member", "idx").agg(F.sum("value").alias("value")).toPandas()
+        sums = parts.groupBy("member", "idx").agg(F.sum("value").alias("value")).toArrow()
         shared.destroy()
+        owner, places, values = (sums.column(n).to_numpy() for n in ("member", "idx", "value"))
         for m in active:
-            own = sums[sums["member"] == m]
-            idx, value = own["idx"].to_numpy(), own["value"].to_numpy() / mass[m]
+            idx, value = places[owner == m], values[owner == m] / mass[m]
             weights = fits[m].trial.copy()
             weights[-1] = 0.0
             slope = reg_param * weights

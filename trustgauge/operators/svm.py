@@ -104,8 +104,8 @@ def _weights(state: DataFrame, scale: float, size: int) -> np.ndarray:
     rows = state.where("a > 0").select(pull.alias("pull"), "features")
     sums = rows.select("pull", F.inline("features")).groupBy("idx").agg(F.sum(F.col("pull") * F.col("w")).alias("s"))
     w = np.zeros(size + 1)
-    found = sums.toPandas()
-    w[found["idx"].to_numpy()] = found["s"].to_numpy()
+    found = sums.toArrow()
+    w[found.column("idx").to_numpy()] = found.column("s").to_numpy()
     w[-1] = rows.agg(F.coalesce(F.sum("pull"), F.lit(0.0))).first()[0]
     return w
 
