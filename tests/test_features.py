@@ -150,3 +150,34 @@ def test_large_lookups_are_not_sent_about(spark, monkeypatch):
     monkeypatch.setattr(features, "SHARED_BYTES", 10)
     table = spark.createDataFrame([("fire", 0)], "term string, idx int")
     assert "broadcast" not in features.shared_terms(table)._jdf.queryExecution().logical().toString().lower()
+
+
+ODD_TEXTS = [
+    (1, "fire fire in the house"), (1, "the house on fire"), (2, None), (3, ""), (None, "fire in"),
+    (4, "a b a b"), (4, "a b a b"), (5, "http://x.y @you the house"), (None, "the fire"),
+]
+
+
+def test_terms_are_counted_in_the_task_as_in_a_grouping(spark):
+    docs = spark.createDataFrame(ODD_TEXTS, "id long, text string")
+    plain = features.term_frequencies(features.term_counts(docs, (1, 3)))
+    counted = features.text_frequencies(docs, (1, 3))
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, plain.collect()))
+    # No row per document and term.
+    assert "Generate" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [4, 50])
+def test_rows_by_sent_and_by_joined_vocabulary_agree(spark, monkeypatch, limit):
+    docs = spark.createDataFrame(ODD_TEXTS, "id long, text string")
+    known = features.fit_vocabulary(docs, 1, limit)
+    tokens = features.fit_token_vocabulary(docs, 1, limit)
+
+    def found():
+        rows = {r["id"]: [(c["idx"], round(c["w"], 12)) for c in r["features"]] for r in features.tfidf(docs, known).collect()}
+        return rows, {r["id"]: r["token_ids"] for r in features.encode(docs, tokens).collect()}
+
+    sent = found()
+    assert "Generate" not in features.tfidf(docs, known)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(features, "SHARED_BYTES", 0)
+    assert sent == found()

@@ -42,6 +42,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(marked, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def token_words(text: Column) -> Column:
+    """The tokens as one string, a blank between any two."""
+    return F.array_join(tokens(text), " ")
+
+
 def raw_token_count(text: Column) -> Column:
     """Number of tokens before links and user names are replaced."""
     return F.regexp_count(F.lower(text), F.lit(TOKEN_PATTERN))

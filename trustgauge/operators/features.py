@@ -6,13 +6,20 @@ with :func:`by_key` on the id first: all per-document groupings then run without
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trustgauge.functions.text import terms, tokens
+from trustgauge.functions.text import terms, token_words, tokens
+from trustgauge.operators import counting
 from trustgauge.operators.ranking import ordered_rank
+from trustgauge.sources.shipping import ship_package
 from trustgauge.sources.workspace import settle
 
 MAX_FEATURES = 15_000
@@ -24,6 +31,9 @@ NGRAMS = (1, 2)
 RANKED_AT_ONCE = 500_000
 # Bytes of a lookup table that go to every task.
 SHARED_BYTES = 64_000_000
+CELLS = T.StructField(
+    "features", T.ArrayType(T.StructType().add("idx", T.IntegerType()).add("w", T.DoubleType()))
+)
 
 
 def shared(table: DataFrame, row_bytes: Column) -> DataFrame:
@@ -70,6 +80,56 @@ def term_frequencies(counts: DataFrame) -> DataFrame:
     )
 
 
+def gathered(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per document, its tokens as one string: (keys..., words). See :mod:`counting`."""
+    cut = docs.select(*keys, token_words(F.col("text")).alias("_words"))
+    return cut.groupBy(*keys).agg(F.concat_ws(f" {counting.BREAK} ", F.collect_list("_words")).alias("words"))
+
+
+def member_frequencies(found: DataFrame, members: int, ngram_range: tuple[int, int] = NGRAMS) -> DataFrame:
+    """Counts of every term over documents (words, times): (term, tf0, df0, tf1, ...).
+
+    A document counts ``times[m]`` times for member m. Its terms are cut and added up in the task,
+    so a term leaves it once for all documents of a slice.
+    """
+    ship_package(found.sparkSession)
+    names = [f"{k}{m}" for m in range(members) for k in ("tf", "df")]
+    job = counting.frequencies(max(1, ngram_range[0]), ngram_range[1], members)
+    parts = found.select("words", "times").mapInArrow(job, "term string, " + ", ".join(f"{n} long" for n in names))
+    return parts.groupBy("term").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def carried(vocabularies: Sequence[DataFrame]) -> Sequence[pa.Table] | None:
+    """Vocabularies as tables for the tasks, while they are small together."""
+    size = F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0)).cast("long").alias("size")
+    if sum(v.agg(size).first()[0] for v in vocabularies) > SHARED_BYTES:
+        return None
+    return [v.select("term", *[c for c in ("idx", "idf") if c in v.columns]).toArrow() for v in vocabularies]
+
+
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def weighted_rows(
+    docs: DataFrame, tables: Sequence[pa.Table], ngram_range: tuple[int, int], keep: tuple[str, ...]
+) -> DataFrame:
+    """TF-IDF rows under every vocabulary of ``carried``: (keep..., member, features)."""
+    spark, keys = docs.sparkSession, list(keep)
+    ship_package(spark)
+    known = pa.chunked_array([c for t in tables for c in t.column("term").chunks], pa.string()).combine_chunks().unique()
+    members = []
+    for table in tables:
+        numbers, idfs = np.full(len(known), -1, dtype=np.int64), np.zeros(len(known))
+        at = pc.index_in(table.column("term"), value_set=known).to_numpy()
+        numbers[at], idfs[at] = _column(table, "idx"), _column(table, "idf")
+        members.append((numbers, idfs))
+    sent = spark.sparkContext.broadcast((known, members))
+    found = gathered(docs, keys)
+    schema = T.StructType([*found.schema.fields[:-1], T.StructField("member", T.IntegerType()), CELLS])
+    return found.mapInArrow(counting.weighted(sent, len(keys), max(1, ngram_range[0]), ngram_range[1]), schema)
+
+
 def smoothed_idf(df: Column, n_docs: Column) -> Column:
     """ln((1 + n) / (1 + df)) + 1 with n at least one."""
     n = F.greatest(n_docs.cast("double"), F.lit(1.0))
@@ -98,6 +158,12 @@ def select_vocabulary(
     )
 
 
+def text_frequencies(docs: DataFrame, ngram_range: tuple[int, int] = NGRAMS, id_col: str = "id") -> DataFrame:
+    """Total and document frequency of every term: (term, tf, df)."""
+    found = gathered(docs, [id_col]).withColumn("times", F.array(F.lit(1)))
+    return member_frequencies(found, 1, ngram_range).withColumnsRenamed({"tf0": "tf", "df0": "df"})
+
+
 def fit_vocabulary(
     docs: DataFrame,
     min_df: int = MIN_DF,
@@ -106,7 +172,7 @@ def fit_vocabulary(
     id_col: str = "id",
 ) -> DataFrame:
     """Vocabulary of the documents, written once so that later steps know its size."""
-    frequencies = term_frequencies(term_counts(docs, ngram_range, id_col))
+    frequencies = text_frequencies(docs, ngram_range, id_col)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     return settle(select_vocabulary(frequencies, n_docs, min_df, max_features))
 
@@ -115,7 +181,7 @@ def fit_token_vocabulary(
     docs: DataFrame, min_df: int = MIN_DF, max_tokens: int = MAX_TOKENS, id_col: str = "id"
 ) -> DataFrame:
     """Single-token vocabulary of the embedding model; here 0 means no tokens at all."""
-    frequencies = term_frequencies(term_counts(docs, (1, 1), id_col))
+    frequencies = text_frequencies(docs, (1, 1), id_col)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     if max_tokens <= 0:
         frequencies = frequencies.limit(0)
@@ -132,8 +198,11 @@ def tfidf(
 
     w = (1 + ln count) * idf, scaled to unit length. Unknown terms are dropped and a document
     without known terms has an empty array. ``keep`` names the id and the columns that travel
-    with it.
+    with it. A small vocabulary goes to the tasks, a large one meets the terms in a join.
     """
+    tables = carried([vocabulary])
+    if tables is not None:
+        return weighted_rows(docs, tables, ngram_range, keep).drop("member")
     keys = list(keep)
     known = occurrences(docs, keys, ngram_range).join(
         shared_terms(vocabulary.select("term", "idx", "idf")), "term", "left"
@@ -167,6 +236,15 @@ def encode(
 ) -> DataFrame:
     """Known tokens of each document as indices, in text order with repeats."""
     keys = list(keep)
+    tables = carried([vocabulary.select("term", "idx")])
+    if tables is not None:
+        spark = docs.sparkSession
+        ship_package(spark)
+        known = pa.chunked_array(tables[0].column("term").chunks, pa.string()).combine_chunks()
+        sent = spark.sparkContext.broadcast((known, _column(tables[0], "idx").astype(np.int64)))
+        found = gathered(docs, keys)
+        schema = T.StructType([*found.schema.fields[:-1], T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
+        return found.mapInArrow(counting.encoded(sent, len(keys)), schema)
     placed = docs.select(*keys, tokens(F.col("text")).alias("_tokens")).select(
         *keys, F.posexplode_outer("_tokens").alias("_pos", "term")
     )

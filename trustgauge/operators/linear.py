@@ -18,12 +18,15 @@ from trustgauge.operators.features import (
     MAX_FEATURES,
     MIN_DF,
     NGRAMS,
+    carried,
+    gathered,
+    member_frequencies,
     occurrences,
     select_vocabulary,
     shared,
     shared_terms,
-    term_counts,
     to_vectors,
+    weighted_rows,
 )
 from trustgauge.operators.joint import fit_many
 from trustgauge.operators.parallel import side_by_side
@@ -219,15 +222,11 @@ def member_vocabularies(
 ) -> list[DataFrame]:
     """Vocabulary of every bootstrap sample; a document drawn twice counts as two.
 
-    Text is cut into terms once: one grouping by term sums the term and document counts of
-    all members side by side.
+    Text is cut into terms once: a task sums the term and document counts of all members side by
+    side, and one grouping by term adds them up.
     """
-    weighted = term_counts(docs, ngram_range).join(by_key(drawn, "id"), "id")
-    sums = []
-    for m in range(members):
-        times = F.get("multiplicities", F.lit(m))
-        sums += [F.sum(F.col("c") * times).alias(f"tf{m}"), F.sum(times).alias(f"df{m}")]
-    frequencies = settle(weighted.groupBy("term").agg(*sums))
+    found = gathered(docs, ["id"]).join(by_key(drawn, "id"), "id")
+    frequencies = settle(member_frequencies(found.withColumnRenamed("multiplicities", "times"), members, ngram_range))
     n_docs = F.lit(drawn.count())
 
     def select_member(m: int) -> DataFrame:
@@ -306,6 +305,9 @@ def ensemble_rows(
     The text is cut and counted once, against the terms of all vocabularies; each counted term
     then stands for its entries in the vocabularies that hold it.
     """
+    tables = carried(vocabularies)
+    if tables is not None:
+        return weighted_rows(docs, tables, ngram_range, keep)
     keys = list(keep)
     entries = reduce(
         DataFrame.unionByName,
