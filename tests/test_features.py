@@ -178,6 +178,6 @@ def test_rows_by_sent_and_by_joined_vocabulary_agree(spark, monkeypatch, limit):
         return rows, {r["id"]: r["token_ids"] for r in features.encode(docs, tokens).collect()}
 
     sent = found()
-    assert "Generate" not in features.tfidf(docs, known)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in features.encode(docs, tokens)._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(features, "SHARED_BYTES", 0)
     assert sent == found()

@@ -198,11 +198,8 @@ def tfidf(
 
     w = (1 + ln count) * idf, scaled to unit length. Unknown terms are dropped and a document
     without known terms has an empty array. ``keep`` names the id and the columns that travel
-    with it. A small vocabulary goes to the tasks, a large one meets the terms in a join.
+    with it.
     """
-    tables = carried([vocabulary])
-    if tables is not None:
-        return weighted_rows(docs, tables, ngram_range, keep).drop("member")
     keys = list(keep)
     known = occurrences(docs, keys, ngram_range).join(
         shared_terms(vocabulary.select("term", "idx", "idf")), "term", "left"
