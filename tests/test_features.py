@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from trustgauge.operators import features, linear, mlp
-from trustgauge.sources.workspace import by_key
+from trustgauge.plans import queries
+from trustgauge.sources.workspace import by_key, in_place
 
 DOCS = [
     (0, "fire fire storm"),
@@ -181,3 +182,56 @@ def test_rows_by_sent_and_by_joined_vocabulary_agree(spark, monkeypatch, limit):
     assert "Generate" not in features.encode(docs, tokens)._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(features, "SHARED_BYTES", 0)
     assert sent == found()
+
+
+@pytest.mark.parametrize("shared_bytes", [64_000_000, 100])
+@pytest.mark.parametrize("unique", [True, False])
+def test_vectors_come_to_the_documents_in_blocks(spark, monkeypatch, shared_bytes, unique):
+    """However many vectors there are, no row per document and token and no partial sums of a document by vector."""
+    monkeypatch.setattr(features, "SHARED_BYTES", shared_bytes)
+    monkeypatch.setattr(mlp, "HELD_TOKENS", 4)
+    rows = [(0, [1, 1, 8]), (1, []), (2, [0, 3]), (3, [5, None, 6, 5]), (None, [1]), (4, [20]), (5, [3])]
+    rows += [] if unique else [(0, [2])]
+    encoded = spark.createDataFrame(rows, "id long, token_ids array<int>").repartition(3)
+    vectors = [(k, [float(k), 10.0 * k]) for k in range(9)] + [(8, [1.0, None]), (20, [None, 2.0]), (None, [9.0, 9.0])]
+    vectors[3] = (3, None)
+    table = spark.createDataFrame(vectors, "idx long, vector array<float>")
+    found = mlp.document_embeddings(encoded, table, 2, unique=unique)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and not any(c.startswith("idx#") for c in exchanges(found))
+    zero = [(1 + 1 + 8 + 1) / 4, (10 + 10 + 80) / 4] if unique else [(1 + 1 + 8 + 1 + 2) / 5, (10 + 10 + 80 + 20) / 5]
+    want = {0: zero, 1: [0.0, 0.0], 2: [0.0, 0.0], 3: [16 / 3, 160 / 3], None: [0.0, 0.0], 4: [None, 2.0], 5: [None, None]}
+    got = [(r["id"], r["embedding"]) for r in found.collect()]
+    assert len(got) == len(rows)
+    assert all(value == pytest.approx(want[i]) if None not in want[i] else value == want[i] for i, value in got)
+
+
+def test_a_text_stays_where_it_is_unless_its_id_comes_again(spark):
+    docs = spark.createDataFrame(ODD_TEXTS, "id long, text string").repartition(3, "text")
+    apart = docs.where("id in (2, 3, 5)")
+    none, some = features.repeated_ids(apart), features.repeated_ids(docs)
+    assert none.isEmpty() and {r["id"] for r in some.collect()} == {1, 4, None}
+    known = features.fit_token_vocabulary(docs, 1, 50, repeats=some)
+    assert sorted(map(tuple, known.collect())) == sorted(map(tuple, features.fit_token_vocabulary(docs, 1, 50).collect()))
+    for part, repeats in ((docs, some), (apart, none)):
+        got, want = features.encode(part, known, repeats=repeats), features.encode(part, known)
+        assert {r["id"]: r["token_ids"] for r in got.collect()} == {r["id"]: r["token_ids"] for r in want.collect()}
+        assert got.count() == want.count()
+    assert not [c for c in exchanges(features.encode(apart, known, repeats=none)) if c.startswith("id#")]
+
+
+def test_rows_are_spread_only_when_few_tasks_hold_them(spark):
+    even, lone = spark.range(0, 1000, 1, 8), spark.range(0, 1000, 1, 1)
+    assert in_place(even, "id") is even
+    assert exchanges(in_place(lone, "id"))
+
+
+def test_document_embeddings_take_the_texts_as_they_are_read(spark, tmp_path):
+    words = F.concat_ws(" ", F.lit("fire house"), F.col("doc_id").cast("string"))
+    docs = spark.range(0, 800, 1, 8).withColumnRenamed("id", "doc_id").select("doc_id", words.alias("text"), F.lit("web").alias("source"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    vectors = spark.range(3).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float")).alias("embedding"))
+    vectors.write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = queries.document_embeddings(spark, str(tmp_path))
+    assert not exchanges(found)
+    assert {(r["dim"], r["value"]) for r in found.collect()} == {(0, 1.0)} and found.count() == 800

@@ -153,11 +153,15 @@ def encoded(shared, keys: int):
                 first = np.ones(len(row), dtype=bool)
                 first[1:] = ~after[:-1]
                 at -= np.maximum.accumulate(np.where(first, at, 0)) if len(at) else at
+                # Tokens of one text are in their order already.
+                several = np.count_nonzero(first) > np.count_nonzero(np.diff(row)) + 1
                 mine = place >= 0
                 row, at, idx = row[mine], at[mine], numbers[place[mine]]
-                order = np.lexsort((idx, at, row))
+                if several:
+                    order = np.lexsort((idx, at, row))
+                    row, idx = row[order], idx[order]
                 columns = [part.column(k) for k in range(keys)]
-                columns.append(_lists(row[order], part.num_rows, pa.array(idx[order].astype(np.int32))))
+                columns.append(_lists(row, part.num_rows, pa.array(idx.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[:keys], "token_ids"])
 
     return run

@@ -80,10 +80,32 @@ def term_frequencies(counts: DataFrame) -> DataFrame:
     )
 
 
-def gathered(docs: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per document, its tokens as one string: (keys..., words). See :mod:`counting`."""
-    cut = docs.select(*keys, token_words(F.col("text")).alias("_words"))
-    return cut.groupBy(*keys).agg(F.concat_ws(f" {counting.BREAK} ", F.collect_list("_words")).alias("words"))
+def repeated_ids(docs: DataFrame, id_col: str = "id") -> DataFrame | None:
+    """The ids, null among them, that several rows of ``docs`` share; None if they are too many to be sent about."""
+    ids = settle(docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(id_col))
+    size = F.coalesce(F.sum(F.coalesce(F.octet_length(F.col(id_col).cast("string")), F.lit(0)) + 32), F.lit(0))
+    return ids if ids.agg(size.cast("long")).first()[0] <= SHARED_BYTES else None
+
+
+def gathered(docs: DataFrame, keys: list[str], repeats: DataFrame | None = None) -> DataFrame:
+    """One row per document, its tokens as one string: (keys..., words). See :mod:`counting`.
+
+    With the ``repeated_ids`` of the documents only the texts that share an id are brought together;
+    all others stay where they are.
+    """
+    if repeats is None:
+        cut = docs.select(*keys, token_words(F.col("text")).alias("_words"))
+        return cut.groupBy(*keys).agg(F.concat_ws(f" {counting.BREAK} ", F.collect_list("_words")).alias("words"))
+
+    def alone(some: DataFrame) -> DataFrame:
+        return some.select(*keys, F.coalesce(token_words(F.col("text")), F.lit("")).alias("words"))
+
+    if repeats.isEmpty():
+        return alone(docs)
+    id_col = repeats.columns[0]
+    known = F.broadcast(repeats.withColumnRenamed(id_col, "_id"))
+    shares = F.col(id_col).eqNullSafe(F.col("_id"))
+    return alone(docs.join(known, shares, "left_anti")).unionByName(gathered(docs.join(known, shares, "left_semi"), keys))
 
 
 def member_frequencies(found: DataFrame, members: int, ngram_range: tuple[int, int] = NGRAMS) -> DataFrame:
@@ -158,9 +180,11 @@ def select_vocabulary(
     )
 
 
-def text_frequencies(docs: DataFrame, ngram_range: tuple[int, int] = NGRAMS, id_col: str = "id") -> DataFrame:
-    """Total and document frequency of every term: (term, tf, df)."""
-    found = gathered(docs, [id_col]).withColumn("times", F.array(F.lit(1)))
+def text_frequencies(
+    docs: DataFrame, ngram_range: tuple[int, int] = NGRAMS, id_col: str = "id", repeats: DataFrame | None = None
+) -> DataFrame:
+    """Total and document frequency of every term: (term, tf, df). ``repeats`` as in ``gathered``."""
+    found = gathered(docs, [id_col], repeats).withColumn("times", F.array(F.lit(1)))
     return member_frequencies(found, 1, ngram_range).withColumnsRenamed({"tf0": "tf", "df0": "df"})
 
 
@@ -178,10 +202,11 @@ def fit_vocabulary(
 
 
 def fit_token_vocabulary(
-    docs: DataFrame, min_df: int = MIN_DF, max_tokens: int = MAX_TOKENS, id_col: str = "id"
+    docs: DataFrame, min_df: int = MIN_DF, max_tokens: int = MAX_TOKENS, id_col: str = "id",
+    repeats: DataFrame | None = None,
 ) -> DataFrame:
     """Single-token vocabulary of the embedding model; here 0 means no tokens at all."""
-    frequencies = text_frequencies(docs, (1, 1), id_col)
+    frequencies = text_frequencies(docs, (1, 1), id_col, repeats)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     if max_tokens <= 0:
         frequencies = frequencies.limit(0)
@@ -230,8 +255,9 @@ def encode(
     docs: DataFrame,
     vocabulary: DataFrame,
     keep: tuple[str, ...] = ("id",),
+    repeats: DataFrame | None = None,
 ) -> DataFrame:
-    """Known tokens of each document as indices, in text order with repeats."""
+    """Known tokens of each document as indices, in text order with repeats. ``repeats`` as in ``gathered``."""
     keys = list(keep)
     tables = carried([vocabulary.select("term", "idx")])
     if tables is not None:
@@ -239,7 +265,7 @@ def encode(
         ship_package(spark)
         known = pa.chunked_array(tables[0].column("term").chunks, pa.string()).combine_chunks()
         sent = spark.sparkContext.broadcast((known, _column(tables[0], "idx").astype(np.int64)))
-        found = gathered(docs, keys)
+        found = gathered(docs, keys, repeats)
         schema = T.StructType([*found.schema.fields[:-1], T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
         return found.mapInArrow(counting.encoded(sent, len(keys)), schema)
     placed = docs.select(*keys, tokens(F.col("text")).alias("_tokens")).select(

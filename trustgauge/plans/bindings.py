@@ -10,7 +10,7 @@ from trustgauge.functions.text import compose_text
 from trustgauge.operators.features import fit_vocabulary, tfidf
 from trustgauge.operators.linear import fit_naive_bayes, linear_scores, with_probability
 from trustgauge.operators.sampling import stratified_split
-from trustgauge.sources.workspace import by_key, settle, spread
+from trustgauge.sources.workspace import by_key, in_place, settle, spread
 
 SEED = 42
 
@@ -38,6 +38,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as (id, text) like ``documents``, but left where it is read."""
+    raw = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    return in_place(raw, "id").select(
+        "id", compose_text(F.col("text"), F.col("source")).alias("text")
+    )
+
+
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Composed labelled documents with their split: (id, target, split, text).
 

@@ -121,15 +121,18 @@ def mlp_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean vector of each document, the given vectors standing for the most frequent tokens."""
-    docs = b.documents(spark, sf_dir)
+    docs = b.documents_in_place(spark, sf_dir)
+    repeats = features.repeated_ids(docs)
     vectors = b.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("idx"), F.col("embedding").alias("vector")
     )
     sizes = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
-    tokens = features.fit_token_vocabulary(docs, max_tokens=sizes["n"])
+    tokens = features.fit_token_vocabulary(docs, max_tokens=sizes["n"], repeats=repeats)
     # Tokens are numbered from 0 on: no other vector can be met.
     vectors = vectors.where(F.col("idx") < tokens.count())
-    means = mlp.document_embeddings(features.encode(docs, tokens), vectors, sizes["width"])
+    # One row per id, whatever the table holds.
+    encoded = features.encode(docs, tokens, repeats=repeats)
+    means = mlp.document_embeddings(encoded, vectors, sizes["width"], unique=True)
     return means.select("id", F.posexplode("embedding").alias("dim", "value")).select(
         "id", "dim", F.round("value", 8).alias("value")
     )

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -81,6 +82,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return by_key(df, *keys)
 
 
+def in_place(df: DataFrame, *keys: str) -> DataFrame:
+    """A table as it is read while its rows lie evenly over enough tasks, else spread by key."""
+    rows = df.select(F.spark_partition_id().alias("_part")).groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    largest, total = rows.agg(F.max("_n"), F.sum("_n")).first()
+    if (largest or 0) * df.sparkSession.sparkContext.defaultParallelism <= 2 * (total or 0):
+        return df
+    return by_key(df, *keys)
+
+
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by key once, so later groupings on the key need no shuffle.
 
