@@ -690,7 +690,7 @@ def svm_objective_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def svm_duality_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fit is proved by its gap: primal and dual, computed anew from the stored dual values."""
     known, rows = _dual_rows(spark, sf_dir)
-    done = svm.fit(rows, known.count())
+    done = svm.fit(rows, known.count(), finish=True)
     anew = svm.objective(rows.join(done.duals, "id"))
     same = (F.abs(F.col("primal") - done.primal) < 1e-6) & (F.abs(F.col("dual") - done.dual) < 1e-6)
     return anew.select(
